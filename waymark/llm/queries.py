@@ -5,20 +5,28 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from waymark.llm import packing, sstable
+from waymark.llm import packing, sstable, token_counts, warc_bundle
 from waymark.llm.common import table
 
 
+def op2_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op3_sstable_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sstable.token_shards(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
 
 
+def op5_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_bundle.archive_pages(spark, table(spark, sf_dir, "pages"))
+
+
 def op6_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_sstable_shards, op6_cost_balanced_packing)}
+    return {f.__name__: f for f in (op2_piece_counts, op3_sstable_shards, op5_warc_bundles, op6_cost_balanced_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
