@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from waymark.llm import packing, sstable, token_counts, warc_bundle
+from waymark.llm import chat_windows, line_blocks, packing, sstable, token_counts, warc_bundle
 from waymark.llm.common import table
 
 
@@ -17,6 +17,13 @@ def op3_sstable_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sstable.token_shards(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
 
 
+def op4_budgeted_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = "\\### Assistant: </turn> ok"
+    planted = spark.createDataFrame([(-7, 0, "user", held), (-7, 1, "assistant", held)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").selectExpr("cast(conv_id as long) as conv_id", "cast(turn as long) as turn", "role", "text")
+    return chat_windows.conversation_digests(spark, rows.unionByName(planted), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op5_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_bundle.archive_pages(spark, table(spark, sf_dir, "pages"))
 
@@ -25,8 +32,12 @@ def op6_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
 
 
+def op7_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_blocks.extract_text(spark, table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_piece_counts, op3_sstable_shards, op5_warc_bundles, op6_cost_balanced_packing)}
+    return {f.__name__: f for f in (op2_piece_counts, op3_sstable_shards, op4_budgeted_windows, op5_warc_bundles, op6_cost_balanced_packing, op7_line_blocks)}
 
 
 def oracle_sql() -> dict[str, str]:
