@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waymark.llm.bpe import byte_bpe
-from waymark.llm.common import small_batches, written
+from waymark.llm.common import grouped, small_batches, written
 
 BUDGET, HISTORY = 1024, 256
 TARGET_ROLE, SYSTEM_ROLE = "assistant", "system"
@@ -131,30 +131,6 @@ def _turns(rows: Iterator[tuple[str | None, str | None, int]]) -> Iterator[Turn]
         yield Turn(role or "", formatted, tokens, start, end)
 
 
-def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, Iterator[tuple]]]:
-    """Consecutive rows of each first column's value, as a stream."""
-
-    def rows() -> Iterator[tuple]:
-        for batch in batches:
-            yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
-
-    source = rows()
-    pending = next(source, None)
-    while pending is not None:
-        key = pending[0]
-
-        def same() -> Iterator[tuple]:
-            nonlocal pending
-            while pending is not None and pending[0] == key:
-                row, pending = pending, next(source, None)
-                yield row[1:]
-
-        group = same()
-        yield key, group
-        for _ in group:
-            pass
-
-
 def _format(batches: Iterator[pa.RecordBatch], path: str, budget: int, history: int) -> Iterator[pa.RecordBatch]:
     encoder = byte_bpe(path)
 
@@ -166,7 +142,7 @@ def _format(batches: Iterator[pa.RecordBatch], path: str, budget: int, history:
             yield pa.RecordBatch.from_arrays([pa.array(conv, pa.int64()), pa.array(role, pa.string()), pa.array(text, pa.string()), pa.array(sizes, pa.int64())], names=["c", "r", "t", "n"])
 
     rows: list[dict] = []
-    for conv_id, group in _grouped(sized()):
+    for conv_id, group in grouped(sized()):
         for number, (system, repeated, new) in enumerate(windows_of(_turns(group), budget, history)):
             parts, spans, at = [], [], 0
             for turn in [*system, *repeated, *new]:
@@ -197,7 +173,7 @@ def format_conversations(spark: SparkSession, conversations: DataFrame, tokenize
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows: list[tuple] = []
-    for conv_id, group in _grouped(batches):
+    for conv_id, group in grouped(batches):
         turns, loss = hashlib.sha256(), hashlib.sha256()
         n_turns = loss_chars = formatted = n_windows = 0
         for number, n_system, n_history, text, spans in group:

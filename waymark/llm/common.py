@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Iterator
 from urllib.parse import unquote, urlparse
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Only used where the cluster names no folder, as in local tests.
@@ -96,3 +97,27 @@ def written(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Bounds what one Arrow batch holds; texts may be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, Iterator[tuple]]]:
+    """Consecutive rows of each first column's value, as a stream."""
+
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
+
+    source = rows()
+    pending = next(source, None)
+    while pending is not None:
+        key = pending[0]
+
+        def same() -> Iterator[tuple]:
+            nonlocal pending
+            while pending is not None and pending[0] == key:
+                row, pending = pending, next(source, None)
+                yield row[1:]
+
+        group = same()
+        yield key, group
+        for _ in group:
+            pass
