@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from waymark.llm import chat_windows, line_blocks, minhash_join, packing, sstable, token_counts, warc_bundle
+from waymark.llm import chat_windows, line_blocks, minhash_join, packing, sstable, suffix_dedup, token_counts, warc_bundle
 from waymark.llm.common import table
 
 
@@ -36,12 +36,16 @@ def op7_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_blocks.extract_text(spark, table(spark, sf_dir, "pages"))
 
 
+def op8_suffix_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeat_digests(spark, table(spark, sf_dir, "documents"), length=200)
+
+
 def op9_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_join.near_groups(spark, table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_piece_counts, op3_sstable_shards, op4_budgeted_windows, op5_warc_bundles, op6_cost_balanced_packing, op7_line_blocks, op9_signature_join)}
+    return {f.__name__: f for f in (op2_piece_counts, op3_sstable_shards, op4_budgeted_windows, op5_warc_bundles, op6_cost_balanced_packing, op7_line_blocks, op8_suffix_runs, op9_signature_join)}
 
 
 def oracle_sql() -> dict[str, str]:
