@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from waymark.llm import chat_windows, line_blocks, minhash_join, packing, sstable, suffix_dedup, token_counts, warc_bundle
+from waymark.llm import chat_windows, line_blocks, mcd, minhash_join, packing, sstable, suffix_dedup, token_counts, warc_bundle
 from waymark.llm.common import table
 
 
+def op1_mcd_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mcd.quality_verdicts(spark, table(spark, sf_dir, "documents"))
+
+
 def op2_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -45,7 +49,7 @@ def op9_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_piece_counts, op3_sstable_shards, op4_budgeted_windows, op5_warc_bundles, op6_cost_balanced_packing, op7_line_blocks, op8_suffix_runs, op9_signature_join)}
+    return {f.__name__: f for f in (op1_mcd_outliers, op2_piece_counts, op3_sstable_shards, op4_budgeted_windows, op5_warc_bundles, op6_cost_balanced_packing, op7_line_blocks, op8_suffix_runs, op9_signature_join)}
 
 
 def oracle_sql() -> dict[str, str]:
