@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from waymark.llm import chat_windows, line_blocks, mcd, minhash_join, packing, sstable, suffix_dedup, token_counts, warc_bundle
+from waymark.llm import chat_windows, line_blocks, mcd, minhash_join, packing, sstable, suffix_dedup, templates, token_counts, warc_bundle
 from waymark.llm.common import table
 
 
@@ -48,8 +48,12 @@ def op9_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_join.near_groups(spark, table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+def op10_template_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_mcd_outliers, op2_piece_counts, op3_sstable_shards, op4_budgeted_windows, op5_warc_bundles, op6_cost_balanced_packing, op7_line_blocks, op8_suffix_runs, op9_signature_join)}
+    return {f.__name__: f for f in (op1_mcd_outliers, op2_piece_counts, op3_sstable_shards, op4_budgeted_windows, op5_warc_bundles, op6_cost_balanced_packing, op7_line_blocks, op8_suffix_runs, op9_signature_join, op10_template_windows)}
 
 
 def oracle_sql() -> dict[str, str]:
