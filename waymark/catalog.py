@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-FLAGSHIP = ""
+from waymark.plans import address_queries
+
+FLAGSHIP = "dedup_verdict"
 
 
 def queries() -> dict:
     """Name to callable(spark, sf_dir)."""
-    return {}
+    return dict(address_queries.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
     """Name to DuckDB SQL."""
-    return {}
+    return dict(address_queries.SQL)
