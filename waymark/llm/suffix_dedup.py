@@ -9,9 +9,10 @@ A byte goes if a string of LENGTH bytes that covers it starts anywhere else too,
    front-coded (length shared with the entry before, and the rest), cut by ranges of the gram's hash, exchanged,
    and merged by a loser tree that keeps each contender's common prefix with the last winner: it compares only
    where two prefixes are equally long, and only from there on.
-3. An entry that comes twice is repeated wholly. Where the same gram has different entries, the suffixes at
-   every start inside them, cut at LENGTH, are sorted too, and equal neighbours are repeated. Strings can only
-   be equal if their anchors are, so no other entries need a comparison.
+3. An entry that comes twice is repeated wholly, and what it shares with a neighbour in the merged order
+   repeats at its starts. What is left of entries of one gram is sorted by the suffixes from the anchor and by
+   the reversed prefixes up to it; only starts that both orders allow are compared as whole strings. Strings
+   can only be equal if their anchors are, so no other entries need a comparison.
 
 No text is shuffled but for live entries: rows are addressed by file and row, what a block of rows has to know
 is written to a file of the shared folder, and the scan that needs it reads it there. A gram or passage that a
@@ -306,24 +307,52 @@ def _sort_runs(batches: Iterator[pa.RecordBatch], folder: str, length: int, buck
         yield from flush()
 
 
-def repeated_starts(entries: list[tuple[bytes, np.ndarray]], length: int) -> list[list[tuple[int, int]]]:
-    """For each distinct entry of one gram, its ranges (first, last) of starts whose strings come twice."""
-    whole = [len(places) > 1 for _, places in entries]
-    ends = [len(text) - HEAD - length for text, _ in entries]
-    out: list[list[tuple[int, int]]] = [[(0, end)] if all_of_it else [] for all_of_it, end in zip(whole, ends, strict=True)]
-    if all(whole) or len(entries) == 1:
+def _longest_shared(texts: list[bytes]) -> list[int]:
+    """For each string, the longest prefix that it shares with any other, from its neighbours in sorted order."""
+    order = sorted(range(len(texts)), key=texts.__getitem__)
+    out, last = [0] * len(texts), 0
+    for at, number in enumerate(order):
+        ahead = common_prefix(texts[number], texts[order[at + 1]], 0) if at + 1 < len(order) else 0
+        out[number] = max(last, ahead)
+        last = ahead
+    return out
+
+
+def repeated_starts(entries: list[tuple[bytes, int, int]], shared: list[int], length: int) -> list[list[tuple[int, int]]]:
+    """For each distinct entry of one gram, its ranges (first, last) of starts whose strings come twice.
+
+    Entries are (string, anchor's place, number of places) in sorted order; shared[i] is the prefix that the
+    i-th has in common with the one before. What two neighbours share repeats at its starts. A string elsewhere
+    in an entry can only come again if some other entry agrees with it to the left of the anchor and some other
+    to the right; the few starts for which that holds are compared at each distance from the anchor.
+    """
+    count = len(entries)
+    ends = [len(text) - HEAD - length for text, _, _ in entries]
+    if count == 1:
+        return [[(0, ends[0])] if entries[0][2] > 1 else []]
+    known = [ends[i] if entries[i][2] > 1 else min(ends[i], max(shared[i] if i else 0, shared[i + 1] if i + 1 < count else 0) - HEAD - length) for i in range(count)]
+    out = [[(0, upto)] if upto >= 0 else [] for upto in known]
+    if all(upto == end for upto, end in zip(known, ends, strict=True)):
         return out
-    suffixes = [(text[HEAD + k : HEAD + k + length], number, k) for number, (text, _) in enumerate(entries) for k in range(ends[number] + 1)]
-    suffixes.sort()
+    right = _longest_shared([text[HEAD + anchor :] for text, anchor, _ in entries])
+    left = _longest_shared([text[HEAD : HEAD + anchor][::-1] for text, anchor, _ in entries])
+    ranges = [(max(0, anchor - left[i]), min(ends[i], anchor + right[i] - length)) for i, (_, anchor, _) in enumerate(entries)]
+    open_at = {k - entries[i][1] for i, (a, b) in enumerate(ranges) for k in range(max(a, known[i] + 1), b + 1)}
     marked: dict[int, list[int]] = {}
-    before = False
-    for at, (text, number, k) in enumerate(suffixes):
-        after = at + 1 < len(suffixes) and suffixes[at + 1][0] == text
-        if (before or after) and not whole[number]:
-            marked.setdefault(number, []).append(k)
-        before = after
+    for distance in sorted(open_at):
+        strings: dict[bytes, int] = {}
+        for i, (text, anchor, _) in enumerate(entries):
+            k = anchor + distance
+            if not ranges[i][0] <= k <= ranges[i][1]:
+                continue
+            string = text[HEAD + k : HEAD + k + length]
+            first = strings.setdefault(string, i)
+            if first != i:
+                for number in (first, i):
+                    start = entries[number][1] + distance
+                    if start > known[number] and (number not in marked or marked[number][-1] != start):
+                        marked.setdefault(number, []).append(start)
     for number, starts in marked.items():
-        starts.sort()
         a = b = starts[0]
         for k in starts[1:]:
             if k != b + 1:
@@ -337,30 +366,38 @@ def repeated_starts(entries: list[tuple[bytes, np.ndarray]], length: int) -> lis
 def _merge_runs(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Merges a bucket's runs; gives the repeated byte ranges by block of rows."""
     for bucket, rows in grouped(batches):
-        spans: dict[int, list[tuple[int, int, int]]] = {}
+        spans: dict[int, list[np.ndarray]] = {}
 
-        def close(entries: list[tuple[bytes, np.ndarray]]) -> None:
-            if len(entries) == 1 and len(entries[0][1]) == 1:
+        def close(entries: list[tuple[bytes, int, list[np.ndarray]]], shared: list[int]) -> None:
+            sizes = [sum(map(len, parts)) for _, _, parts in entries]
+            if sizes == [1]:
                 return
-            for (_, places), ranges in zip(entries, repeated_starts(entries, length), strict=True):
-                if not ranges:
-                    continue
-                for block, row, start in places.tolist():
-                    spans.setdefault(block, []).extend((row, start + a, start + b + length) for a, b in ranges)
-
-        group: list[tuple[bytes, np.ndarray]] = []
+            found = repeated_starts([(text, anchor, n) for (text, anchor, _), n in zip(entries, sizes, strict=True)], shared, length)
+            for (_, _, parts), ranges in zip(entries, found, strict=True):
+                for places in parts if ranges else ():
+                    for a, b in ranges:
+                        made = np.empty(len(places), dtype=SPAN)
+                        made["row"], made["start"], made["end"] = places["row"], places["start"] + a, places["start"] + (b + length)
+                        if len(places) == 1:
+                            spans.setdefault(int(places["block"][0]), []).append(made)
+                        else:
+                            for block in np.unique(places["block"]).tolist():
+                                spans.setdefault(block, []).append(made[places["block"] == block])
+
+        group: list[tuple[bytes, int, list[np.ndarray]]] = []
+        lengths: list[int] = []
         for text, shared, item in LoserTree([read_run(payload) for _, payload in rows]):
-            places = item[3]
             if group and shared == len(text) == len(group[-1][0]):
-                group[-1] = (text, np.concatenate([group[-1][1], places]))
+                group[-1][2].append(item[3])
                 continue
             if group and shared < HEAD:
-                close(group)
-                group = []
-            group.append((text, places))
+                close(group, lengths)
+                group, lengths = [], []
+            group.append((text, item[2], [item[3]]))
+            lengths.append(shared)
         if group:
-            close(group)
-        out = [{"bucket": bucket, "block": block, "payload": np.array(found, dtype=SPAN).tobytes()} for block, found in spans.items()]
+            close(group, lengths)
+        out = [{"bucket": bucket, "block": block, "payload": np.concatenate(found).tobytes()} for block, found in spans.items()]
         yield pa.RecordBatch.from_pylist(out, schema=DEALT_ARROW)
 
 
