@@ -58,7 +58,10 @@ def window_minima(hashes: np.ndarray, window: int) -> np.ndarray:
 
 
 def anchors(raw: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor places, their hashes, and the first and last start of the strings that each is the anchor of."""
+    """Anchor places, their grams, and the first and last start of the strings that each is the anchor of.
+
+    Grams are hashes mixed once more: as least hashes of windows they would all be small.
+    """
     empty = np.zeros(0, dtype=np.int64)
     if len(raw) < length:
         return empty, empty.astype(np.uint64), empty, empty
@@ -66,4 +69,4 @@ def anchors(raw: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.nda
     places = window_minima(hashes, length - gram + 1)
     first = np.flatnonzero(np.concatenate([[True], places[1:] != places[:-1]]))
     last = np.append(first[1:], len(places)) - 1
-    return places[first], hashes[places[first]], first, last
+    return places[first], mix(hashes[places[first]] + np.uint64(1)), first, last
