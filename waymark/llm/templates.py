@@ -63,14 +63,16 @@ def windows(rows: DataFrame, key: str, names: bool, lengths: list[int]) -> DataF
     """
     tokens = rows.select(key, tokens_of(token_text(F.col("text"), names)).alias("tokens"))
     own = tokens.select(key, F.transform("tokens", lambda token: F.xxhash64(token)).alias("h1"))
-    pair = lambda h, k: F.expr(f"case when size({h}) > {k} then transform(sequence(0, size({h}) - {k + 1}), i -> xxhash64(get({h}, i), get({h}, i + {k}))) else array(0L) end")
+    # an outer explode: the other kind's inferred filter would be moved down and make every lambda within a lambda
+    none = "cast(array() as array<bigint>)"
+    pair = lambda h, k: F.expr(f"case when size({h}) > {k} then transform(sequence(0, size({h}) - {k + 1}), i -> xxhash64(get({h}, i), get({h}, i + {k}))) else {none} end")
     own = own.select(key, "h1", pair("h1", 1).alias("h2"))
     own = own.select(key, "h1", pair("h2", 2).alias("h4"))
     own = own.select(key, "h1", pair("h4", 4).alias("h8"))
-    parts = [own.where(f"size(h1) >= {WINDOW}").select(key, F.lit(WINDOW).alias("length"), F.posexplode("h8").alias("place", "window"))]
+    parts = [own.select(key, F.lit(WINDOW).alias("length"), F.posexplode_outer("h8").alias("place", "window"))]
     for length in lengths:
-        every = F.expr(f"transform(sequence(0, size(h1) - {length}), i -> xxhash64({', '.join(f'get(h1, i + {k})' for k in range(length))}))")
-        parts.append(own.where(f"size(h1) >= {length}").select(key, F.lit(length).alias("length"), F.posexplode(every).alias("place", "window")))
+        every = F.expr(f"case when size(h1) >= {length} then transform(sequence(0, size(h1) - {length}), i -> xxhash64({', '.join(f'get(h1, i + {k})' for k in range(length))})) else {none} end")
+        parts.append(own.select(key, F.lit(length).alias("length"), F.posexplode_outer(every).alias("place", "window")))
     made = parts[0]
     for part in parts[1:]:
         made = made.union(part)
