@@ -27,7 +27,12 @@ def housenumber(prefix: Column, number: Column, suffix: Column) -> Column:
     A hyphen at the prefix's end pads the number to two digits; a prefix of up to six characters in one word is
     glued on, a longer one set apart; a suffix LOT is dropped with a flag, one that begins with . or - glued on.
     """
-    pre, num, suf = (F.coalesce(clean(part), F.lit("")) for part in (prefix, number, suffix))
+    parts = F.struct(*(F.coalesce(clean(part), F.lit("")).alias(name) for name, part in (("pre", prefix), ("num", number), ("suf", suffix))))
+    # a lambda over one row binds the cleaned parts, which would else be made anew wherever they are named
+    return F.element_at(F.transform(F.array(parts), lambda row: _housenumber(row.pre, row.num, row.suf)), 1)
+
+
+def _housenumber(pre: Column, num: Column, suf: Column) -> Column:
     digits = F.when(num.rlike(r"\A[0-9]+\z"), F.regexp_replace(num, r"\A0+(?=[0-9])", "")).otherwise(num)
     lot = F.upper(suf) == "LOT"
     drop = (
