@@ -8,7 +8,8 @@
 3. Posting lists are cut into chunks of CHUNK classes. Within a chunk the member nearest to the list's
    consensus leads; collisions of coordinates are counted against it, and members above the threshold become
    candidate pairs with it, until no member is left. Leaders of chunks of one list are compared in turn. So a
-   list of n members gives at most n pairs.
+   list of n members gives at most n pairs. Of all its leaders a member keeps the one that leads most. A list
+   in which no leader takes a member has had all its pairs compared and is dropped.
 4. Candidates are confirmed on the full shingle sets, and confirmed links give components.
 5. Members of a list outside its main component are compared, list by list, with all members of other
    components: first each with its BEST nearest, then with all above the threshold. Pairs that share several
@@ -48,8 +49,8 @@ _TERMS = _RNG.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
 
 SIGNED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("key", T.BinaryType()), T.StructField("sig", T.BinaryType())])
 SIGNED_ARROW = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("sig", pa.binary())])
-LISTS = T.StructType([T.StructField("token", T.LongType()), T.StructField("chunk", T.LongType()), T.StructField("n", T.LongType()), T.StructField("reps", T.BinaryType()), T.StructField("sigs", T.BinaryType()), T.StructField("prefixes", T.BinaryType())])
-LISTS_ARROW = pa.schema([("token", pa.int64()), ("chunk", pa.int64()), ("n", pa.int64()), ("reps", pa.binary()), ("sigs", pa.binary()), ("prefixes", pa.binary())])
+LISTS = T.StructType([T.StructField("token", T.LongType()), T.StructField("chunk", T.LongType()), T.StructField("n", T.LongType()), T.StructField("reps", T.ArrayType(T.LongType())), T.StructField("sigs", T.BinaryType()), T.StructField("prefixes", T.BinaryType())])
+LISTS_ARROW = pa.schema([("token", pa.int64()), ("chunk", pa.int64()), ("n", pa.int64()), ("reps", pa.list_(pa.int64())), ("sigs", pa.binary()), ("prefixes", pa.binary())])
 PAIRS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType()), T.StructField("grp", T.LongType())])
 PAIRS_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("grp", pa.int64())])
 LINKS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
@@ -93,8 +94,11 @@ def _sign(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBa
             yield pa.RecordBatch.from_arrays([pa.array(ids[a:b], pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())], schema=SIGNED_ARROW)
 
 
-def _gather_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (list key, token, chunk, rep, sig, prefix) in order of key, to a row per chunk."""
+def _gather_lists(batches: Iterator[pa.RecordBatch], matches: int) -> Iterator[pa.RecordBatch]:
+    """Rows (list key, token, chunk, rep, sig, prefix) in order of key, to a row per chunk.
+
+    A whole list in which no leader takes a member is dropped: then all its pairs have been compared.
+    """
     rows: list[dict] = []
     size = 0
     for _, group in grouped(batches):
@@ -103,9 +107,9 @@ def _gather_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             for held, value in zip(members.setdefault((token, chunk), ([], [], [])), (rep, sig, prefix), strict=True):
                 held.append(value)
         for (token, chunk), (reps, sigs, prefixes) in members.items():
-            if len(reps) < 2 and chunk == 0:
+            if chunk == 0 and (len(reps) < 2 or not any(len(taken) for _, taken in lead(np.array(reps), np.frombuffer(b"".join(sigs), "<u4").reshape(-1, COORDINATES), matches))):
                 continue
-            rows.append({"token": token, "chunk": chunk, "n": len(reps), "reps": np.array(reps, "<i8").tobytes(), "sigs": b"".join(sigs), "prefixes": np.array(prefixes, "<i8").tobytes()})
+            rows.append({"token": token, "chunk": chunk, "n": len(reps), "reps": reps, "sigs": b"".join(sigs), "prefixes": np.array(prefixes, "<i8").tobytes()})
             size += 272 * len(reps)
         if size > 4 << 20:
             yield pa.RecordBatch.from_pylist(rows, schema=LISTS_ARROW)
@@ -146,7 +150,7 @@ def _star_pairs(batches: Iterator[pa.RecordBatch], matches: int) -> Iterator[pa.
     for batch in batches:
         a, b = [], []
         for reps_raw, sigs_raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            reps, sigs = np.frombuffer(reps_raw, "<i8"), np.frombuffer(sigs_raw, "<u4").reshape(-1, COORDINATES)
+            reps, sigs = np.array(reps_raw, dtype=np.int64), np.frombuffer(sigs_raw, "<u4").reshape(-1, COORDINATES)
             for leader, members in lead(reps, sigs, matches):
                 a += [int(reps[leader])] * len(members)
                 b += reps[members].tolist()
@@ -158,7 +162,7 @@ def _leaders(batches: Iterator[pa.RecordBatch], matches: int) -> Iterator[pa.Rec
     for batch in batches:
         rows = []
         for token, n, reps_raw, sigs_raw in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-            reps, sigs = np.frombuffer(reps_raw, "<i8"), np.frombuffer(sigs_raw, "<u4").reshape(-1, COORDINATES)
+            reps, sigs = np.array(reps_raw, dtype=np.int64), np.frombuffer(sigs_raw, "<u4").reshape(-1, COORDINATES)
             for leader, _ in lead(reps, sigs, matches):
                 rows.append({"token": token, "rep": int(reps[leader]), "sig": sigs[leader].tobytes()})
         yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("token", pa.int64()), ("rep", pa.int64()), ("sig", pa.binary())]))
@@ -167,24 +171,27 @@ def _leaders(batches: Iterator[pa.RecordBatch], matches: int) -> Iterator[pa.Rec
 def _cross_pairs(batches: Iterator[pa.RecordBatch], matches: int, best: int) -> Iterator[pa.RecordBatch]:
     """Outsiders of lists against members of other components.
 
-    Rows (group, kind, token, rep, comp, sig, prefix, reps, sigs, prefixes), by group and kind: 0 the chunk's list row, 1 its
-    members' components, 2 outsiders.
+    Rows (group, kind, token, rep, comp, sig, prefix, reps, sigs, prefixes), by group and kind: 0 the list's or
+    chunk's row, 1 its members' components, 2 the outsiders of all chunks where a list has several. A whole
+    list's outsiders are its members outside its largest component.
     """
     for _, rows in grouped(batches):
-        reps = sigs = prefixes = token = None
+        reps = sigs = prefixes = comps = None
+        token, several = 0, False
         comp_of: dict[int, int] = {}
-        comps = None
-        pending: list[tuple[int, int, bytes, int]] = []
+        pending: list[tuple[int, int, np.ndarray, int]] = []
 
-        def compare() -> pa.RecordBatch | None:
+        def ready() -> None:
             nonlocal comps
-            if comps is None:
+            if comps is None and reps is not None:
                 comps = np.array([comp_of[x] for x in reps.tolist()], dtype=np.int64)
+
+        def compare() -> pa.RecordBatch | None:
             coordinate = token >> 32
             below = np.int64((1 << coordinate) - 1)
             a, b, grp = [], [], []
             for rep, comp, sig, prefix in pending:
-                equal = sigs == np.frombuffer(sig, "<u4")
+                equal = sigs == sig
                 hits = (equal.sum(axis=1) >= matches) & (comps != comp)
                 places = np.flatnonzero(hits)
                 if not len(places):
@@ -205,11 +212,21 @@ def _cross_pairs(batches: Iterator[pa.RecordBatch], matches: int, best: int) ->
         for kind, row_token, rep, comp, sig, prefix, reps_raw, sigs_raw, prefixes_raw in rows:
             if kind == 0:
                 token = row_token
-                reps, sigs, prefixes = np.frombuffer(reps_raw, "<i8"), np.frombuffer(sigs_raw, "<u4").reshape(-1, COORDINATES), np.frombuffer(prefixes_raw, "<i8")
+                reps, sigs, prefixes = np.array(reps_raw, dtype=np.int64), np.frombuffer(sigs_raw, "<u4").reshape(-1, COORDINATES), np.frombuffer(prefixes_raw, "<i8")
             elif kind == 1:
                 comp_of[rep] = comp
             else:
-                pending.append((rep, comp, sig, prefix))
+                several = True
+                ready()
+                pending.append((rep, comp, np.frombuffer(sig, "<u4"), prefix))
+                if len(pending) >= BLOCK and (out := compare()) is not None:
+                    yield out
+        ready()
+        if reps is not None and not several:
+            names, sizes = np.unique(comps, return_counts=True)
+            main = names[np.argmax(sizes)]
+            for place in np.flatnonzero(comps != main).tolist():
+                pending.append((int(reps[place]), int(comps[place]), sigs[place], int(prefixes[place])))
                 if len(pending) >= BLOCK and (out := compare()) is not None:
                     yield out
         if pending and reps is not None and (out := compare()) is not None:
@@ -276,13 +293,15 @@ def near_groups(spark: SparkSession, docs: DataFrame, words: int = 5, percent: i
     members = live.select("rep", "sig", "prefix", F.explode("tokens").alias("t")).select("rep", "sig", "prefix", F.col("t.token").alias("token"), F.col("t.df").alias("df"))
     members = members.withColumn("chunk", F.expr(f"case when df <= {CHUNK} then 0 else 1 + pmod(xxhash64(rep), cast(ceil(df / {CHUNK}) as bigint)) end"))
     keyed = members.select(F.xxhash64("token", "chunk").alias("list"), "token", "chunk", "rep", "sig", "prefix")
-    lists = written(spark, keyed.repartition("list").sortWithinPartitions("list", "rep").mapInArrow(_gather_lists, LISTS), "near-lists")
+    lists = written(spark, keyed.repartition("list").sortWithinPartitions("list", "rep").mapInArrow(lambda batches: _gather_lists(batches, matches), LISTS), "near-lists")
 
     stars = lists.select("reps", "sigs").mapInArrow(lambda batches: _star_pairs(batches, matches), PAIRS)
     chunked = lists.where("chunk > 0").select("token", "n", "reps", "sigs").mapInArrow(lambda batches: _leaders(batches, matches), "token long, rep long, sig binary")
     upper = chunked.select(F.col("token").alias("list"), "token", F.lit(0).cast("long").alias("chunk"), "rep", "sig", F.lit(0).cast("long").alias("prefix"))
-    upper = upper.repartition("list").sortWithinPartitions("list", "rep").mapInArrow(_gather_lists, LISTS).select("reps", "sigs").mapInArrow(lambda batches: _star_pairs(batches, matches), PAIRS)
-    pairs = written(spark, stars.unionByName(upper).distinct(), "near-pairs")
+    upper = upper.repartition("list").sortWithinPartitions("list", "rep").mapInArrow(lambda batches: _gather_lists(batches, matches), LISTS).select("reps", "sigs").mapInArrow(lambda batches: _star_pairs(batches, matches), PAIRS)
+    found = stars.unionByName(upper).select("a", "b").distinct()
+    led = found.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
+    pairs = written(spark, found.join(led, "a").groupBy("b").agg(F.max(F.struct("n", F.negative("a").alias("order"))).alias("top")).select(F.negative("top.order").alias("a"), "b").withColumn("grp", F.col("a")), "near-pairs")
     links = written(spark, confirm(spark, pairs, texts, words, percent), "near-links")
     labels = components(spark, links)
     for best in (BEST, 0):
@@ -299,18 +318,18 @@ def near_groups(spark: SparkSession, docs: DataFrame, words: int = 5, percent: i
 
 def _cross(spark: SparkSession, lists: DataFrame, live: DataFrame, labels: DataFrame, matches: int, best: int) -> DataFrame:
     """Candidate pairs across components, from lists that hold several."""
-    posted = live.select("rep", F.explode("tokens").alias("t")).select("rep", F.col("t.token").alias("token"), F.expr(f"case when t.df <= {CHUNK} then 0 else 1 + pmod(xxhash64(rep), cast(ceil(t.df / {CHUNK}) as bigint)) end").alias("chunk"))
+    posted = lists.select("token", "chunk", F.explode("reps").alias("rep"))
     placed = posted.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("token", "chunk", "rep", F.coalesce("label", "rep").alias("comp"))
     sizes = placed.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("n"))
     mains = sizes.groupBy("token").agg(F.max(F.struct("n", F.negative("comp").alias("order"))).alias("top"), F.count(F.lit(1)).alias("comps")).where("comps > 1").select("token", F.negative("top.order").alias("main"))
     split = written(spark, placed.join(mains, "token"), "near-split")
-    outs = split.where("comp <> main").select("token", "rep", "comp").join(live.select("rep", "sig", "prefix"), "rep")
+    outs = split.where("comp <> main and chunk > 0").select("token", "rep", "comp").join(live.select("rep", "sig", "prefix"), "rep")
     places = split.select("token", "chunk").distinct()
     nothing = lambda kind: F.lit(None).cast(kind)
     group = F.xxhash64("token", "chunk").alias("group")
     list_rows = lists.join(places, ["token", "chunk"], "left_semi").select(group, F.lit(0).alias("kind"), "token", nothing("long").alias("rep"), nothing("long").alias("comp"), nothing("binary").alias("sig"), nothing("long").alias("prefix"), "reps", "sigs", "prefixes")
-    member_rows = split.select(group, F.lit(1).alias("kind"), "token", "rep", "comp", nothing("binary").alias("sig"), nothing("long").alias("prefix"), nothing("binary").alias("reps"), nothing("binary").alias("sigs"), nothing("binary").alias("prefixes"))
-    out_rows = outs.join(places, "token").select(group, F.lit(2).alias("kind"), "token", "rep", "comp", "sig", "prefix", nothing("binary").alias("reps"), nothing("binary").alias("sigs"), nothing("binary").alias("prefixes"))
+    member_rows = split.select(group, F.lit(1).alias("kind"), "token", "rep", "comp", nothing("binary").alias("sig"), nothing("long").alias("prefix"), nothing("array<bigint>").alias("reps"), nothing("binary").alias("sigs"), nothing("binary").alias("prefixes"))
+    out_rows = outs.join(places, "token").select(group, F.lit(2).alias("kind"), "token", "rep", "comp", "sig", "prefix", nothing("array<bigint>").alias("reps"), nothing("binary").alias("sigs"), nothing("binary").alias("prefixes"))
     rows = list_rows.unionByName(member_rows).unionByName(out_rows)
     found = rows.repartition("group").sortWithinPartitions("group", "kind").mapInArrow(lambda batches: _cross_pairs(batches, matches, best), PAIRS)
     return written(spark, found.groupBy("a", "b").agg(F.min("grp").alias("grp")), "near-cross")
