@@ -69,3 +69,12 @@ def test_nothing(spark, odd_docs):
     assert t.contaminated(spark, odd_docs, bench.limit(0)).count() == 0
     kept = t.drop_contaminated(spark, odd_docs, bench)
     assert kept.count() == odd_docs.count() and kept.columns == odd_docs.columns
+
+
+def kinds_of(spark, texts, items=ITEMS):
+    return {r.doc_id: r.kind for r in run(spark, [(k, v, 1, "a") for k, v in texts.items()], items).collect()}
+
+
+def test_texts_that_begin_inside_an_item(spark):
+    copy, other = ITEMS[0][1].split(" ", 4)[4], DOCS[11].split(" ", 5)[5]
+    assert kinds_of(spark, {1: copy, 2: other, 3: DOCS[12].split(" ", 5)[5]}) == {1: "copy", 2: "re-parameterised"}

@@ -102,9 +102,10 @@ def matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataF
     plain = votes.join(slotted.select("item_id"), "item_id", "left_anti").select("doc_id", "item_id", "n_matched", F.col("per").alias("n_windows"), F.lit("copy").alias("kind"))
     tagged = lambda c: tokens_of(token_text(F.col(c), True, tagged=True))
     sides = votes.join(slotted.select("item_id", F.col("text").alias("item_text"), "size"), "item_id").join(texts, votes.doc_id.eqNullSafe(texts.doc_id)).select(votes.doc_id, "item_id", "n_matched", "per", "size", "shift", tagged("item_text").alias("a"), tagged("text").alias("b"))
-    paired = F.arrays_zip(F.expr("slice(a, 1, size)").alias("was"), F.expr("slice(b, cast(shift + 1 as int), size)").alias("now"))
+    sides = sides.withColumn("lead", F.expr("cast(greatest(0, -shift) as int)"))  # the item's tokens before the text's first
+    paired = F.arrays_zip(F.expr("slice(a, lead + 1, size)").alias("was"), F.expr("slice(b, cast(shift as int) + lead + 1, size - lead)").alias("now"))
     slots = F.filter(paired, lambda x: x.was.rlike("^[\u0001-\u0003]") & x.now.rlike("^[\u0001-\u0003]") & (F.substring(x.was, 1, 1) == F.substring(x.now, 1, 1)))
-    checked = sides.where("shift >= 0").select("doc_id", "item_id", "n_matched", "per", slots.alias("slots"))
+    checked = sides.select("doc_id", "item_id", "n_matched", "per", slots.alias("slots"))
     consistent = F.size(F.array_distinct("slots")) == F.size(F.array_distinct(F.expr("transform(slots, x -> x.was)")))
     kinds = checked.where(consistent).select("doc_id", "item_id", "n_matched", F.col("per").alias("n_windows"), F.when(F.exists("slots", lambda x: x.was != x.now), "re-parameterised").otherwise("copy").alias("kind"))
     return plain.unionByName(kinds).groupBy("doc_id", "item_id").agg(F.max("n_matched").alias("n_matched"), F.max("n_windows").alias("n_windows"), F.min("kind").alias("kind"))
