@@ -78,3 +78,12 @@ def kinds_of(spark, texts, items=ITEMS):
 def test_texts_that_begin_inside_an_item(spark):
     copy, other = ITEMS[0][1].split(" ", 4)[4], DOCS[11].split(" ", 5)[5]
     assert kinds_of(spark, {1: copy, 2: other, 3: DOCS[12].split(" ", 5)[5]}) == {1: "copy", 2: "re-parameterised"}
+
+
+FIVE = "{} has {} apples and {} pears at home. {} buys {} more apples in town. {} has {} plums in a big bag. {} gives {} of them away today.\n{} asks how many pieces of fruit are left?"
+
+
+def test_names_that_open_sentences(spark):
+    item = (9, FIVE.format("Alice", 5, 6, "Alice", 7, "Bob", 3, "Bob", 2, "Alice"))
+    texts = {1: FIVE.format("Zoe", 8, 9, "Zoe", 4, "Max", 1, "Max", 7, "Zoe"), 2: FIVE.format("Zoe", 8, 9, "Max", 4, "Zoe", 1, "Max", 7, "Zoe"), 3: item[1].upper()}
+    assert kinds_of(spark, texts, [item]) == {1: "re-parameterised", 3: "copy"}

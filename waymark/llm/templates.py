@@ -2,18 +2,19 @@
 
 Texts become streams of lower-case tokens in which numbers, units after numbers, and names are typed
 placeholders: a number is any token with a digit, a unit is a known unit word behind a number, a name is a
-capitalised word inside a sentence. Windows of WINDOW tokens are hashed and joined with those of the benchmark
-items; an item shorter than that has one window, itself, if it has at least SHORTEST tokens. A text or item
-with names has a second stream in which they are ordinary words, so that a copy in other case is found too.
+capitalised word inside a sentence. A capitalised word elsewhere, as at a sentence's begin, may be a name or not:
+there is a stream with it as a word and one with it as a name. In a third stream all names are ordinary words, so
+that a copy in other case is found too. Windows of WINDOW tokens are hashed and joined with those of the benchmark
+items; an item shorter than that has one window, itself, if it has at least SHORTEST tokens.
 
-Matched windows vote for the shift between text and item. Where at least SHARE of the item's windows agree on a
-shift, the slots of the template are checked: each value in the item's slots must stand for one value in the
-text's, wherever it comes. Equal values make the match a copy, others a re-parameterised question; values that
-contradict each other make it none.
+A window in common sets text and item side by side at a shift. Where at least SHARE of the item's windows
+agree on a shift, the slots of the template are checked: each value in the item's slots must stand for one value
+in the text's, wherever it comes. Equal values make the match a copy, others a re-parameterised question; values
+that contradict each other make it none.
 
 The benchmark's windows are broadcast only if a count proves them to be at most BROADCAST_WINDOWS; beyond that
 the join is left to the planner, which splits hot keys. A window that very many texts hold joins row by row;
-votes are aggregated partially, and no text's or window's rows are gathered beyond one text and item.
+shifts are aggregated partially, and no text's or window's rows are gathered beyond one text and item.
 
 Null and empty texts have no windows; repeated rows share their doc_id's result; a null id is reported as null;
 extra columns are ignored; an empty table gives no rows.
@@ -33,21 +34,20 @@ BROADCAST_WINDOWS = 1_000_000
 UNITS = "mm cm m km in ft mi inch inches foot feet yard yards mile miles meter meters metre metres kilometer kilometers kilometre kilometres g kg mg lb lbs oz gram grams kilogram kilograms pound pounds ounce ounces ton tons s sec secs second seconds min mins minute minutes h hr hrs hour hours day days week weeks month months year years l ml liter liters litre litres gallon gallons cup cups cent cents dollar dollars euro euros percent degree degrees mph kmh watt watts volt volts byte bytes kb mb gb".split()
 
 
-NAME, NUMBER, UNIT, JOINT = "\u0001", "\u0002", "\u0003", "\ue00a"
+NAME, NUMBER, UNIT, FIRST, JOINT = "\u0001", "\u0002", "\u0003", "\u0004", "\ue00a"
 
 
-def token_text(column: Column, names: bool, tagged: bool = False) -> Column:
-    """Tokens between single spaces. Placeholders stand for their values, or (tagged) in front of them."""
-    keep = "$0" if tagged else ""
-    text = F.regexp_replace(F.coalesce(column, F.lit("")), "[\u0001-\u0003\ue00a]", " ")
-    if names:  # a capitalised word behind a word, comma or semicolon
-        text = F.regexp_replace(text, r"(?<=[\p{L}\p{N},;] )\p{Lu}\p{Ll}++", NAME + keep)
+def token_text(column: Column) -> Column:
+    """Tokens between single spaces; placeholders are their values behind a mark. FIRST marks a word that may be a name."""
+    text = F.regexp_replace(F.coalesce(column, F.lit("")), "[\u0001-\u0004\ue00a]", " ")
+    capitalised = r"\p{Lu}\p{Ll}++(?![\p{L}\p{M}]*+\p{N})"
+    text = F.regexp_replace(text, rf"(?<=[\p{{L}}\p{{N}},;] ){capitalised}", NAME + "$0")  # behind a word, comma or semicolon
+    text = F.regexp_replace(text, rf"(?<![\p{{L}}\p{{N}}\p{{M}}{NAME}]){capitalised}", FIRST + "$0")
     text = F.lower(text)
-    numbers = F.regexp_replace(text, r"(?<=\p{N})[.,:/](?=\p{N})", JOINT)
-    numbers = F.regexp_replace(numbers, rf"(?<![\p{{L}}\p{{N}}\p{{M}}{JOINT}{NAME}])(?=\p{{L}}*+\p{{N}})[\p{{L}}\p{{N}}\p{{M}}{JOINT}]++", NUMBER + keep)
-    text = numbers
-    text = F.regexp_replace(text, rf"[^\p{{L}}\p{{N}}\p{{M}}{JOINT}{NAME}{NUMBER}]++", " ")
-    units = F.regexp_replace(text, rf"(?<=[{NUMBER}\p{{L}}\p{{N}}] )(?<={NUMBER}[\p{{L}}\p{{N}}\p{{M}}{JOINT}]{{0,40}} )(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}\p{{M}}])", UNIT + keep)
+    text = F.regexp_replace(text, r"(?<=\p{N})[.,:/](?=\p{N})", JOINT)
+    text = F.regexp_replace(text, rf"(?<![\p{{L}}\p{{N}}\p{{M}}{JOINT}{NAME}{FIRST}])(?=\p{{L}}*+\p{{N}})[\p{{L}}\p{{N}}\p{{M}}{JOINT}]++", NUMBER + "$0")
+    text = F.regexp_replace(text, rf"[^\p{{L}}\p{{N}}\p{{M}}{JOINT}{NAME}{NUMBER}{FIRST}]++", " ")
+    units = F.regexp_replace(text, rf"(?<=[{NUMBER}\p{{L}}\p{{N}}] )(?<={NUMBER}[\p{{L}}\p{{N}}\p{{M}}{JOINT}]{{0,40}} )(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}\p{{M}}])", UNIT + "$0")
     return F.trim(units)
 
 
@@ -55,60 +55,98 @@ def tokens_of(text: Column) -> Column:
     return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, " "))
 
 
-def windows(rows: DataFrame, key: str, names: bool, lengths: list[int]) -> DataFrame:
-    """(key, place, length, window hash) for every window of every text of rows (key, text).
+def _marked(token: Column) -> Column:
+    return token < "\u0005"
+
+
+def _value(token: Column) -> Column:
+    return F.when(_marked(token), F.substring(token, 2, 1_000_000_000)).otherwise(token)
+
+
+def _stream(names: bool, firsts: bool) -> Column:
+    """Hashes of the tokens, with placeholders for names inside sentences, and for words that may be names."""
+
+    def seen(token: Column) -> Column:
+        mark = F.substring(token, 1, 1)
+        name = F.lit(NAME)
+        return F.when(~_marked(token), token).when(mark == NAME, name if names else _value(token)).when(mark == FIRST, name if firsts else _value(token)).otherwise(mark)
+
+    return F.transform("tokens", lambda token: F.xxhash64(seen(token)))
+
+
+def windows(rows: DataFrame, key: str, lengths: list[int]) -> DataFrame:
+    """(key, length, place, window hash) for every window of every stream of rows (key, tokens).
 
     A full window's hash comes from the hashes of its halves, and theirs from quarters, so each token is hashed
     once; shorter lengths are hashed from the tokens' hashes.
     """
-    tokens = rows.select(key, tokens_of(token_text(F.col("text"), names)).alias("tokens"))
-    own = tokens.select(key, F.transform("tokens", lambda token: F.xxhash64(token)).alias("h1"))
-    # an outer explode: the other kind's inferred filter would be moved down and make every lambda within a lambda
+    # outer explodes: the other kind's inferred filter would be moved down and make every lambda within a lambda
+    own = rows.select(key, F.explode_outer(F.array_distinct(F.array(_stream(False, False), _stream(True, False), _stream(True, True)))).alias("h1"))
     none = "cast(array() as array<bigint>)"
     pair = lambda h, k: F.expr(f"case when size({h}) > {k} then transform(sequence(0, size({h}) - {k + 1}), i -> xxhash64(get({h}, i), get({h}, i + {k}))) else {none} end")
     own = own.select(key, "h1", pair("h1", 1).alias("h2"))
     own = own.select(key, "h1", pair("h2", 2).alias("h4"))
     own = own.select(key, "h1", pair("h4", 4).alias("h8"))
-    parts = [own.select(key, F.lit(WINDOW).alias("length"), F.posexplode_outer("h8").alias("place", "window"))]
-    for length in lengths:
-        every = F.expr(f"case when size(h1) >= {length} then transform(sequence(0, size(h1) - {length}), i -> xxhash64({', '.join(f'get(h1, i + {k})' for k in range(length))})) else {none} end")
-        parts.append(own.select(key, F.lit(length).alias("length"), F.posexplode_outer(every).alias("place", "window")))
-    made = parts[0]
-    for part in parts[1:]:
-        made = made.union(part)
+    every = lambda n: F.expr(f"case when size(h1) >= {n} then transform(sequence(0, size(h1) - {n}), i -> xxhash64({', '.join(f'get(h1, i + {k})' for k in range(n))})) else {none} end")
+    kinds = F.array(F.struct(F.lit(WINDOW).alias("length"), F.col("h8").alias("made")), *(F.struct(F.lit(n).alias("length"), every(n).alias("made")) for n in lengths))
+    own = own.select(key, F.explode_outer(kinds).alias("w"))
+    made = own.select(key, F.col("w.length").alias("length"), F.posexplode_outer("w.made").alias("place", "window"))
     return made.select(key, "length", F.col("place").cast("long").alias("place"), "window")
 
 
+def compared(sides: DataFrame) -> DataFrame:
+    """A row per token of the item that matches: place, win, cov, run, was, now, and n_win of the shift, twice: with and without FIRST as a name.
+
+    win tells whether the window that begins here matches, cov whether one that holds the token does, run the
+    same of three tokens; 2 is equal values, 1 equal placeholders.
+    """
+    own = sides.withColumn("lead", F.expr("cast(greatest(0, -shift) as int)"))  # the item's tokens before the text's first
+    own = own.withColumn("firsts", F.explode_outer(F.array(F.lit(NAME), F.lit(""))))
+    seen = lambda t: F.when(F.substring(t, 1, 1) == FIRST, F.concat("firsts", _value(t))).otherwise(t)
+    was, now = F.expr("slice(a, lead + 1, size)"), F.expr("slice(b, cast(shift as int) + lead + 1, size - lead)")
+    level = lambda x, y: F.when(_value(x) == _value(y), 2).when(_marked(x) & (F.substring(x, 1, 1) == F.substring(y, 1, 1)), 1).otherwise(0)
+    cells = F.zip_with(F.transform(was, seen), F.transform(now, seen), lambda x, y: F.struct(x.alias("was"), y.alias("now"), level(x, y).alias("level")))
+    keys = ["doc_id", "item_id", "size", "per", "shift", "lead", "firsts"]
+    least = lambda h, k: F.expr(f"transform(sequence(0, size({h}) - 1), i -> least(get({h}, i), coalesce(get({h}, i + {k}), 0)))")
+    most = lambda h, k: F.expr(f"transform(sequence(0, size({h}) - 1), i -> array_max(slice({h}, greatest(i - {k} + 1, 0) + 1, least({k}, i + 1))))")
+    own = own.select(*keys, cells.alias("cells"))
+    own = own.select(*keys, "cells", F.expr("cells.level").alias("m1"))
+    own = own.select(*keys, "cells", "m1", least("m1", 1).alias("m2"))
+    own = own.select(*keys, "cells", "m1", least("m2", 1).alias("m3"), least("m2", 2).alias("m4"))
+    own = own.select(*keys, "cells", "m1", "m3", least("m4", f"(least(size, {WINDOW}) - 4)").alias("win"))
+    own = own.select(*keys, F.size(F.filter("win", lambda x: x >= 1)).alias("n_win"), F.posexplode_outer(F.arrays_zip("cells", "m1", "win", most("win", f"least(size, {WINDOW})").alias("cov"), most("m3", 3).alias("run"))).alias("at", "c"))
+    return own.where("c.m1 >= 1").select(*keys[:5], "firsts", "n_win", (F.col("at") + F.col("lead")).alias("place"), "c.win", "c.cov", "c.run", "c.cells.was", "c.cells.now")
+
+
 def matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per contaminated text and item: doc_id, item_id, n_matched, n_windows, kind."""
-    items = written(spark, benchmark.select("item_id", "text").where("text is not null").select("item_id", "text", F.size(tokens_of(token_text(F.col("text"), True))).alias("size")).where(F.col("size") >= SHORTEST), "bench-items")
+    tokens = tokens_of(token_text(F.col("text")))
+    items = benchmark.where("text is not null").select("item_id", tokens.alias("tokens")).withColumn("size", F.size("tokens")).where(F.col("size") >= SHORTEST)
+    items = written(spark, items.withColumn("per", F.greatest(F.col("size") - (WINDOW - 1), F.lit(1))), "bench-items")
     short = sorted(row.size_ for row in items.where(F.col("size") < WINDOW).select(F.col("size").alias("size_")).distinct().collect())
-    has_name = token_text(F.col("text"), True).contains(NAME)
-    own = items.withColumn("per", F.greatest(F.col("size") - (WINDOW - 1), F.lit(1)).cast("long"))
     fits = F.col("length") == F.least(F.col("size"), F.lit(WINDOW))
-    streams = windows(own.select("item_id", "text"), "item_id", True, short).union(windows(own.where(has_name).select("item_id", "text"), "item_id", False, short))
-    posted = streams.join(own.select("item_id", "size", "per"), "item_id").where(fits).select("item_id", "per", "length", "window", F.col("place").alias("item_place")).distinct()
+    posted = windows(items, "item_id", short).join(items.select("item_id", "size"), "item_id").where(fits).select("item_id", "window", F.col("place").alias("item_place")).distinct()
     posted = written(spark, posted, "bench-windows")
     if posted.count() <= BROADCAST_WINDOWS:
         posted = F.broadcast(posted)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null")
-    cased = texts.where(F.col("text").rlike(r"[\p{L}\p{N},;] \p{Lu}\p{Ll}"))
-    found = windows(texts, "doc_id", True, short).join(posted, ["window", "length"]).union(windows(cased, "doc_id", False, short).join(posted, ["window", "length"]))
-    shift = found.select("doc_id", "item_id", "per", (F.col("place") - F.col("item_place")).alias("shift"), "item_place").distinct()
-    votes = shift.groupBy("doc_id", "item_id", "per", "shift").agg(F.count(F.lit(1)).alias("n_matched")).where(F.col("n_matched") >= SHARE * F.col("per"))
-    votes = written(spark, votes, "bench-votes")
-
-    slotted = items.where(token_text(F.col("text"), True).rlike("[\u0001-\u0003]"))
-    plain = votes.join(slotted.select("item_id"), "item_id", "left_anti").select("doc_id", "item_id", "n_matched", F.col("per").alias("n_windows"), F.lit("copy").alias("kind"))
-    tagged = lambda c: tokens_of(token_text(F.col(c), True, tagged=True))
-    sides = votes.join(slotted.select("item_id", F.col("text").alias("item_text"), "size"), "item_id").join(texts, votes.doc_id.eqNullSafe(texts.doc_id)).select(votes.doc_id, "item_id", "n_matched", "per", "size", "shift", tagged("item_text").alias("a"), tagged("text").alias("b"))
-    sides = sides.withColumn("lead", F.expr("cast(greatest(0, -shift) as int)"))  # the item's tokens before the text's first
-    paired = F.arrays_zip(F.expr("slice(a, lead + 1, size)").alias("was"), F.expr("slice(b, cast(shift as int) + lead + 1, size - lead)").alias("now"))
-    slots = F.filter(paired, lambda x: x.was.rlike("^[\u0001-\u0003]") & x.now.rlike("^[\u0001-\u0003]") & (F.substring(x.was, 1, 1) == F.substring(x.now, 1, 1)))
-    checked = sides.select("doc_id", "item_id", "n_matched", "per", slots.alias("slots"))
-    consistent = F.size(F.array_distinct("slots")) == F.size(F.array_distinct(F.expr("transform(slots, x -> x.was)")))
-    kinds = checked.where(consistent).select("doc_id", "item_id", "n_matched", F.col("per").alias("n_windows"), F.when(F.exists("slots", lambda x: x.was != x.now), "re-parameterised").otherwise("copy").alias("kind"))
-    return plain.unionByName(kinds).groupBy("doc_id", "item_id").agg(F.max("n_matched").alias("n_matched"), F.max("n_windows").alias("n_windows"), F.min("kind").alias("kind"))
+    found = windows(texts.select("doc_id", tokens.alias("tokens")), "doc_id", short).join(posted, "window")
+    shifts = written(spark, found.select("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("shift")).distinct(), "bench-shifts")
+
+    ids = shifts.select(F.col("doc_id").alias("id__")).distinct()
+    some = texts.join(ids, texts.doc_id.eqNullSafe(ids["id__"]), "left_semi").select(F.col("doc_id").alias("id__"), tokens.alias("b"))
+    sides = shifts.join(items.select("item_id", "size", "per", F.col("tokens").alias("a")), "item_id").join(some, shifts.doc_id.eqNullSafe(some["id__"])).drop("id__")
+    cells = compared(sides)
+    cells = cells.withColumn("band", F.col("shift"))
+    keys = ["doc_id", "item_id", "size", "per", "firsts", "band"]
+    best = F.max(F.struct("cov", "run", "n_win", "shift", "was", "now")).alias("best")
+    places = cells.groupBy(*keys, "place").agg(F.max("win").alias("win"), F.max("run").alias("run"), best)
+    slot = F.when(_marked(F.col("best.was")) & (F.substring("best.was", 1, 1) == F.substring("best.now", 1, 1)), F.struct("best.was", "best.now"))
+    judged = places.groupBy(*keys).agg(F.count_if(F.col("win") >= 1).alias("n_matched"), F.collect_set(slot).alias("slots"))
+    consistent = lambda s: F.size(s) == F.size(F.array_distinct(F.transform(s, lambda x: x.was)))
+    kind = F.when(F.exists("slots", lambda x: x.was != x.now), "re-parameterised").otherwise("copy")
+    judged = judged.withColumn("kind", F.when((F.col("n_matched") >= SHARE * F.col("per")) & consistent("slots"), kind))
+    return judged.where("kind is not null").groupBy("doc_id", "item_id").agg(F.max("n_matched").cast("long").alias("n_matched"), F.max("per").cast("long").alias("n_windows"), F.min("kind").alias("kind"))
 
 
 def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
