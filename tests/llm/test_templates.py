@@ -87,3 +87,12 @@ def test_names_that_open_sentences(spark):
     item = (9, FIVE.format("Alice", 5, 6, "Alice", 7, "Bob", 3, "Bob", 2, "Alice"))
     texts = {1: FIVE.format("Zoe", 8, 9, "Zoe", 4, "Max", 1, "Max", 7, "Zoe"), 2: FIVE.format("Zoe", 8, 9, "Max", 4, "Zoe", 1, "Max", 7, "Zoe"), 3: item[1].upper()}
     assert kinds_of(spark, texts, [item]) == {1: "re-parameterised", 3: "copy"}
+
+
+def test_light_edits(spark):
+    rng = random.Random(8)
+    item = " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(37))
+    w = item.split()
+    texts = {1: " ".join([*w[:19], "zzz", *w[19:]]), 2: " ".join([*w[:18], *w[19:]]), 3: " ".join([*w[:10], "zz", *w[11:24], "zz", *w[25:]]), 4: " ".join([*w[:9], "zz", *w[10:19], "zz", *w[20:29], "zz", *w[30:]])}
+    texts |= {5: " ".join(w[:20]), 6: " ".join(w[:8] + w[28:]), 7: " ".join([*w[:19], *["zzz"] * 30, *w[19:]])}
+    assert set(kinds_of(spark, texts, [(9, item)])) == {1, 2, 3, 4, 7}

@@ -7,10 +7,16 @@ there is a stream with it as a word and one with it as a name. In a third stream
 that a copy in other case is found too. Windows of WINDOW tokens are hashed and joined with those of the benchmark
 items; an item shorter than that has one window, itself, if it has at least SHORTEST tokens.
 
-A window in common sets text and item side by side at a shift. Where at least SHARE of the item's windows
-agree on a shift, the slots of the template are checked: each value in the item's slots must stand for one value
-in the text's, wherever it comes. Equal values make the match a copy, others a re-parameterised question; values
-that contradict each other make it none.
+A window in common sets text and item side by side at a shift; tokens are then compared. The shifts of a band
+as wide as two items, which overlap by half, count together: inserted and deleted words move what follows. An
+item is found where at least SHARE of its windows match, or one window matches and more than TOKENS of its tokens
+do, in runs of three or more; the latter finds items with words replaced here and there (there, words that may be
+names always are, lest changed names pass for replaced words). Not found are passages and edits
+below both, and items with no WINDOW tokens in a row unchanged.
+
+Slots of the template are checked: each value in the item's slots must stand for one value in the text's,
+wherever it comes. Equal values make the match a copy, others a re-parameterised question; values that
+contradict each other make it none.
 
 The benchmark's windows are broadcast only if a count proves them to be at most BROADCAST_WINDOWS; beyond that
 the join is left to the planner, which splits hot keys. A window that very many texts hold joins row by row;
@@ -28,6 +34,7 @@ from pyspark.sql import functions as F
 from waymark.llm.common import written
 
 WINDOW, SHORTEST, SHARE = 8, 5, 0.5
+TOKENS = 0.8
 #: At 24 bytes a window, 24 MB.
 BROADCAST_WINDOWS = 1_000_000
 #: Unit words, as singular and plural or as abbreviations.
@@ -137,15 +144,16 @@ def matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataF
     some = texts.join(ids, texts.doc_id.eqNullSafe(ids["id__"]), "left_semi").select(F.col("doc_id").alias("id__"), tokens.alias("b"))
     sides = shifts.join(items.select("item_id", "size", "per", F.col("tokens").alias("a")), "item_id").join(some, shifts.doc_id.eqNullSafe(some["id__"])).drop("id__")
     cells = compared(sides)
-    cells = cells.withColumn("band", F.col("shift"))
+    cells = cells.withColumn("band", F.explode(F.expr("array(2 * floor(shift / (2 * size)), 2 * floor((shift + size) / (2 * size)) + 1)")))
     keys = ["doc_id", "item_id", "size", "per", "firsts", "band"]
     best = F.max(F.struct("cov", "run", "n_win", "shift", "was", "now")).alias("best")
     places = cells.groupBy(*keys, "place").agg(F.max("win").alias("win"), F.max("run").alias("run"), best)
     slot = F.when(_marked(F.col("best.was")) & (F.substring("best.was", 1, 1) == F.substring("best.now", 1, 1)), F.struct("best.was", "best.now"))
-    judged = places.groupBy(*keys).agg(F.count_if(F.col("win") >= 1).alias("n_matched"), F.collect_set(slot).alias("slots"))
+    judged = places.groupBy(*keys).agg(F.count_if(F.col("win") >= 1).alias("n_matched"), F.count_if(F.col("run") >= 1).alias("n_tokens"), F.collect_set(slot).alias("slots"))
     consistent = lambda s: F.size(s) == F.size(F.array_distinct(F.transform(s, lambda x: x.was)))
+    enough = lambda n, m: (F.col(n) >= SHARE * F.col("per")) | (F.col("firsts") == NAME) & (F.col(n) >= 1) & (F.col(m) > TOKENS * F.col("size"))
     kind = F.when(F.exists("slots", lambda x: x.was != x.now), "re-parameterised").otherwise("copy")
-    judged = judged.withColumn("kind", F.when((F.col("n_matched") >= SHARE * F.col("per")) & consistent("slots"), kind))
+    judged = judged.withColumn("kind", F.when(enough("n_matched", "n_tokens") & consistent("slots"), kind))
     return judged.where("kind is not null").groupBy("doc_id", "item_id").agg(F.max("n_matched").cast("long").alias("n_matched"), F.max("per").cast("long").alias("n_windows"), F.min("kind").alias("kind"))
 
 
