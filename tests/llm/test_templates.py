@@ -96,3 +96,10 @@ def test_light_edits(spark):
     texts = {1: " ".join([*w[:19], "zzz", *w[19:]]), 2: " ".join([*w[:18], *w[19:]]), 3: " ".join([*w[:10], "zz", *w[11:24], "zz", *w[25:]]), 4: " ".join([*w[:9], "zz", *w[10:19], "zz", *w[20:29], "zz", *w[30:]])}
     texts |= {5: " ".join(w[:20]), 6: " ".join(w[:8] + w[28:]), 7: " ".join([*w[:19], *["zzz"] * 30, *w[19:]])}
     assert set(kinds_of(spark, texts, [(9, item)])) == {1, 2, 3, 4, 7}
+
+
+def test_slots_outside_matched_windows(spark):
+    item = (9, "The farmer sold 5 crates of ripe plums before noon and later that day drove 5 more crates over to Kassel where his cousin Anna had a stall with Anna's bread and 5 kinds of cheese from Kassel dairies")
+    w = item[1].split()
+    texts = {1: " ".join(w[:27]) + " and then Lena took us to Bremen with Mara and 9 others from Ulm by the evening train", 2: item[1].replace("drove 5", "drove 6"), 3: item[1].replace("5", "8"), 4: DOCS[12]}
+    assert kinds_of(spark, texts, [item, ITEMS[0]]) == {1: "copy", 2: "copy", 3: "re-parameterised"}

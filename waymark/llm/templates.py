@@ -14,9 +14,10 @@ do, in runs of three or more; the latter finds items with words replaced here an
 names always are, lest changed names pass for replaced words). Not found are passages and edits
 below both, and items with no WINDOW tokens in a row unchanged.
 
-Slots of the template are checked: each value in the item's slots must stand for one value in the text's,
-wherever it comes. Equal values make the match a copy, others a re-parameterised question; values that
-contradict each other make it none.
+Slots are checked in matched windows, or in matched runs where these decide: each value in the item's slots must
+stand for one value in the text's, wherever it comes. Equal values make the match a copy, others a
+re-parameterised question. Values that contradict each other make it none, unless the windows or tokens that are
+equal word for word suffice alone: then it is a copy.
 
 The benchmark's windows are broadcast only if a count proves them to be at most BROADCAST_WINDOWS; beyond that
 the join is left to the planner, which splits hot keys. A window that very many texts hold joins row by row;
@@ -149,11 +150,17 @@ def matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataF
     best = F.max(F.struct("cov", "run", "n_win", "shift", "was", "now")).alias("best")
     places = cells.groupBy(*keys, "place").agg(F.max("win").alias("win"), F.max("run").alias("run"), best)
     slot = F.when(_marked(F.col("best.was")) & (F.substring("best.was", 1, 1) == F.substring("best.now", 1, 1)), F.struct("best.was", "best.now"))
-    judged = places.groupBy(*keys).agg(F.count_if(F.col("win") >= 1).alias("n_matched"), F.count_if(F.col("run") >= 1).alias("n_tokens"), F.collect_set(slot).alias("slots"))
+    count = lambda c, level: F.count_if(F.col(c) >= level)
+    judged = places.groupBy(*keys).agg(
+        count("win", 1).alias("n_matched"), count("run", 1).alias("n_tokens"), count("win", 2).alias("equal_windows"), count("run", 2).alias("equal_tokens"),
+        F.collect_set(F.when(F.col("best.cov") >= 1, slot)).alias("in_windows"), F.collect_set(F.when(F.col("run") >= 1, slot)).alias("in_runs"),
+    )
     consistent = lambda s: F.size(s) == F.size(F.array_distinct(F.transform(s, lambda x: x.was)))
-    enough = lambda n, m: (F.col(n) >= SHARE * F.col("per")) | (F.col("firsts") == NAME) & (F.col(n) >= 1) & (F.col(m) > TOKENS * F.col("size"))
-    kind = F.when(F.exists("slots", lambda x: x.was != x.now), "re-parameterised").otherwise("copy")
-    judged = judged.withColumn("kind", F.when(enough("n_matched", "n_tokens") & consistent("slots"), kind))
+    kind = lambda s: F.when(F.exists(s, lambda x: x.was != x.now), "re-parameterised").otherwise("copy")
+    half = lambda n: F.col(n) >= SHARE * F.col("per")
+    most = lambda n, m: (F.col(n) >= 1) & (F.col(m) > TOKENS * F.col("size"))
+    verdict = F.when(half("n_matched") & consistent("in_windows"), kind("in_windows")).when((F.col("firsts") == NAME) & most("n_matched", "n_tokens") & consistent("in_runs"), kind("in_runs"))
+    judged = judged.withColumn("kind", verdict.when(half("equal_windows") | most("equal_windows", "equal_tokens"), "copy"))
     return judged.where("kind is not null").groupBy("doc_id", "item_id").agg(F.max("n_matched").cast("long").alias("n_matched"), F.max("per").cast("long").alias("n_windows"), F.min("kind").alias("kind"))
 
 
