@@ -59,3 +59,11 @@ def test_escape_round_trip():
         assert c.unescape(c.escape(text)) == text
         formatted, start, end = c.format_turn(text, text)
         assert list(c.parse_turns(formatted * 2)) == [(text, text, start, end), (text, text, start + len(formatted), end + len(formatted))]
+
+
+def test_long_system_turn_stays():
+    turns = lambda: iter([c.Turn("system", "s", 600, 0, 1), *(c.Turn("user", "u", 200, 0, 1) for _ in range(6))])
+    found = list(c.windows_of(turns(), 1024, 256))
+    assert len(found) > 1 and all(len(system) == 1 for system, _, _ in found) and sum(len(new) for _, _, new in found) == 6
+    alone = list(c.windows_of(turns(), 500, 100))
+    assert [(len(s), len(r), len(n)) for s, r, n in alone] == [(1, 0, 1)] * 6

@@ -4,8 +4,8 @@ A turn is written as ``### Role: `` with its escaped text and ``</turn>``; in ro
 the strings that mark turns are escaped, so the format can be read back exactly. Prefix sums of the turns'
 tokens choose spans of whole turns: a window holds the conversation's leading system turns, then repeated
 history of at most ``history`` tokens, then as many new turns as the budget leaves room for. History makes way
-where the first new turn would not fit; a turn that is alone above the budget gets a window of its own, marked
-over_budget. The loss mask covers the texts of assistant turns where they are new, so that each target counts
+where the first new turn would not fit; a turn that is above the budget alone or with the system turns, which stay
+whatever their length, gets a window of its own, marked over_budget. The loss mask covers the texts of assistant turns where they are new, so that each target counts
 once however often it is repeated.
 
 Conversations are dealt by conv_id and sorted by turn; a task reads them as a stream and holds one window, so a
@@ -102,7 +102,7 @@ def windows_of(turns: Iterator[Turn], budget: int, history: int) -> Iterator[tup
     repeated: list[Turn] = []
     used = 0
     for turn in turns:
-        if leading and turn.role == SYSTEM_ROLE and system_tokens + turn.tokens <= budget // 2:
+        if leading and turn.role == SYSTEM_ROLE:
             system.append(turn)
             system_tokens += turn.tokens
             continue
