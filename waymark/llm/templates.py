@@ -48,19 +48,19 @@ NAME, NUMBER, UNIT, FIRST, JOINT = "\u0001", "\u0002", "\u0003", "\u0004", "\ue0
 def token_text(column: Column) -> Column:
     """Tokens between single spaces; placeholders are their values behind a mark. FIRST marks a word that may be a name."""
     text = F.regexp_replace(F.coalesce(column, F.lit("")), "[\u0001-\u0004\ue00a]", " ")
-    capitalised = r"\p{Lu}\p{Ll}++(?![\p{L}\p{M}]*+\p{N})"
-    text = F.regexp_replace(text, rf"(?<=[\p{{L}}\p{{N}},;] ){capitalised}", NAME + "$0")  # behind a word, comma or semicolon
-    text = F.regexp_replace(text, rf"(?<![\p{{L}}\p{{N}}\p{{M}}{NAME}]){capitalised}", FIRST + "$0")
+    rest = r"\p{Ll}++(?![\p{L}\p{M}]*+\p{N})"  # characters come before what looks behind them, which is tried less often so
+    text = F.regexp_replace(text, rf"\p{{Lu}}(?<=[\p{{L}}\p{{N}},;] \p{{Lu}}){rest}", NAME + "$0")  # behind a word, comma or semicolon
+    text = F.regexp_replace(text, rf"\p{{Lu}}(?<![\p{{L}}\p{{N}}\p{{M}}{NAME}]\p{{Lu}}){rest}", FIRST + "$0")
     text = F.lower(text)
-    text = F.regexp_replace(text, r"(?<=\p{N})[.,:/](?=\p{N})", JOINT)
+    text = F.regexp_replace(text, r"[.,:/](?<=\p{N}[.,:/])(?=\p{N})", JOINT)
     text = F.regexp_replace(text, rf"(?<![\p{{L}}\p{{N}}\p{{M}}{JOINT}{NAME}{FIRST}])(?=\p{{L}}*+\p{{N}})[\p{{L}}\p{{N}}\p{{M}}{JOINT}]++", NUMBER + "$0")
     text = F.regexp_replace(text, rf"[^\p{{L}}\p{{N}}\p{{M}}{JOINT}{NAME}{NUMBER}{FIRST}]++", " ")
-    units = F.regexp_replace(text, rf"(?<=[{NUMBER}\p{{L}}\p{{N}}] )(?<={NUMBER}[\p{{L}}\p{{N}}\p{{M}}{JOINT}]{{0,40}} )(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}\p{{M}}])", UNIT + "$0")
+    units = F.regexp_replace(text, rf"({NUMBER}(?:[\p{{L}}\p{{N}}\p{{M}}{JOINT}]{{0,39}}[\p{{L}}\p{{N}}])? )({'|'.join(UNITS)})(?![\p{{L}}\p{{N}}\p{{M}}])", f"$1{UNIT}$2")
     return F.trim(units)
 
 
 def tokens_of(text: Column) -> Column:
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, " "))
+    return F.array_remove(F.split(text, " "), "")  # a condition would make the text twice
 
 
 def _marked(token: Column) -> Column:
@@ -91,10 +91,10 @@ def windows(rows: DataFrame, key: str, lengths: list[int]) -> DataFrame:
     # outer explodes: the other kind's inferred filter would be moved down and make every lambda within a lambda
     own = rows.select(key, F.explode_outer(F.array_distinct(F.array(_stream(False, False), _stream(True, False), _stream(True, True)))).alias("h1"))
     none = "cast(array() as array<bigint>)"
-    pair = lambda h, k: F.expr(f"case when size({h}) > {k} then transform(sequence(0, size({h}) - {k + 1}), i -> xxhash64(get({h}, i), get({h}, i + {k}))) else {none} end")
+    pair = lambda h, k: F.expr(f"transform({h}, (x, i) -> xxhash64(x, get({h}, i + {k})))")  # the last are of less than a window, and cut off
     own = own.select(key, "h1", pair("h1", 1).alias("h2"))
     own = own.select(key, "h1", pair("h2", 2).alias("h4"))
-    own = own.select(key, "h1", pair("h4", 4).alias("h8"))
+    own = own.select(key, "h1", F.slice(pair("h4", 4), F.lit(1), F.greatest(F.size("h1") - (WINDOW - 1), F.lit(0))).alias("h8"))
     every = lambda n: F.expr(f"case when size(h1) >= {n} then transform(sequence(0, size(h1) - {n}), i -> xxhash64({', '.join(f'get(h1, i + {k})' for k in range(n))})) else {none} end")
     kinds = F.array(F.struct(F.lit(WINDOW).alias("length"), F.col("h8").alias("made")), *(F.struct(F.lit(n).alias("length"), every(n).alias("made")) for n in lengths))
     own = own.select(key, F.explode_outer(kinds).alias("w"))
