@@ -116,3 +116,9 @@ def test_quantiles():
     assert abs(mcd.chi_squared_quantile(0.95, 1) - 3.841458820694124) < 1e-9
     assert abs(mcd.chi_squared_quantile(0.99, 5) - 15.08627246938899) < 1e-9
     assert mcd.consistency(0.999999, 5) < 1.001
+
+
+def test_a_source_of_some_tens_has_its_own_estimates(spark):
+    rows = [(i, t, lang, "small" if i < 350 else "large") for i, t, lang, _ in corpus()[:700]]
+    got = mcd.quality_verdicts(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    assert {r.level for r in got if not r.base_failed and r.doc_id < 350} == {"source"}

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from waymark.llm.common import written
 
-SHARE, STEPS, MIN_GROUP = 0.75, 3, 500
+SHARE, STEPS, MIN_GROUP = 0.75, 3, 50
 #: Largest squared distance of a text that is kept. With five statistics a normal sample is above it with a
 #: probability below 1e-18: texts' statistics have longer tails, and clean texts must stay.
 LIMIT = 100.0
