@@ -81,6 +81,7 @@ def test_groups(spark, words):
 def test_chunked_lists(spark, monkeypatch):
     monkeypatch.setattr(minhash_join, "CHUNK", 16)
     monkeypatch.setattr(minhash_join, "BLOCK", 8)
+    monkeypatch.setattr(minhash_join, "FREQUENT", 1)
     rows = corpus(9)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     got = minhash_join.near_groups(spark, df, 2).collect()
@@ -94,6 +95,35 @@ def test_odd_rows(spark, odd_docs):
     assert minhash_join.near_groups(spark, odd_docs.limit(0), 2).count() == 0
 
 
+def test_a_document_with_two_texts_links_both(spark):
+    words = [f"w{i}" for i in range(80)]
+    one, two = " ".join(words[:40]), " ".join(words[40:])
+    df = spark.createDataFrame([(5, one), (5, two), (7, one + " tail"), (6, two + " tail"), (8, "apart")], "doc_id long, text string")
+    assert {(r.doc_id, r.component_id) for r in minhash_join.near_groups(spark, df, 2).collect()} == {(5, 5), (6, 5), (7, 5), (8, 8)}
+
+
+@pytest.mark.parametrize("spread", [2, 256])
+def test_edges_of_long_lists(spread):
+    """Both ways through a list connect what all pairs connect; few byte values make the pairs of bytes too common to help."""
+    rng = np.random.default_rng(spread)
+    sigs = rng.integers(0, spread, (400, 64), dtype=np.uint8)
+    for k in range(1, 400, 3):
+        sigs[k] = np.where(rng.random(64) < 0.75, sigs[k - 1], sigs[k])
+    comps, sizes = rng.integers(0, 350, 400), rng.integers(80, 120, 400)
+
+    def labels(pairs):
+        name = list(range(350))
+        for a, b in pairs:
+            a, b = name[a], name[b]
+            name = [min(a, b) if x in (a, b) else x for x in name]
+        return name
+
+    for own in (np.ones(400, bool), np.arange(400) % 4 == 0):
+        pairs = [(comps[i], comps[j]) for i in range(400) for j in range(400) if (own[i] or own[j]) and (sigs[i] == sigs[j]).sum() >= 34 and 100 * min(sizes[i], sizes[j]) >= 80 * max(sizes[i], sizes[j])]
+        got = minhash_join.list_edges(own, comps, sizes, sigs, 34, 80).tolist()
+        assert len(got) < 350 and labels(got) == labels(pairs)
+
+
 def test_components_of_a_chain(spark):
     n = 70
     links = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(500, 400), (400, 500), (9, 9)], "a long, b long")

@@ -1,26 +1,32 @@
 """Near-duplicate groups by an inverted join of MinHash signature coordinates.
 
 1. Each text's set of word shingles gives its size, a 128-bit key of the whole set and a signature of
-   COORDINATES minima. Rows with equal keys form a class; from here on there is one row per class.
-2. Classes are posted under each coordinate-value pair. A pair of values that one class alone has is dropped;
-   the others are ordered by rarity, and of each class only the prefix stays in which any other class with
-   MATCHES equal coordinates must share a posting: COORDINATES - MATCHES + 1 rarest ones.
-3. Posting lists are cut into chunks of CHUNK classes. Within a chunk the member nearest to the list's
-   consensus leads; collisions of coordinates are counted against it, and members above the threshold become
-   candidate pairs with it, until no member is left. Leaders of chunks of one list are compared in turn. So a
-   list of n members gives at most n pairs. Of all its leaders a member keeps the one that leads most. A list
-   in which no leader takes a member has had all its pairs compared and is dropped.
-4. Candidates are confirmed on the full shingle sets, and confirmed links give components.
-5. Members of a list outside its main component are compared, list by list, with all members of other
-   components: first each with its BEST nearest, then with all above the threshold. Pairs that share several
-   lists are skipped in all but one. What stays apart has been checked against everything it could be linked
-   with; pairs inside one component need no check.
-
-A pair of Jaccard similarity 0.8 has fewer than 32 of 64 equal coordinates with a probability of 2e-8.
-
-Null and empty texts have no shingles and are linked with nothing. Rows that share a doc_id are one document. A
-row with a null doc_id is compared with nothing: its component_id is null and it is kept. Extra columns are
-ignored; an empty table gives no rows.
+   COORDINATES minima. Rows with equal keys form a class, and from here on there is one row per class.
+2. Classes are posted under each coordinate-value pair. A pair that one class alone has is dropped; the others are
+   ordered by rarity, and of each class only the prefix stays in which any other class with MATCHES equal
+   coordinates must share a posting: the COORDINATES - MATCHES + 1 rarest ones.
+3. Groups: under its FREQUENT commonest pairs a class meets the bulk of a large group of copies. The member
+   nearest to the list's consensus leads, and those with enough equal coordinates follow it; the best leaders of
+   each class are confirmed on the full shingle sets, and confirmed links give components. This only saves work:
+   what it misses is found next.
+4. Merging: each posting list of the prefixes is merged, and members of one component skip each other. Where
+   members of different components have MATCHES equal coordinates and sizes that allow the similarity, the two
+   components are joined to a cluster. A list gives fewer rows than it has components, never its pairs.
+5. Verdicts: in a cluster of several components, the members outside its largest one are held against all others,
+   in blocks of BLOCK by BLOCK, on signatures first and then on full sets. So every pair that shares a posting,
+   has MATCHES equal coordinates and lies in two components is decided on its full sets.
+
+A posting carries one byte a coordinate: bytes of unequal minima are equal once in 256, which adds candidates
+but loses none. Lists over CHUNK are cut; the members outside a list's largest component then go to each piece.
+Inside a list, classes meet by 16-bit pairs of coordinates where that is less work than each with each: of
+COORDINATES / 2 pairs, enough are equal that any COORDINATES - MATCHES + 1 of them hold an equal one.
+
+A pair of Jaccard similarity 0.8 has fewer than 34 of 64 equal coordinates with a probability of 3e-7, and only
+then, and if no third text links the two, is it lost.
+
+Null and empty texts have no shingles and are linked with nothing. Rows that share a doc_id are one document,
+whatever their texts. A row with a null doc_id is compared with nothing: its component_id is null and it is
+kept. Extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,30 +36,31 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waymark.llm.common import grouped, small_batches, written
+from waymark.llm.common import small_batches, written
 from waymark.llm.components import components
-from waymark.llm.shingles import jaccard_at_least, shingle_sets
+from waymark.llm.shingles import shingle_sets
 
-COORDINATES, MATCHES = 64, 32
-CHUNK, BLOCK = 16_384, 1024
-BEST = 8
+COORDINATES, MATCHES = 64, 34
+FREQUENT, LEADERS, FOLLOWED = 3, 32, 2
+CHUNK, BLOCK = 8192, 512
+#: Lists up to this size are compared each with each, many lists at once.
+SMALL = 24
 BATCH_BYTES = 2 << 20
+#: Rows of lists that are taken at once, but for longer lists.
+ROWS_AT_ONCE = 20_000
 
 _RNG = np.random.default_rng(7)
 _FACTORS = _RNG.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _TERMS = _RNG.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
 
-SIGNED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("key", T.BinaryType()), T.StructField("sig", T.BinaryType())])
-SIGNED_ARROW = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("sig", pa.binary())])
-LISTS = T.StructType([T.StructField("token", T.LongType()), T.StructField("chunk", T.LongType()), T.StructField("n", T.LongType()), T.StructField("reps", T.ArrayType(T.LongType())), T.StructField("sigs", T.BinaryType()), T.StructField("prefixes", T.BinaryType())])
-LISTS_ARROW = pa.schema([("token", pa.int64()), ("chunk", pa.int64()), ("n", pa.int64()), ("reps", pa.list_(pa.int64())), ("sigs", pa.binary()), ("prefixes", pa.binary())])
-PAIRS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType()), T.StructField("grp", T.LongType())])
-PAIRS_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("grp", pa.int64())])
-LINKS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+SIGNED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("key", T.BinaryType()), T.StructField("minima", T.ArrayType(T.IntegerType())), T.StructField("sig", T.BinaryType())])
+SIGNED_ARROW = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("minima", pa.list_(pa.int32())), ("sig", pa.binary())])
+STARS = T.StructType([T.StructField("token", T.LongType()), T.StructField("a", T.LongType()), T.StructField("b", T.LongType()), T.StructField("weight", T.LongType())])
+EDGES = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
 def signatures(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -84,191 +91,303 @@ def _sign(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBa
             sizes = np.diff(bounds)
             some = np.flatnonzero(sizes)
             keys: list[bytes | None] = [None] * (b - a)
+            minima: list[np.ndarray | None] = [None] * (b - a)
             sigs: list[bytes | None] = [None] * (b - a)
             if len(some):
                 rows = signatures(values, np.append(bounds[some], len(values)))
+                low = (rows & np.uint32(255)).astype(np.uint8)
                 raw = values.tobytes()
-                for k, row in zip(some.tolist(), rows, strict=True):
+                for k, row, sig in zip(some.tolist(), rows.view(np.int32), low, strict=True):
                     keys[k] = xxhash.xxh3_128_digest(raw[8 * bounds[k] : 8 * bounds[k + 1]])
-                    sigs[k] = row.tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array(ids[a:b], pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())], schema=SIGNED_ARROW)
+                    minima[k], sigs[k] = row, sig.tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array(ids[a:b], pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(minima, pa.list_(pa.int32())), pa.array(sigs, pa.binary())], schema=SIGNED_ARROW)
 
 
-def _gather_lists(batches: Iterator[pa.RecordBatch], matches: int) -> Iterator[pa.RecordBatch]:
-    """Rows (list key, token, chunk, rep, sig, prefix) in order of key, to a row per chunk.
+def equal_counts(sigs: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Equal coordinates, row by row; one of the two may be a single row."""
+    lanes = np.ascontiguousarray(sigs == other).view("<u8").sum(axis=1, dtype=np.uint64)  # eight lanes of at most eight
+    return ((lanes * np.uint64(0x0101010101010101)) >> np.uint64(56)).astype(np.int64)
 
-    A whole list in which no leader takes a member is dropped: then all its pairs have been compared.
-    """
-    rows: list[dict] = []
-    size = 0
-    for _, group in grouped(batches):
-        members: dict[tuple[int, int], tuple[list, list, list]] = {}
-        for token, chunk, rep, sig, prefix in group:
-            for held, value in zip(members.setdefault((token, chunk), ([], [], [])), (rep, sig, prefix), strict=True):
-                held.append(value)
-        for (token, chunk), (reps, sigs, prefixes) in members.items():
-            if chunk == 0 and (len(reps) < 2 or not any(len(taken) for _, taken in lead(np.array(reps), np.frombuffer(b"".join(sigs), "<u4").reshape(-1, COORDINATES), matches))):
-                continue
-            rows.append({"token": token, "chunk": chunk, "n": len(reps), "reps": reps, "sigs": b"".join(sigs), "prefixes": np.array(prefixes, "<i8").tobytes()})
-            size += 272 * len(reps)
-        if size > 4 << 20:
-            yield pa.RecordBatch.from_pylist(rows, schema=LISTS_ARROW)
-            rows, size = [], 0
-    if rows:
-        yield pa.RecordBatch.from_pylist(rows, schema=LISTS_ARROW)
+
+def sizes_allow(n: np.ndarray, other: np.ndarray | int, percent: int) -> np.ndarray:
+    """Whether sets of these sizes can be similar enough."""
+    return 100 * np.minimum(n, other) >= percent * np.maximum(n, other)
+
+
+def _numpy(column: pa.Array) -> np.ndarray:
+    if pa.types.is_binary(column.type):  # of COORDINATES bytes each
+        start = int(np.frombuffer(column.buffers()[1], "<i4", 1, 4 * column.offset)[0]) if len(column) else 0
+        return np.frombuffer(column.buffers()[2], np.uint8, COORDINATES * len(column), start).reshape(-1, COORDINATES) if len(column) else np.empty((0, COORDINATES), np.uint8)
+    return column.to_numpy(zero_copy_only=False)
 
 
-def lead(reps: np.ndarray, sigs: np.ndarray, matches: int) -> list[tuple[int, np.ndarray]]:
-    """Leaders and the members they take, by place; every member is led or leads."""
-    rest = np.arange(len(reps))
-    out = []
-    while len(rest):
+def whole_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns of many whole lists at once; rows come in order of the first column, the list."""
+    parts: list[list[np.ndarray]] = []
+    held = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        parts.append([_numpy(c) for c in batch.columns])
+        held += batch.num_rows
+        if held < ROWS_AT_ONCE or parts[-1][0][-1] == parts[0][0][0]:
+            continue
+        columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+        cut = int(np.flatnonzero(columns[0] != columns[0][-1])[-1]) + 1
+        yield [c[:cut] for c in columns]
+        parts, held = [[c[cut:] for c in columns]], held - cut
+    if parts:
+        yield [np.concatenate(c) for c in zip(*parts, strict=True)]
+
+
+def _bounds(lists: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.flatnonzero(lists[1:] != lists[:-1]) + 1, [len(lists)]])
+
+
+def leaders(reps: np.ndarray, sizes: np.ndarray, sigs: np.ndarray, matches: int, percent: int) -> list[tuple[int, np.ndarray]]:
+    """Up to LEADERS members, by place, each the nearest to the consensus of those left, and the places that follow each."""
+    rest, found = np.arange(len(reps)), []
+    offsets = 256 * np.arange(COORDINATES)
+    for _ in range(LEADERS):
+        if len(rest) < 2:
+            break
         part = sigs[rest]
-        if len(rest) > 2:
-            ordered = np.sort(part, axis=0)
-            # the most frequent value of each coordinate: the longest run in sorted order
-            change = np.ones(ordered.shape, dtype=bool)
-            change[1:] = ordered[1:] != ordered[:-1]
-            consensus = np.empty(COORDINATES, dtype=part.dtype)
-            for c in range(COORDINATES):
-                begins = np.flatnonzero(change[:, c])
-                consensus[c] = ordered[begins[np.argmax(np.diff(np.append(begins, len(rest))))], c]
-            near = (part == consensus).sum(axis=1)
-            best = int(np.lexsort((reps[rest], -near))[0])
-        else:
-            best = int(np.argmin(reps[rest]))
-        taken = (part == part[best]).sum(axis=1) >= matches
+        consensus = np.bincount((part + offsets).ravel(), minlength=256 * COORDINATES).reshape(COORDINATES, 256).argmax(axis=1).astype(np.uint8)
+        best = int(np.lexsort((reps[rest], -equal_counts(part, consensus)))[0])
+        taken = (equal_counts(part, part[best]) >= matches) & sizes_allow(sizes[rest], sizes[rest[best]], percent)
         taken[best] = False
-        out.append((int(rest[best]), rest[taken]))
-        keep = ~taken
-        keep[best] = False
-        rest = rest[keep]
-    return out
+        if taken.any():
+            found.append((int(rest[best]), rest[taken]))
+        taken[best] = True
+        rest = rest[~taken]
+    return found
+
+
+def _stars(batches: Iterator[pa.RecordBatch], matches: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows (list, token, rep, n, sig) in order of list, to (token, leader, follower, followers)."""
+    for lists, tokens, reps, sizes, sigs in whole_lists(batches):
+        cuts = _bounds(lists).tolist()
+        out: list[tuple[int, int, np.ndarray]] = []
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if b - a > 1:
+                out += [(int(tokens[a]), int(reps[a + k]), reps[a + taken]) for k, taken in leaders(reps[a:b], sizes[a:b], sigs[a:b], matches, percent)]
+        sized = [len(f) for _, _, f in out]
+        columns = [np.repeat(np.array([x[k] for x in out], dtype=np.int64), sized) for k in (0, 1)]
+        followers = np.concatenate([f for _, _, f in out]) if out else np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0]), pa.array(columns[1]), pa.array(followers, pa.int64()), pa.array(np.repeat(np.array(sized, np.int64), sized))], names=STARS.names)
+
+
+def _small_edges(lists: np.ndarray, comps: np.ndarray, sizes: np.ndarray, sigs: np.ndarray, matches: int, percent: int) -> np.ndarray:
+    """Candidate pairs of components from lists of up to SMALL members, all lists at once."""
+    found = [np.zeros((0, 2), dtype=np.int64)]
+    for shift in range(1, SMALL):
+        at = np.flatnonzero(lists[shift:] == lists[:-shift])
+        if not len(at):
+            break
+        at = at[(comps[at] != comps[at + shift]) & sizes_allow(sizes[at], sizes[at + shift], percent)]
+        at = at[equal_counts(sigs[at], sigs[at + shift]) >= matches] if len(at) else at
+        found.append(np.stack([comps[at], comps[at + shift]], axis=1))
+    pairs = np.sort(np.concatenate(found), axis=1)
+    return np.unique(pairs, axis=0)
+
+
+def list_edges(own: np.ndarray, comps: np.ndarray, sizes: np.ndarray, sigs: np.ndarray, matches: int, percent: int) -> np.ndarray:
+    """Pairs of components that connect those with candidate pairs; only members with `own` are held against all others."""
+    names, of = np.unique(comps, return_inverse=True)
+    asked = np.flatnonzero(own)
+    cluster = np.arange(len(names))
+    edges: list[tuple[int, int]] = []
+
+    def join(x: int, others: np.ndarray) -> None:
+        for y in np.unique(of[others]).tolist():
+            if cluster[x] != cluster[y]:
+                edges.append((int(names[x]), int(names[y])))
+                cluster[cluster == cluster[y]] = cluster[x]
+
+    columns = COORDINATES - matches + 1
+    pairs16 = np.ascontiguousarray(sigs).view("<u2")
+    work = 0
+    if columns <= COORDINATES // 2:
+        counts = [(np.bincount(pairs16[:, c], minlength=65536), np.bincount(pairs16[asked, c], minlength=65536)) for c in range(columns)]
+        work = sum(int(x @ y) for x, y in counts)
+    if columns <= COORDINATES // 2 and work < len(asked) * len(comps) // 4:
+        for c in range(columns):
+            order = np.argsort(pairs16[:, c], kind="stable")
+            ordered = pairs16[order, c]
+            low, high = np.searchsorted(ordered, pairs16[asked, c], "left"), np.searchsorted(ordered, pairs16[asked, c], "right")
+            for start in range(0, len(asked), 256):
+                reach = (high - low)[start : start + 256]
+                left = np.repeat(asked[start : start + 256], reach)
+                right = order[np.repeat(low[start : start + 256] - np.concatenate([[0], np.cumsum(reach)[:-1]]), reach) + np.arange(int(reach.sum()))]
+                may = (cluster[of[left]] != cluster[of[right]]) & sizes_allow(sizes[left], sizes[right], percent)
+                left, right = left[may], right[may]
+                for k in range(0, len(left), 65536):
+                    l, r = left[k : k + 65536], right[k : k + 65536]
+                    hit = equal_counts(sigs[l], sigs[r]) >= matches
+                    for x, y in zip(l[hit].tolist(), r[hit].tolist(), strict=True):
+                        join(int(of[x]), np.array([y]))
+    else:
+        for x in asked.tolist():
+            others = np.flatnonzero((cluster[of] != cluster[of[x]]) & sizes_allow(sizes, sizes[x], percent))
+            if len(others):
+                join(int(of[x]), others[equal_counts(sigs[others], sigs[x]) >= matches])
+    return np.array(edges, dtype=np.int64).reshape(-1, 2)
+
+
+def _merge(batches: Iterator[pa.RecordBatch], matches: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows (list, kind, comp, n, sig) in order of list, to pairs of components.
+
+    Of a list with rows of kind 1, those are held against the rows of kind 0; else all against all.
+    """
+    for lists, kinds, comps, sizes, sigs in whole_lists(batches):
+        cuts = _bounds(lists)
+        counts = np.diff(cuts)
+        small = np.repeat(counts <= SMALL, counts) & (np.repeat(np.add.reduceat(kinds, cuts[:-1]), counts) == 0)
+        found = [_small_edges(lists[small], comps[small], sizes[small], sigs[small], matches, percent)]
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            if small[a] or not (comps[a:b] != comps[a]).any():
+                continue
+            own = kinds[a:b] == 1
+            if not own.any():
+                names, n = np.unique(comps[a:b], return_counts=True)
+                own = comps[a:b] != names[np.argmax(n)]
+            found.append(list_edges(own, comps[a:b], sizes[a:b], sigs[a:b], matches, percent))
+        pairs = np.concatenate(found)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=EDGES.names)
+
+
+def block_links(texts: list[bytes], left: np.ndarray, comps: np.ndarray, sigs: np.ndarray, words: int, percent: int, matches: int) -> list[tuple[int, int]]:
+    """Links by place that connect the components of a block: members with `left` against the others."""
+    values, bounds = shingle_sets(texts, words)
+    sizes = np.diff(bounds)
+    asked, others = np.flatnonzero(left), np.flatnonzero(~left)
+    if not len(asked) or not len(others):
+        return []
+    owners = np.repeat(np.arange(len(texts)), sizes)
+    right = ~left[owners]
+    order = np.argsort(values[right], kind="stable")
+    held, owner = values[right][order], owners[right][order]
+    _, of = np.unique(comps, return_inverse=True)
+    group = np.arange(int(of.max()) + 1)
+    links = []
+    for x in asked.tolist():
+        near = others[(group[of[others]] != group[of[x]]) & sizes_allow(sizes[others], sizes[x], percent)]
+        near = near[equal_counts(sigs[near], sigs[x]) >= matches] if len(near) else near
+        if not len(near):
+            continue
+        own = values[bounds[x] : bounds[x + 1]]
+        low, high = np.searchsorted(held, own, "left"), np.searchsorted(held, own, "right")
+        reach = high - low
+        places = np.repeat(low - np.concatenate([[0], np.cumsum(reach)[:-1]]), reach) + np.arange(int(reach.sum()))
+        both = np.bincount(owner[places], minlength=len(texts))[near]
+        for y in near[100 * both >= percent * (sizes[x] + sizes[near] - both)].tolist():
+            if group[of[x]] != group[of[y]]:
+                links.append((x, y))
+                group[group == group[of[y]]] = group[of[x]]
+    return links
+
+
+def _verdicts(batches: Iterator[pa.RecordBatch], words: int, percent: int, matches: int) -> Iterator[pa.RecordBatch]:
+    """Rows (block, side, rep, comp, sig, text) in order of block, to links."""
+
+    def judged(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        sides, reps, comps, sigs, texts = zip(*rows, strict=True)
+        made = np.frombuffer(b"".join(sigs), np.uint8).reshape(-1, COORDINATES)
+        for x, y in block_links([(t or "").encode() for t in texts], np.array(sides) == 0, np.array(comps), made, words, percent, matches):
+            yield reps[x], reps[y]
+
+    def batch_of(found: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=EDGES.names)
+
+    block, rows, found = None, [], []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if row[0] != block and rows:
+                found += judged(rows)
+                rows = []
+            block = row[0]
+            rows.append(row[1:])
+        if len(found) > 20_000:
+            yield batch_of(found)
+            found = []
+    if rows:
+        found += judged(rows)
+    yield batch_of(found)
 
 
-def _star_pairs(batches: Iterator[pa.RecordBatch], matches: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        a, b = [], []
-        for reps_raw, sigs_raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            reps, sigs = np.array(reps_raw, dtype=np.int64), np.frombuffer(sigs_raw, "<u4").reshape(-1, COORDINATES)
-            for leader, members in lead(reps, sigs, matches):
-                a += [int(reps[leader])] * len(members)
-                b += reps[members].tolist()
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(a, pa.int64())], schema=PAIRS_ARROW)
+def _verified(spark: SparkSession, sides: DataFrame, texts: DataFrame, words: int, percent: int, matches: int) -> DataFrame:
+    """Links between the two sides of each block; sides has (block, side, rep, comp)."""
+    rows = sides.join(texts, "rep").select("block", "side", "rep", "comp", "sig", "text").repartition("block").sortWithinPartitions("block")
+    return written(spark, rows.mapInArrow(lambda batches: _verdicts(batches, words, percent, matches), EDGES), "near-links")
 
 
-def _leaders(batches: Iterator[pa.RecordBatch], matches: int) -> Iterator[pa.RecordBatch]:
-    """Of chunks of lists that have several: a list row of the leaders alone."""
-    for batch in batches:
-        rows = []
-        for token, n, reps_raw, sigs_raw in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-            reps, sigs = np.array(reps_raw, dtype=np.int64), np.frombuffer(sigs_raw, "<u4").reshape(-1, COORDINATES)
-            for leader, _ in lead(reps, sigs, matches):
-                rows.append({"token": token, "rep": int(reps[leader]), "sig": sigs[leader].tobytes()})
-        yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("token", pa.int64()), ("rep", pa.int64()), ("sig", pa.binary())]))
+def _cut(column: str, pieces: Column) -> Column:
+    return F.pmod(F.xxhash64(column), pieces).cast("long")
 
 
-def _cross_pairs(batches: Iterator[pa.RecordBatch], matches: int, best: int) -> Iterator[pa.RecordBatch]:
-    """Outsiders of lists against members of other components.
+def _pieces(n: str, size: int) -> Column:
+    return F.greatest(F.ceil(F.col(n) / size), F.lit(1)).cast("long")
 
-    Rows (group, kind, token, rep, comp, sig, prefix, reps, sigs, prefixes), by group and kind: 0 the list's or
-    chunk's row, 1 its members' components, 2 the outsiders of all chunks where a list has several. A whole
-    list's outsiders are its members outside its largest component.
-    """
-    for _, rows in grouped(batches):
-        reps = sigs = prefixes = comps = None
-        token, several = 0, False
-        comp_of: dict[int, int] = {}
-        pending: list[tuple[int, int, np.ndarray, int]] = []
-
-        def ready() -> None:
-            nonlocal comps
-            if comps is None and reps is not None:
-                comps = np.array([comp_of[x] for x in reps.tolist()], dtype=np.int64)
-
-        def compare() -> pa.RecordBatch | None:
-            coordinate = token >> 32
-            below = np.int64((1 << coordinate) - 1)
-            a, b, grp = [], [], []
-            for rep, comp, sig, prefix in pending:
-                equal = sigs == sig
-                hits = (equal.sum(axis=1) >= matches) & (comps != comp)
-                places = np.flatnonzero(hits)
-                if not len(places):
-                    continue
-                # skip a pair in every list but that of the first coordinate that both have in their prefixes
-                shared = prefixes[places] & np.int64(prefix) & below
-                if shared.any():
-                    bits = np.unpackbits(shared.astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(bool)
-                    places = places[~(bits & equal[places]).any(axis=1)]
-                if best and len(places) > best:
-                    places = places[np.lexsort((reps[places], -equal[places].sum(axis=1)))[:best]]
-                a += reps[places].tolist()
-                b += [rep] * len(places)
-                grp += comps[places].tolist()
-            pending.clear()
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(grp, pa.int64())], schema=PAIRS_ARROW) if a else None
-
-        for kind, row_token, rep, comp, sig, prefix, reps_raw, sigs_raw, prefixes_raw in rows:
-            if kind == 0:
-                token = row_token
-                reps, sigs, prefixes = np.array(reps_raw, dtype=np.int64), np.frombuffer(sigs_raw, "<u4").reshape(-1, COORDINATES), np.frombuffer(prefixes_raw, "<i8")
-            elif kind == 1:
-                comp_of[rep] = comp
-            else:
-                several = True
-                ready()
-                pending.append((rep, comp, np.frombuffer(sig, "<u4"), prefix))
-                if len(pending) >= BLOCK and (out := compare()) is not None:
-                    yield out
-        ready()
-        if reps is not None and not several:
-            names, sizes = np.unique(comps, return_counts=True)
-            main = names[np.argmax(sizes)]
-            for place in np.flatnonzero(comps != main).tolist():
-                pending.append((int(reps[place]), int(comps[place]), sigs[place], int(prefixes[place])))
-                if len(pending) >= BLOCK and (out := compare()) is not None:
-                    yield out
-        if pending and reps is not None and (out := compare()) is not None:
-            yield out
-
-
-def _confirm(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Rows (block, kind, id, other, text), by block and kind: 0 texts, 1 pairs. Gives the pairs that hold on full sets."""
-    a_out, b_out = [], []
-    for _, rows in grouped(batches):
-        texts: list[bytes] = []
-        places: dict[int, int] = {}
-        pairs: list[tuple[int, int]] = []
-        for kind, a, b, text in rows:
-            if kind == 0:
-                places[a] = len(texts)
-                texts.append((text or "").encode())
-            else:
-                pairs.append((a, b))
-        values, bounds = shingle_sets(texts, words)
-        cuts = bounds.tolist()
-        for a, b in pairs:
-            x, y = places[a], places[b]
-            if jaccard_at_least(values[cuts[x] : cuts[x + 1]], values[cuts[y] : cuts[y + 1]], percent):
-                a_out.append(a)
-                b_out.append(b)
-        if len(a_out) > 20_000:
-            yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
-            a_out, b_out = [], []
-    yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
-
-
-def confirm(spark: SparkSession, pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs whose full sets are similar enough. A block gets each text once, and holds at most about BLOCK texts a side."""
-    sides = pairs.groupBy("grp").agg(F.count_distinct("a").alias("na"), F.count_distinct("b").alias("nb"))
-    cut = lambda side, n: F.pmod(F.xxhash64(side), F.ceil(F.col(n) / BLOCK).cast("long"))
-    blocked = pairs.join(sides, "grp").select(F.xxhash64("grp", cut("a", "na"), cut("b", "nb")).alias("block"), "a", "b")
-    blocked = written(spark, blocked, "near-blocks")
-    wanted = blocked.select("block", F.col("a").alias("rep")).union(blocked.select("block", "b")).distinct()
-    rows = wanted.join(texts, "rep").select("block", F.lit(0).alias("kind"), F.col("rep").alias("a"), F.lit(None).cast("long").alias("b"), "text")
-    rows = rows.unionByName(blocked.select("block", F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("string").alias("text")))
-    return rows.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(lambda batches: _confirm(batches, words, percent), LINKS)
+
+def _postings(spark: SparkSession, classes: DataFrame, matches: int) -> DataFrame:
+    """(rep, n, sig, tokens): classes that can have MATCHES equal coordinates with another, and their pairs (df, token), rarest first."""
+    posted = classes.select("class", F.posexplode("minima").alias("coordinate", "least"))
+    posted = posted.select("class", (F.shiftleft(F.col("coordinate").cast("long"), 32).bitwiseOR(F.col("least").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))).alias("token"))
+    counted = posted.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    ranked = posted.join(counted, "token").groupBy("class").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens")).where(F.size("tokens") >= matches)
+    return written(spark, ranked.join(classes.select("class", "rep", "n", "sig"), "class").select("rep", "n", "sig", "tokens"), "near-postings")
+
+
+def _first_links(spark: SparkSession, live: DataFrame, texts: DataFrame, words: int, percent: int, matches: int) -> DataFrame:
+    """Confirmed links between classes and the leaders of their commonest lists."""
+    common = live.select("rep", "n", "sig", F.explode(F.expr(f"slice(tokens, greatest(size(tokens) - {FREQUENT - 1}, 1), {FREQUENT})")).alias("t"))
+    common = common.select("rep", "n", "sig", "t.token", F.col("t.df").alias("df"))
+    best = None
+    while True:  # the leaders of a list's pieces are compared in turn, until no list has several
+        listed = common.select(F.xxhash64("token", F.pmod(F.xxhash64("rep"), _pieces("df", CHUNK))).alias("list"), "token", "rep", "n", "sig")
+        stars = written(spark, listed.repartition("list").sortWithinPartitions("list", "rep").mapInArrow(lambda batches: _stars(batches, matches, percent), STARS), "near-stars")
+        if best is None:
+            best = stars.groupBy("b").agg(F.slice(F.sort_array(F.collect_set(F.struct("weight", "a")), False), 1, FOLLOWED).alias("best")).select("b", F.explode("best").alias("x")).select("x.a", "b", "x.weight")
+        else:
+            best = best.unionByName(stars.select("a", "b", "weight"))
+        cut = common.where(F.col("df") > CHUNK)
+        if cut.isEmpty():
+            break
+        led = stars.select("token", F.col("a").alias("rep")).distinct()
+        led = written(spark, cut.drop("df").join(led, ["token", "rep"]), "near-led")
+        common = led.join(led.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "token")
+    pairs = written(spark, best.select("a", "b", F.xxhash64("a", _cut("b", _pieces("weight", BLOCK))).alias("block")), "near-pairs")
+    sides = pairs.select("block", F.lit(0).alias("side"), F.col("a").alias("rep")).distinct().unionByName(pairs.select("block", F.lit(1).alias("side"), F.col("b").alias("rep")))
+    return _verified(spark, sides.withColumn("comp", F.col("rep")), texts, words, percent, matches)
+
+
+def _clusters(spark: SparkSession, placed: DataFrame, matches: int, percent: int) -> DataFrame:
+    """Pairs of components with candidate pairs between them, from the merged lists of the prefixes."""
+    prefix = placed.select("rep", "comp", "n", "sig", F.explode(F.expr(f"slice(tokens, 1, size(tokens) - {matches - 1})")).alias("t")).select("rep", "comp", "n", "sig", "t.token", F.col("t.df").alias("df"))
+    pieces = _pieces("df", CHUNK)
+    members = prefix.select(F.xxhash64("token", F.pmod(F.xxhash64("rep"), pieces)).alias("list"), F.lit(0).alias("kind"), "comp", "n", "sig")
+    long = prefix.where(F.col("df") > CHUNK)
+    sizes = long.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("members"))
+    mains = sizes.groupBy("token").agg(F.max(F.struct("members", "comp")).alias("top")).select("token", F.col("top.comp").alias("main"))
+    outside = long.join(mains, "token").where("comp <> main").select("token", "comp", "n", "sig", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)).alias("piece"))
+    outside = outside.select(F.xxhash64("token", "piece").alias("list"), F.lit(1).alias("kind"), "comp", "n", "sig")
+    rows = members.unionByName(outside).repartition("list").sortWithinPartitions("list")
+    return written(spark, rows.mapInArrow(lambda batches: _merge(batches, matches, percent), EDGES).distinct(), "near-clusters")
+
+
+def _last_links(spark: SparkSession, placed: DataFrame, edges: DataFrame, texts: DataFrame, words: int, percent: int, matches: int) -> DataFrame:
+    """Links between the components of each cluster, confirmed on full sets."""
+    clusters = components(spark, edges).select(F.col("node").alias("comp"), F.col("label").alias("cluster"))
+    inside = written(spark, placed.select("rep", "comp").distinct().join(clusters, "comp"), "near-inside")
+    sizes = inside.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("members"))
+    mains = sizes.groupBy("cluster").agg(F.max(F.struct("members", "comp")).alias("top"), F.sum("members").alias("n_all"))
+    mains = mains.select("cluster", F.col("top.comp").alias("main"), "n_all", (F.col("n_all") - F.col("top.members")).alias("n_out"))
+    rows = inside.join(mains, "cluster")
+    spread = lambda pieces: F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)).alias("other")
+    outs, alls = _pieces("n_out", BLOCK), _pieces("n_all", BLOCK)
+    left = rows.where("comp <> main").select("cluster", "rep", "comp", _cut("rep", outs).alias("own"), spread(alls)).select(F.xxhash64("cluster", "own", "other").alias("block"), F.lit(0).alias("side"), "rep", "comp")
+    right = rows.select("cluster", "rep", "comp", _cut("rep", alls).alias("own"), spread(outs)).select(F.xxhash64("cluster", "other", "own").alias("block"), F.lit(1).alias("side"), "rep", "comp")
+    return _verified(spark, left.unionByName(right), texts, words, percent, matches)
 
 
 def near_groups(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 80, matches: int = MATCHES) -> DataFrame:
@@ -276,60 +395,25 @@ def near_groups(spark: SparkSession, docs: DataFrame, words: int = 5, percent: i
     small_batches(spark)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = written(spark, source.mapInArrow(lambda batches: _sign(batches, words), SIGNED), "near-signed")
-    classes = signed.where("key is not null and doc_id is not null").groupBy("key").agg(F.min(F.struct("doc_id", "sig")).alias("first"), F.count(F.lit(1)).alias("copies"))
-    classes = written(spark, classes.select("key", F.col("first.doc_id").alias("rep"), F.col("first.sig").alias("sig"), "copies"), "near-classes")
-
-    coordinates = F.expr(f"transform(sequence(0, {COORDINATES - 1}), c -> shiftleft(cast(c as bigint), 32) | cast(conv(concat(substr(h, 8 * c + 7, 2), substr(h, 8 * c + 5, 2), substr(h, 8 * c + 3, 2), substr(h, 8 * c + 1, 2)), 16, 10) as bigint))")
-    posted = classes.select("rep", F.hex("sig").alias("h")).select("rep", F.explode(coordinates).alias("token"))
-    counted = posted.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = posted.join(counted, "token")
-    prefix_size = COORDINATES - matches + 1
-    ranked = shared.groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens")).where(F.size("tokens") >= matches)
-    kept = ranked.select("rep", F.expr(f"slice(tokens, 1, size(tokens) - {COORDINATES - prefix_size})").alias("tokens")).where("size(tokens) > 0")
-    masked = kept.withColumn("prefix", F.expr("aggregate(tokens, cast(0 as bigint), (m, x) -> m | shiftleft(cast(1 as bigint), cast(shiftright(x.token, 32) as int)))"))
-    live = written(spark, masked.join(classes.select("rep", "sig"), "rep").select("rep", "sig", "prefix", "tokens"), "near-live")
-    texts = written(spark, source.where("doc_id is not null").join(classes.select(F.col("rep").alias("doc_id"), "key").join(live.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id"), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).withColumnRenamed("doc_id", "rep"), "near-texts")
-
-    members = live.select("rep", "sig", "prefix", F.explode("tokens").alias("t")).select("rep", "sig", "prefix", F.col("t.token").alias("token"), F.col("t.df").alias("df"))
-    members = members.withColumn("chunk", F.expr(f"case when df <= {CHUNK} then 0 else 1 + pmod(xxhash64(rep), cast(ceil(df / {CHUNK}) as bigint)) end"))
-    keyed = members.select(F.xxhash64("token", "chunk").alias("list"), "token", "chunk", "rep", "sig", "prefix")
-    lists = written(spark, keyed.repartition("list").sortWithinPartitions("list", "rep").mapInArrow(lambda batches: _gather_lists(batches, matches), LISTS), "near-lists")
-
-    stars = lists.select("reps", "sigs").mapInArrow(lambda batches: _star_pairs(batches, matches), PAIRS)
-    chunked = lists.where("chunk > 0").select("token", "n", "reps", "sigs").mapInArrow(lambda batches: _leaders(batches, matches), "token long, rep long, sig binary")
-    upper = chunked.select(F.col("token").alias("list"), "token", F.lit(0).cast("long").alias("chunk"), "rep", "sig", F.lit(0).cast("long").alias("prefix"))
-    upper = upper.repartition("list").sortWithinPartitions("list", "rep").mapInArrow(lambda batches: _gather_lists(batches, matches), LISTS).select("reps", "sigs").mapInArrow(lambda batches: _star_pairs(batches, matches), PAIRS)
-    found = stars.unionByName(upper).select("a", "b").distinct()
-    led = found.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-    pairs = written(spark, found.join(led, "a").groupBy("b").agg(F.max(F.struct("n", F.negative("a").alias("order"))).alias("top")).select(F.negative("top.order").alias("a"), "b").withColumn("grp", F.col("a")), "near-pairs")
-    links = written(spark, confirm(spark, pairs, texts, words, percent), "near-links")
+    known = signed.where("key is not null and doc_id is not null")
+    firsts = known.groupBy("key").agg(F.min(F.struct("doc_id", "n_shingles", "minima", "sig")).alias("first"), F.count(F.lit(1)).alias("copies"))
+    classes = written(spark, firsts.select("key", F.xxhash64("key").alias("class"), F.col("first.doc_id").alias("rep"), F.col("first.n_shingles").alias("n"), "first.minima", "first.sig", "copies"), "near-classes")
+
+    live = _postings(spark, classes, matches)
+    texts = written(spark, source.withColumnRenamed("doc_id", "rep").join(live.select("rep", "sig"), "rep").select("rep", "sig", "text").distinct(), "near-texts")
+    links = _first_links(spark, live, texts, words, percent, matches)
+    labels = components(spark, links).select(F.col("node").alias("rep"), F.col("label").alias("comp"))
+    placed = written(spark, live.join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep")), "near-placed")
+    edges = _clusters(spark, placed, matches, percent)
+    links = links.unionByName(_last_links(spark, placed, edges, texts, words, percent, matches))
+
+    # a document whose rows have several texts links their classes
+    several = known.groupBy("doc_id").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high").select("doc_id")
+    held = known.join(several, "doc_id").select("doc_id", "key").distinct().join(classes.select("key", "rep"), "key")
+    links = links.unionByName(held.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     labels = components(spark, links)
-    for best in (BEST, 0):
-        found = written(spark, confirm(spark, _cross(spark, lists, live, labels, matches, best), texts, words, percent), "near-links")
-        links = links.unionByName(found)
-        if not found.isEmpty():
-            labels = components(spark, links)
 
     moved = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").where("label is not null or copies > 1").select("key", F.coalesce("label", "rep").alias("label"))
     named = signed.select("doc_id", "n_shingles", "key").join(moved, "key", "left")
     named = named.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id")).alias("component_id"))
     return named.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
-
-
-def _cross(spark: SparkSession, lists: DataFrame, live: DataFrame, labels: DataFrame, matches: int, best: int) -> DataFrame:
-    """Candidate pairs across components, from lists that hold several."""
-    posted = lists.select("token", "chunk", F.explode("reps").alias("rep"))
-    placed = posted.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("token", "chunk", "rep", F.coalesce("label", "rep").alias("comp"))
-    sizes = placed.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("n"))
-    mains = sizes.groupBy("token").agg(F.max(F.struct("n", F.negative("comp").alias("order"))).alias("top"), F.count(F.lit(1)).alias("comps")).where("comps > 1").select("token", F.negative("top.order").alias("main"))
-    split = written(spark, placed.join(mains, "token"), "near-split")
-    outs = split.where("comp <> main and chunk > 0").select("token", "rep", "comp").join(live.select("rep", "sig", "prefix"), "rep")
-    places = split.select("token", "chunk").distinct()
-    nothing = lambda kind: F.lit(None).cast(kind)
-    group = F.xxhash64("token", "chunk").alias("group")
-    list_rows = lists.join(places, ["token", "chunk"], "left_semi").select(group, F.lit(0).alias("kind"), "token", nothing("long").alias("rep"), nothing("long").alias("comp"), nothing("binary").alias("sig"), nothing("long").alias("prefix"), "reps", "sigs", "prefixes")
-    member_rows = split.select(group, F.lit(1).alias("kind"), "token", "rep", "comp", nothing("binary").alias("sig"), nothing("long").alias("prefix"), nothing("array<bigint>").alias("reps"), nothing("binary").alias("sigs"), nothing("binary").alias("prefixes"))
-    out_rows = outs.join(places, "token").select(group, F.lit(2).alias("kind"), "token", "rep", "comp", "sig", "prefix", nothing("array<bigint>").alias("reps"), nothing("binary").alias("sigs"), nothing("binary").alias("prefixes"))
-    rows = list_rows.unionByName(member_rows).unionByName(out_rows)
-    found = rows.repartition("group").sortWithinPartitions("group", "kind").mapInArrow(lambda batches: _cross_pairs(batches, matches, best), PAIRS)
-    return written(spark, found.groupBy("a", "b").agg(F.min("grp").alias("grp")), "near-cross")
