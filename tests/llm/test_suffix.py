@@ -1,6 +1,7 @@
 """Repeated substrings against brute force; the loser tree; anchors."""
 
 import hashlib
+import os
 import random
 from collections import Counter
 
@@ -9,6 +10,7 @@ import pytest
 
 from waymark.llm import anchors as an
 from waymark.llm import suffix_dedup as s
+from waymark.llm.common import local_path
 
 
 def brute(texts, length):
@@ -116,3 +118,26 @@ def test_anchors_against_plain_search():
     long = rng.integers(97, 123, 200_000, dtype=np.uint8)
     hashes = an.gram_hashes(long, 30)
     assert hashes[70_000] == an.gram_hashes(long[70_000:70_030], 30)[0]
+
+
+def test_a_lost_file_is_an_error(spark, tmp_path, monkeypatch):
+    texts = corpus(7, 40)
+    df = s.on_files(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), "docs")
+    folder = s.find_repeats(spark, df, 40)
+    monkeypatch.setattr(s, "find_repeats", lambda *_: folder)
+    want = dict(enumerate(brute([(x or "").encode() for x in texts], 40)))
+    assert {r.doc_id: tuple(r)[1:] for r in s.repeat_digests(spark, df, 40).collect()} == want
+    home = local_path(folder)
+    spans = [name for name in os.listdir(home) if name.startswith("span-")]
+    assert len(spans) == df.select(s.F.input_file_name()).distinct().count()
+    os.remove(f"{home}/{spans[0]}")
+    with pytest.raises(Exception, match="No such file"):
+        s.repeat_digests(spark, df, 40).collect()
+
+
+def test_buckets_follow_the_bytes(spark, monkeypatch):
+    monkeypatch.setattr(s, "BUCKET_BYTES", 3000)
+    texts = corpus(8, 40)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: tuple(r)[1:] for r in s.repeat_digests(spark, df, 40).collect()}
+    assert got == dict(enumerate(brute([(x or "").encode() for x in texts], 40)))

@@ -91,7 +91,16 @@ def written(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
     """Rows written once to the shared folder and read again: cuts lineage and survives lost executors."""
     at = shared_folder(spark, label)
     rows.write.parquet(at)
-    return spark.read.schema(rows.schema).parquet(at)
+    made = spark.read.schema(rows.schema).parquet(at)
+    made._waymark_at = at
+    return made
+
+
+def discard(spark: SparkSession, *tables: DataFrame) -> None:
+    """Removes written tables that no later step reads; what was made from them has been written."""
+    for rows in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(rows._waymark_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:

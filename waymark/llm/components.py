@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm.common import written
+from waymark.llm.common import discard, written
 
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
@@ -21,6 +21,14 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         low = labels.join(near, "node").select("node", "label", F.least("label", "low").alias("low"))
         jump = labels.select(F.col("node").alias("low"), F.col("label").alias("next"))
         stepped = written(spark, low.join(jump, "low", "left").select("node", F.col("label").alias("was"), F.least("low", F.coalesce("next", "low")).alias("label")), "cc-labels")
-        labels = stepped.select("node", "label")
+        discard(spark, labels)
+        labels = stepped
         if stepped.where("label < was").isEmpty():
-            return labels
+            discard(spark, edges)
+            return _of(stepped, stepped.select("node", "label"))
+
+
+def _of(table: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows of a written table, which can be discarded as that table."""
+    rows._waymark_at = table._waymark_at
+    return rows

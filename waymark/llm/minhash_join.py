@@ -21,6 +21,10 @@ but loses none. Lists over CHUNK are cut; the members outside a list's largest c
 Inside a list, classes meet by 16-bit pairs of coordinates where that is less work than each with each: of
 COORDINATES / 2 pairs, enough are equal that any COORDINATES - MATCHES + 1 of them hold an equal one.
 
+Texts are not shuffled but for those whose pairs are decided: rows are addressed by file and place, what a block of
+rows has to give is written to a file of the shared folder, and a scan picks it. Tables are removed when what is made
+from them has been written. Components with very many members make hot join keys, which adaptive execution splits.
+
 A pair of Jaccard similarity 0.8 has fewer than 34 of 64 equal coordinates with a probability of 3e-7, and only
 then, and if no third text links the two, is it lost.
 
@@ -40,7 +44,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waymark.llm.common import small_batches, written
+from waymark.llm.blocks import Kept, addressed, keep_by_block, on_files
+from waymark.llm.common import discard, shared_folder, small_batches, written
 from waymark.llm.components import components
 from waymark.llm.shingles import shingle_sets
 
@@ -57,8 +62,8 @@ _RNG = np.random.default_rng(7)
 _FACTORS = _RNG.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _TERMS = _RNG.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
 
-SIGNED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("key", T.BinaryType()), T.StructField("minima", T.ArrayType(T.IntegerType())), T.StructField("sig", T.BinaryType())])
-SIGNED_ARROW = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("minima", pa.list_(pa.int32())), ("sig", pa.binary())])
+SIGNED = T.StructType([T.StructField("block", T.LongType()), T.StructField("row", T.IntegerType()), T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("key", T.BinaryType()), T.StructField("minima", T.ArrayType(T.IntegerType())), T.StructField("sig", T.BinaryType())])
+SIGNED_ARROW = pa.schema([("block", pa.int64()), ("row", pa.int32()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("minima", pa.list_(pa.int32())), ("sig", pa.binary())])
 STARS = T.StructType([T.StructField("token", T.LongType()), T.StructField("a", T.LongType()), T.StructField("b", T.LongType()), T.StructField("weight", T.LongType())])
 EDGES = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
@@ -84,8 +89,8 @@ def _slices(sizes: list[int]) -> Iterator[tuple[int, int]]:
 
 def _sign(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = batch.column(0).to_pylist()
-        texts = [text or b"" for text in batch.column(1).cast(pa.binary()).to_pylist()]
+        ids = batch.column(2).to_pylist()
+        texts = [text or b"" for text in batch.column(3).cast(pa.binary()).to_pylist()]
         for a, b in _slices([len(text) for text in texts]):
             values, bounds = shingle_sets(texts[a:b], words)
             sizes = np.diff(bounds)
@@ -100,7 +105,7 @@ def _sign(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBa
                 for k, row, sig in zip(some.tolist(), rows.view(np.int32), low, strict=True):
                     keys[k] = xxhash.xxh3_128_digest(raw[8 * bounds[k] : 8 * bounds[k + 1]])
                     minima[k], sigs[k] = row, sig.tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array(ids[a:b], pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(minima, pa.list_(pa.int32())), pa.array(sigs, pa.binary())], schema=SIGNED_ARROW)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(ids[a:b], pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(minima, pa.list_(pa.int32())), pa.array(sigs, pa.binary())], schema=SIGNED_ARROW)
 
 
 def equal_counts(sigs: np.ndarray, other: np.ndarray) -> np.ndarray:
@@ -315,10 +320,48 @@ def _verdicts(batches: Iterator[pa.RecordBatch], words: int, percent: int, match
     yield batch_of(found)
 
 
-def _verified(spark: SparkSession, sides: DataFrame, texts: DataFrame, words: int, percent: int, matches: int) -> DataFrame:
+class _Texts:
+    """The documents, and the blocks of their rows."""
+
+    def __init__(self, spark: SparkSession, docs: DataFrame, blocks: DataFrame) -> None:
+        self.spark, self.docs, self.blocks = spark, docs, blocks
+
+    def of(self, wanted: DataFrame) -> DataFrame:
+        """(at_block, at_row, text) of the addresses (at_block, at_row) in wanted."""
+        folder, label = shared_folder(self.spark, "near-wanted"), "rows-"
+        asked = wanted.select(F.col("at_block").alias("block"), "at_row").distinct().mapInArrow(_payloads, "block long, payload binary")
+        asked = asked.unionByName(self.blocks.select("block", F.lit(b"").alias("payload"))).repartition("block").sortWithinPartitions("block")
+        asked.mapInArrow(lambda batches: keep_by_block(batches, folder, label, np.dtype("<i4"), None), "block long, n long").agg(F.sum("n")).collect()
+        return addressed(self.docs, "text").mapInArrow(lambda batches: _picked(batches, folder, label), "at_block long, at_row int, text string")
+
+
+def _payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (block, place), to places by block as far as they stand together."""
+    for batch in batches:
+        blocks, rows = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype("<i4")
+        order = np.argsort(blocks, kind="stable")
+        cuts = _bounds(blocks[order]) if len(blocks) else np.zeros(1, np.int64)
+        parts = [rows[order[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(blocks[order[cuts[:-1]]], pa.int64()), pa.array(parts, pa.binary())], names=["block", "payload"])
+
+
+def _picked(batches: Iterator[pa.RecordBatch], folder: str, label: str) -> Iterator[pa.RecordBatch]:
+    kept = Kept(folder, label, np.dtype("<i4"))
+    for batch in batches:
+        blocks, rows = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        cuts = _bounds(blocks) if len(blocks) else np.zeros(1, np.int64)
+        take = [a + np.flatnonzero(np.isin(rows[a:b], kept.of(int(blocks[a])))) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        chosen = batch.take(pa.array(np.concatenate(take) if take else np.zeros(0, np.int64)))
+        yield pa.RecordBatch.from_arrays([chosen.column(0), chosen.column(1), chosen.column(2).cast(pa.string())], names=["at_block", "at_row", "text"])
+
+
+def _verified(spark: SparkSession, sides: DataFrame, live: DataFrame, texts: _Texts, words: int, percent: int, matches: int) -> DataFrame:
     """Links between the two sides of each block; sides has (block, side, rep, comp)."""
-    rows = sides.join(texts, "rep").select("block", "side", "rep", "comp", "sig", "text").repartition("block").sortWithinPartitions("block")
-    return written(spark, rows.mapInArrow(lambda batches: _verdicts(batches, words, percent, matches), EDGES), "near-links")
+    sides = written(spark, sides.join(live.select("rep", "sig", "at_block", "at_row"), "rep"), "near-sides")
+    rows = sides.join(texts.of(sides), ["at_block", "at_row"]).select("block", "side", "rep", "comp", "sig", "text").repartition("block").sortWithinPartitions("block")
+    links = written(spark, rows.mapInArrow(lambda batches: _verdicts(batches, words, percent, matches), EDGES), "near-links")
+    discard(spark, sides)
+    return links
 
 
 def _cut(column: str, pieces: Column) -> Column:
@@ -330,15 +373,15 @@ def _pieces(n: str, size: int) -> Column:
 
 
 def _postings(spark: SparkSession, classes: DataFrame, matches: int) -> DataFrame:
-    """(rep, n, sig, tokens): classes that can have MATCHES equal coordinates with another, and their pairs (df, token), rarest first."""
+    """(rep, n, sig, at_block, at_row, tokens): classes that can have MATCHES equal coordinates with another, and their pairs (df, token), rarest first."""
     posted = classes.select("class", F.posexplode("minima").alias("coordinate", "least"))
     posted = posted.select("class", (F.shiftleft(F.col("coordinate").cast("long"), 32).bitwiseOR(F.col("least").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))).alias("token"))
     counted = posted.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     ranked = posted.join(counted, "token").groupBy("class").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens")).where(F.size("tokens") >= matches)
-    return written(spark, ranked.join(classes.select("class", "rep", "n", "sig"), "class").select("rep", "n", "sig", "tokens"), "near-postings")
+    return written(spark, ranked.join(classes.select("class", "rep", "n", "sig", "at_block", "at_row"), "class").select("rep", "n", "sig", "at_block", "at_row", "tokens"), "near-postings")
 
 
-def _first_links(spark: SparkSession, live: DataFrame, texts: DataFrame, words: int, percent: int, matches: int) -> DataFrame:
+def _first_links(spark: SparkSession, live: DataFrame, texts: _Texts, words: int, percent: int, matches: int) -> DataFrame:
     """Confirmed links between classes and the leaders of their commonest lists."""
     common = live.select("rep", "n", "sig", F.explode(F.expr(f"slice(tokens, greatest(size(tokens) - {FREQUENT - 1}, 1), {FREQUENT})")).alias("t"))
     common = common.select("rep", "n", "sig", "t.token", F.col("t.df").alias("df"))
@@ -358,12 +401,12 @@ def _first_links(spark: SparkSession, live: DataFrame, texts: DataFrame, words:
         common = led.join(led.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "token")
     pairs = written(spark, best.select("a", "b", F.xxhash64("a", _cut("b", _pieces("weight", BLOCK))).alias("block")), "near-pairs")
     sides = pairs.select("block", F.lit(0).alias("side"), F.col("a").alias("rep")).distinct().unionByName(pairs.select("block", F.lit(1).alias("side"), F.col("b").alias("rep")))
-    return _verified(spark, sides.withColumn("comp", F.col("rep")), texts, words, percent, matches)
+    return _verified(spark, sides.withColumn("comp", F.col("rep")), live, texts, words, percent, matches)
 
 
 def _clusters(spark: SparkSession, placed: DataFrame, matches: int, percent: int) -> DataFrame:
     """Pairs of components with candidate pairs between them, from the merged lists of the prefixes."""
-    prefix = placed.select("rep", "comp", "n", "sig", F.explode(F.expr(f"slice(tokens, 1, size(tokens) - {matches - 1})")).alias("t")).select("rep", "comp", "n", "sig", "t.token", F.col("t.df").alias("df"))
+    prefix = placed.select("rep", "comp", "n", "sig", F.explode("prefix").alias("t")).select("rep", "comp", "n", "sig", "t.token", F.col("t.df").alias("df"))
     pieces = _pieces("df", CHUNK)
     members = prefix.select(F.xxhash64("token", F.pmod(F.xxhash64("rep"), pieces)).alias("list"), F.lit(0).alias("kind"), "comp", "n", "sig")
     long = prefix.where(F.col("df") > CHUNK)
@@ -375,7 +418,7 @@ def _clusters(spark: SparkSession, placed: DataFrame, matches: int, percent: int
     return written(spark, rows.mapInArrow(lambda batches: _merge(batches, matches, percent), EDGES).distinct(), "near-clusters")
 
 
-def _last_links(spark: SparkSession, placed: DataFrame, edges: DataFrame, texts: DataFrame, words: int, percent: int, matches: int) -> DataFrame:
+def _last_links(spark: SparkSession, placed: DataFrame, edges: DataFrame, texts: _Texts, words: int, percent: int, matches: int) -> DataFrame:
     """Links between the components of each cluster, confirmed on full sets."""
     clusters = components(spark, edges).select(F.col("node").alias("comp"), F.col("label").alias("cluster"))
     inside = written(spark, placed.select("rep", "comp").distinct().join(clusters, "comp"), "near-inside")
@@ -387,33 +430,44 @@ def _last_links(spark: SparkSession, placed: DataFrame, edges: DataFrame, texts:
     outs, alls = _pieces("n_out", BLOCK), _pieces("n_all", BLOCK)
     left = rows.where("comp <> main").select("cluster", "rep", "comp", _cut("rep", outs).alias("own"), spread(alls)).select(F.xxhash64("cluster", "own", "other").alias("block"), F.lit(0).alias("side"), "rep", "comp")
     right = rows.select("cluster", "rep", "comp", _cut("rep", alls).alias("own"), spread(outs)).select(F.xxhash64("cluster", "other", "own").alias("block"), F.lit(1).alias("side"), "rep", "comp")
-    return _verified(spark, left.unionByName(right), texts, words, percent, matches)
+    return _verified(spark, left.unionByName(right), placed, texts, words, percent, matches)
 
 
 def near_groups(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 80, matches: int = MATCHES) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     small_batches(spark)
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = written(spark, source.mapInArrow(lambda batches: _sign(batches, words), SIGNED), "near-signed")
+    docs = on_files(spark, docs, "near-docs")
+    rows = addressed(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
+    signed = written(spark, rows.mapInArrow(lambda batches: _sign(batches, words), SIGNED), "near-signed")
+    blocks = written(spark, signed.select("block").distinct(), "near-blocks")
     known = signed.where("key is not null and doc_id is not null")
-    firsts = known.groupBy("key").agg(F.min(F.struct("doc_id", "n_shingles", "minima", "sig")).alias("first"), F.count(F.lit(1)).alias("copies"))
-    classes = written(spark, firsts.select("key", F.xxhash64("key").alias("class"), F.col("first.doc_id").alias("rep"), F.col("first.n_shingles").alias("n"), "first.minima", "first.sig", "copies"), "near-classes")
-
-    live = _postings(spark, classes, matches)
-    texts = written(spark, source.withColumnRenamed("doc_id", "rep").join(live.select("rep", "sig"), "rep").select("rep", "sig", "text").distinct(), "near-texts")
+    firsts = known.groupBy("key").agg(F.min(F.struct("doc_id", F.col("block").alias("at_block"), F.col("row").alias("at_row"), F.col("n_shingles").alias("n"), "minima", "sig")).alias("first"), F.count(F.lit(1)).alias("copies"))
+    full = written(spark, firsts.select("key", F.xxhash64("key").alias("class"), F.col("first.doc_id").alias("rep"), "first.at_block", "first.at_row", "first.n", "first.minima", "first.sig", "copies"), "near-full")
+    named = written(spark, signed.select("doc_id", "n_shingles", "key"), "near-named")
+    discard(spark, signed)
+    live = _postings(spark, full, matches)
+    classes = written(spark, full.select("key", "rep", "copies"), "near-classes")
+    discard(spark, full)
+
+    texts = _Texts(spark, docs, blocks)
     links = _first_links(spark, live, texts, words, percent, matches)
-    labels = components(spark, links).select(F.col("node").alias("rep"), F.col("label").alias("comp"))
-    placed = written(spark, live.join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep")), "near-placed")
+    labels = components(spark, links)
+    prefix = F.expr(f"slice(tokens, 1, size(tokens) - {matches - 1})").alias("prefix")
+    placed = live.join(labels.select(F.col("node").alias("rep"), F.col("label").alias("comp")), "rep", "left").select("rep", F.coalesce("comp", "rep").alias("comp"), "n", "sig", "at_block", "at_row", prefix)
+    placed = written(spark, placed, "near-placed")
+    discard(spark, live)
     edges = _clusters(spark, placed, matches, percent)
-    links = links.unionByName(_last_links(spark, placed, edges, texts, words, percent, matches))
+    more = _last_links(spark, placed, edges, texts, words, percent, matches)
+    discard(spark, placed)
 
     # a document whose rows have several texts links their classes
+    known = named.where("key is not null and doc_id is not null")
     several = known.groupBy("doc_id").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high").select("doc_id")
     held = known.join(several, "doc_id").select("doc_id", "key").distinct().join(classes.select("key", "rep"), "key")
-    links = links.unionByName(held.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
-    labels = components(spark, links)
+    more = written(spark, more.unionByName(held.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))), "near-links")
+    if not more.isEmpty():
+        labels = components(spark, links.unionByName(more))
 
     moved = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").where("label is not null or copies > 1").select("key", F.coalesce("label", "rep").alias("label"))
-    named = signed.select("doc_id", "n_shingles", "key").join(moved, "key", "left")
-    named = named.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id")).alias("component_id"))
-    return named.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    placed_rows = named.join(moved, "key", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id")).alias("component_id"))
+    return placed_rows.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

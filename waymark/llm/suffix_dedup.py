@@ -15,8 +15,10 @@ A byte goes if a string of LENGTH bytes that covers it starts anywhere else too,
    can only be equal if their anchors are, so no other entries need a comparison.
 
 No text is shuffled but for live entries: rows are addressed by file and row, what a block of rows has to know
-is written to a file of the shared folder, and the scan that needs it reads it there. A gram or passage that a
-third of all rows hold costs one entry per block in step 1 and one per run in step 2.
+is written to a file of the shared folder, and the scan that needs it reads it there. Every block has its files, if need be
+empty ones, so a file that is missing is an error and never read as "nothing repeats". A gram or passage that a
+third of all rows hold costs one entry per block in step 1 and one per run in step 2. There are as many buckets as
+the texts' bytes need for BUCKET_BYTES each; the distinct entries of one gram stay in one bucket.
 
 Null and empty texts have nothing to remove; texts shorter than LENGTH stay whole, their strings match nothing;
 repeated rows and null ids give a row each; extra columns are ignored; an empty table gives no rows.
@@ -31,19 +33,20 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waymark.llm.anchors import anchors
-from waymark.llm.common import SharedFiles, grouped, shared_folder, small_batches, written
+from waymark.llm.blocks import Kept, addressed, keep_by_block, on_files
+from waymark.llm.common import grouped, shared_folder, small_batches, written
 
 LENGTH = 200
-BLOCK_ROWS = 4096
 #: Bytes of entries that are sorted into one run.
 RUN_BYTES = 32 << 20
 HEAD = 8
+#: Bytes of texts for each bucket of the exchanges.
+BUCKET_BYTES = 48 << 20
 
 DEALT = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("block", T.LongType()), T.StructField("payload", T.BinaryType())])
 DEALT_ARROW = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("payload", pa.binary())])
@@ -55,21 +58,6 @@ def gram_of(length: int) -> int:
     return max(1, length // 2 + 4) if length > 16 else max(1, length // 2)
 
 
-def addressed(spark: SparkSession, docs: DataFrame, *columns: str) -> DataFrame:
-    """The columns, and each row's block of BLOCK_ROWS rows of a file and place in it."""
-    named = docs.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"), *columns)
-    return named.select(F.xxhash64("file", F.floor(F.col("at") / BLOCK_ROWS)).alias("block"), F.pmod("at", F.lit(BLOCK_ROWS)).cast("int").alias("row"), *columns)
-
-
-def on_files(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The documents as rows of Parquet files, written first if they are not yet."""
-    try:
-        docs.select("_metadata.row_index")
-        return docs
-    except AnalysisException:
-        return written(spark, docs, "suffix-docs")
-
-
 def _raw(batch: pa.RecordBatch, column: int) -> list[bytes]:
     return [text or b"" for text in batch.column(column).cast(pa.binary()).to_pylist()]
 
@@ -130,34 +118,6 @@ def _live_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(out, schema=DEALT_ARROW)
 
 
-def _keep_by_block(batches: Iterator[pa.RecordBatch], folder: str, label: str, kind: np.dtype, order: list[str] | None) -> Iterator[pa.RecordBatch]:
-    """Writes what each block's rows have to know to its own file."""
-    files = SharedFiles(folder)
-    for block, rows in grouped(batches):
-        found = np.concatenate([np.frombuffer(payload, kind) for (payload,) in rows])
-        found = np.sort(found, order=order) if order else np.unique(found)
-        files.write(f"{label}{block}", iter([zstandard.ZstdCompressor(level=1).compress(found.tobytes())]))
-        yield pa.RecordBatch.from_pylist([{"block": block, "n": len(found)}], schema=pa.schema([("block", pa.int64()), ("n", pa.int64())]))
-
-
-class _Kept:
-    """Reads blocks' files, one at a time."""
-
-    def __init__(self, folder: str, label: str, kind: np.dtype) -> None:
-        self.files, self.label, self.kind = SharedFiles(folder), label, kind
-        self.block, self.found = None, np.zeros(0, dtype=kind)
-
-    def of(self, block: int) -> np.ndarray:
-        if block != self.block:
-            try:
-                with self.files.open(f"{self.label}{block}") as file:
-                    self.found = np.frombuffer(zstandard.ZstdDecompressor().decompress(file.read()), self.kind)
-            except FileNotFoundError:
-                self.found = np.zeros(0, dtype=self.kind)
-            self.block = block
-        return self.found
-
-
 def common_prefix(a: bytes, b: bytes, start: int) -> int:
     """The length of the common prefix of strings that agree up to start."""
     most = min(len(a), len(b))
@@ -261,7 +221,7 @@ class LoserTree:
 
 def _sort_runs(batches: Iterator[pa.RecordBatch], folder: str, length: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """Sorted front-coded runs of live entries, by bucket."""
-    live, gram = _Kept(folder, "live-", np.dtype("<u8")), gram_of(length)
+    live, gram = Kept(folder, "live-", np.dtype("<u8")), gram_of(length)
     texts: list[bytes] = []
     owns: list[int] = []
     places: list[tuple[int, int, int]] = []
@@ -425,20 +385,22 @@ def remaining(text: bytes, ranges: list[tuple[int, int]]) -> bytes:
 def find_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> str:
     """Runs the sort; returns the folder whose span files the rows' blocks read."""
     folder = shared_folder(spark, "suffixes")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = addressed(spark, docs, "text")
+    rows = addressed(docs, "text")
+    blocks = written(spark, rows.groupBy("block").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("bytes")), "suffix-blocks")
+    nothing = blocks.select("block", F.lit(b"").alias("payload"))
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(blocks.agg(F.sum("bytes")).first()[0] or 0) // BUCKET_BYTES))
     dealt = lambda made, key: made.repartition(buckets, key).sortWithinPartitions(key)
     grams = rows.mapInArrow(lambda batches: _post_grams(batches, length, buckets), DEALT)
     live = dealt(grams, "bucket").mapInArrow(_live_grams, DEALT).select("block", "payload")
-    dealt(live, "block").mapInArrow(lambda batches: _keep_by_block(batches, folder, "live-", np.dtype("<u8"), None), "block long, n long").agg(F.sum("n")).collect()
+    dealt(live.unionByName(nothing), "block").mapInArrow(lambda batches: keep_by_block(batches, folder, "live-", np.dtype("<u8"), None), "block long, n long").agg(F.sum("n")).collect()
     runs = rows.mapInArrow(lambda batches: _sort_runs(batches, folder, length, buckets), DEALT)
     spans = dealt(runs, "bucket").mapInArrow(lambda batches: _merge_runs(batches, length), DEALT).select("block", "payload")
-    dealt(spans, "block").mapInArrow(lambda batches: _keep_by_block(batches, folder, "span-", SPAN, ["row", "start", "end"]), "block long, n long").agg(F.sum("n")).collect()
+    dealt(spans.unionByName(nothing), "block").mapInArrow(lambda batches: keep_by_block(batches, folder, "span-", SPAN, ["row", "start", "end"]), "block long, n long").agg(F.sum("n")).collect()
     return folder
 
 
 def _each_row(batches: Iterator[pa.RecordBatch], folder: str, make: Callable, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    kept = _Kept(folder, "span-", SPAN)
+    kept = Kept(folder, "span-", SPAN)
     for batch in batches:
         rows = [make(text, _covered(kept.of(block), row)) for block, row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _raw(batch, 2), strict=True)]
         made = [pa.array([row[k] for row in rows], schema.field(k).type) for k in range(len(rows[0]) if rows else 0)]
@@ -453,10 +415,10 @@ def _digest(text: bytes, ranges: list[tuple[int, int]]) -> tuple[int, int, int,
 def repeat_digests(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     small_batches(spark)
-    docs = on_files(spark, docs)
+    docs = on_files(spark, docs, "suffix-docs")
     folder = find_repeats(spark, docs, length)
     schema = pa.schema([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("doc_id", pa.int64())])
-    rows = addressed(spark, docs, "text", "doc_id").withColumn("doc_id", F.col("doc_id").cast("long"))
+    rows = addressed(docs, "text", "doc_id").withColumn("doc_id", F.col("doc_id").cast("long"))
     made = rows.mapInArrow(lambda batches: _each_row(batches, folder, _digest, schema), "n_bytes long, n_removed long, n_spans long, kept_sha256 string, doc_id long")
     return made.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
@@ -471,10 +433,10 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -
     Bytes of a character that is cut in two go with the cut; a text from which nothing is removed is unchanged.
     """
     small_batches(spark)
-    docs = on_files(spark, docs)
+    docs = on_files(spark, docs, "suffix-docs")
     folder = find_repeats(spark, docs, length)
     others = [field for field in docs.schema.fields if field.name != "text"]
-    rows = addressed(spark, docs, "text", *(field.name for field in others))
+    rows = addressed(docs, "text", *(field.name for field in others))
     made_type = T.StructType([T.StructField("rest", T.StringType()), T.StructField("n_removed", T.LongType()), *(T.StructField(f"c{k}", field.dataType) for k, field in enumerate(others)), T.StructField("was", T.StringType())])
     inputs = rows.select("block", "row", "text", *(F.col(field.name).alias(f"c{k}") for k, field in enumerate(others)), F.col("text").alias("was"))
 

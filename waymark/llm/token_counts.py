@@ -28,6 +28,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -165,8 +166,9 @@ def _gather(batches: Iterator[pa.RecordBatch], folder: str, path: str, buckets:
     def flush() -> pa.RecordBatch:
         nonlocal block
         sections, dealt = _block(ids, texts, sizes, tools, buckets)
-        files.write(f"block-{block}", _save(sections))
-        out = pa.RecordBatch.from_arrays([pa.array([block] * len(dealt), pa.int64()), pa.array([b for b, _ in dealt], pa.int32()), pa.array([p for _, p in dealt], pa.binary())], schema=DEALT_ARROW)
+        name = xxhash.xxh3_64_intdigest(b"".join(sections), seed=block) - (1 << 63)  # another content gets another file
+        files.write(f"block-{name}", _save(sections))
+        out = pa.RecordBatch.from_arrays([pa.array([name] * len(dealt), pa.int64()), pa.array([b for b, _ in dealt], pa.int32()), pa.array([p for _, p in dealt], pa.binary())], schema=DEALT_ARROW)
         block += 1
         for held in (ids, texts, sizes):
             held.clear()
@@ -208,6 +210,9 @@ def _totals(batches: Iterator[pa.RecordBatch], folder: str, limit: int) -> Itera
         pieces = np.zeros(len(buckets), dtype=np.int64)
         order = np.argsort(buckets, kind="stable")
         cuts = np.searchsorted(buckets[order], sorted(parts), side="left")
+        asked = dict(zip(*(x.tolist() for x in np.unique(buckets, return_counts=True)), strict=True))
+        if any(len(parts.get(bucket, ())) != n for bucket, n in asked.items()):
+            raise RuntimeError(f"block {block}: the counts are not those of its pieces; its rows came in another order when a task ran again")
         for bucket, cut in zip(sorted(parts), cuts.tolist(), strict=True):
             pieces[order[cut : cut + len(parts[bucket])]] = parts[bucket]
         steps = _unplanes(steps).astype(np.int64)
