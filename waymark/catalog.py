@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from waymark.plans import address_queries
+from waymark.plans import address_queries, rule_queries, stage_queries  # noqa: F401
 
 FLAGSHIP = "dedup_verdict"
 
 
 def queries() -> dict:
     """Name to callable(spark, sf_dir)."""
-    return dict(address_queries.QUERIES)
+    return dict(address_queries.QUERIES)  # the other modules add theirs to it
+
 
 
 def oracle_sql() -> dict[str, str]:

@@ -59,10 +59,10 @@ def postcode(zip_code: Column, state: Column) -> Column:
     good = numeric & F.length(digits).isin(5, 9) & five.between("00501", "99950")
     padded = numeric & (F.length(digits) == 4) & F.coalesce(state, F.lit("")).isin(*ZERO_ZIP_STATES)
     nothing = (digits == "") | digits.rlike(r"\A0+\z")
-    value = F.when(good, five).when(padded & ~nothing, F.concat(F.lit("0"), digits))
-    flag = F.when(good | nothing, None).when(padded, "postcode_zero_restored").otherwise("bad_postcode")
+    value = F.when(good, five).when(padded, F.concat(F.lit("0"), digits))
+    flag = F.when(good, None).when(padded, "postcode_zero_restored").when(~nothing, "bad_postcode")
     return _result(value, F.lit(None).cast("string"), F.array_compact(F.array(flag)))
 
 
 def lifecycle_drop(lifecycle: Column) -> Column:
-    return F.when(F.upper(F.trim(lifecycle)).isin(*INACTIVE), "inactive_lifecycle")
+    return F.when(F.upper(clean(lifecycle)).isin(*INACTIVE), "inactive_lifecycle")

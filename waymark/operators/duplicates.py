@@ -26,11 +26,12 @@ def ranked(rows: DataFrame, key: Sequence[str], order: Sequence[Column], near: f
 
 
 def verdicts(rows: DataFrame, row_id: str, key: Sequence[str], wider: Sequence[str], order: Sequence[Column], near: float = NEAR_METRES) -> DataFrame:
-    """Two passes: by key, then survivors by the wider key; rows keep their data and get is_duplicate, elsewhere.
+    """Two passes: by key, then survivors by the wider key; rows keep their data and get is_duplicate, elsewhere and elsewhere_wider.
 
-    The first pass's verdicts ride along as columns, so only the second pass joins back.
+    elsewhere is the first pass's, elsewhere_wider the second's; duplicates have neither. wider begins with key, so
+    the second pass's windows need no shuffle of their own and nothing is joined back: repeated ids stay as they are.
     """
-    first = ranked(rows, key, order, near).drop("copies", "place", "metres_off").withColumnRenamed("is_duplicate", "first__")
-    second = ranked(first.where("not first__").drop("elsewhere", "first__"), wider, order, near).where("is_duplicate").select(row_id, F.lit(True).alias("second__"))
-    own = first.join(second, row_id, "left")
-    return own.withColumn("is_duplicate", F.col("first__") | F.coalesce("second__", F.lit(False))).withColumn("elsewhere", F.col("elsewhere") & ~F.col("is_duplicate")).drop("first__", "second__")
+    first = ranked(rows, key, order, near).drop("copies", "place", "metres_off").withColumnsRenamed({"is_duplicate": "first__", "elsewhere": "far__"})
+    second = ranked(first, [*wider, "first__"], order, near).drop("copies", "place", "metres_off")
+    gone = F.col("first__") | F.col("is_duplicate")
+    return second.withColumns({"is_duplicate": gone, "elsewhere": F.col("far__") & ~gone, "elsewhere_wider": F.col("elsewhere") & ~gone}).drop("first__", "far__")

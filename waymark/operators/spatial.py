@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CELL = 1.0
+#: Degrees of a cell's side.
+CELL = 0.5
 
 
 def _edges(rings: Column) -> Column:
@@ -44,11 +45,25 @@ def edge_distance(x: Column, y: Column, edges: Column) -> Column:
 
 
 def in_cells(polygons: DataFrame, pad: float = 0.0, cell: float = CELL) -> DataFrame:
-    """Polygons with their edges, once for each grid cell of their padded bounding box."""
+    """Polygons once for each grid cell of their padded bounding box that they reach: cx, cy, edges, whole.
+
+    A cell has the edges that a test of its points needs: those beside it or to its right, whose crossings count, or
+    with a pad those within it. A cell that no edge touches lies in the polygon or outside as a whole: the latter is
+    left out, the former (whole) needs no test. With a pad every cell keeps its near edges alone.
+    """
     points = F.flatten("rings")
     xs, ys = F.transform(points, lambda p: p.x), F.transform(points, lambda p: p.y)
     span = lambda values: F.sequence(F.floor((F.array_min(values) - pad) / cell), F.floor((F.array_max(values) + pad) / cell))
-    return polygons.withColumn("edges", _edges(F.col("rings"))).withColumn("cx", F.explode(span(xs))).withColumn("cy", F.explode(span(ys)))
+    every = polygons.withColumn("edges", _edges(F.col("rings"))).withColumn("cx", F.explode(span(xs))).withColumn("cy", F.explode(span(ys)))
+    left, low = F.col("cx") * cell - pad, F.col("cy") * cell - pad
+    beside = lambda e: (F.greatest(e.a.y, e.b.y) >= low) & (F.least(e.a.y, e.b.y) <= low + (cell + 2 * pad)) & (F.greatest(e.a.x, e.b.x) >= left)
+    touching = lambda e: F.least(e.a.x, e.b.x) <= left + (cell + 2 * pad)
+    near = every.withColumn("edges", F.filter("edges", beside))
+    if pad:
+        return near.withColumn("edges", F.filter("edges", touching)).where(F.size("edges") > 0).withColumn("whole", F.lit(False))
+    own = near.withColumn("whole", ~F.exists("edges", touching))
+    inside = crosses_odd(left + cell / 2, low + cell / 2, F.col("edges"))
+    return own.where(~F.col("whole") | inside)
 
 
 def points_in_polygons(points: DataFrame, polygons: DataFrame, key: str, name: str, by: Sequence[str] = (), boundary: bool = False, cell: float = CELL) -> DataFrame:
@@ -60,7 +75,7 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, key: str, name: s
     pairs = placed.join(in_cells(polygons.select(name, "rings", *by), 0.0, cell), ["cx", "cy", *by])
     inside = crosses_odd(F.col("lon"), F.col("lat"), F.col("edges"))
     edge = on_edge(F.col("lon"), F.col("lat"), F.col("edges"))
-    return pairs.where(inside | edge if boundary else inside & ~edge).groupBy(key).agg(F.min(name).alias(name))
+    return pairs.where(F.col("whole") | (inside | edge if boundary else inside & ~edge)).groupBy(key).agg(F.min(name).alias(name))
 
 
 def nearest_polygon(points: DataFrame, polygons: DataFrame, key: str, name: str, radius: float, cell: float = CELL) -> DataFrame:
@@ -71,13 +86,17 @@ def nearest_polygon(points: DataFrame, polygons: DataFrame, key: str, name: str,
     return near.groupBy(key).agg(F.min(F.struct("distance", name)).alias("best")).select(key, f"best.{name}", "best.distance")
 
 
-def neighbours(left: DataFrame, right: DataFrame, step: float, on: Sequence[str] = ()) -> DataFrame:
-    """Pairs of (lon, lat) rows whose grid cells touch: the right side stands in its own cell and the eight around.
+def neighbours(left: DataFrame, right: DataFrame, step: float, on: Sequence[str] = (), reach: float | None = None) -> DataFrame:
+    """Pairs of (lon, lat) rows whose grid cells are near: the right side stands in its own cell and those around.
 
-    Right columns are lon2, lat2 and its own; every pair up to step apart in both directions is among the pairs.
+    Right columns are lon2, lat2 and its own. Every pair up to reach (a step, if none is given) apart is among the
+    pairs, where a degree of longitude counts as much less than one of latitude as it is shorter.
     """
-    around = F.explode(F.array(*(F.lit(k).cast("long") for k in (-1, 0, 1))))
-    spread = right.withColumnsRenamed({"lon": "lon2", "lat": "lat2"}).withColumn("dx", around).withColumn("dy", around)
+    reach = step if reach is None else reach
+    around = lambda n: F.explode(F.sequence(-n, n))
+    high = F.least(F.abs("lat2") + reach, F.lit(89.9))
+    steps = F.ceil(F.lit(reach / step) / F.cos(F.radians(high))).cast("long")
+    spread = right.withColumnsRenamed({"lon": "lon2", "lat": "lat2"}).withColumn("dx", around(steps)).withColumn("dy", around(F.ceil(F.lit(reach / step)).cast("long")))
     spread = spread.withColumn("cx", F.floor(F.col("lon2") / step) + F.col("dx")).withColumn("cy", F.floor(F.col("lat2") / step) + F.col("dy")).drop("dx", "dy")
     placed = left.withColumn("cx", F.floor(F.col("lon") / step)).withColumn("cy", F.floor(F.col("lat") / step))
     return placed.join(spread, ["cx", "cy", *on]).drop("cx", "cy")

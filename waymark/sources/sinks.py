@@ -9,12 +9,16 @@ TAGS = ("housenumber", "street", "unit", "city", "state", "postcode")
 
 
 def write_by_state(rows: DataFrame, path: str, column: str = "addr_state") -> None:
-    """Zstandard Parquet in one folder per value; one shuffle, so each folder gets few files."""
-    rows.repartition(column, F.pmod(F.xxhash64(*rows.columns[:1]), F.lit(8))).write.mode("overwrite").option("compression", "zstd").partitionBy(column).parquet(path)
+    """Zstandard Parquet in one folder per value; the files keep the column, folders are named by a copy of it.
+
+    The rebalance lets adaptive execution split a large value's rows over tasks and put small ones together.
+    """
+    copied = rows.withColumn(f"in_{column}", F.col(column)).hint("rebalance", f"in_{column}")
+    copied.write.mode("overwrite").option("compression", "zstd").partitionBy(f"in_{column}").parquet(path)
 
 
 def read_by_state(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """The table in its own column order; the partition column comes back as text."""
+    """The table in its own column order; folders' names are text."""
     return spark.read.option("partitionColumnTypeInference.enabled", False).parquet(path).select(*columns)
 
 

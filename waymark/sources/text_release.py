@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import csv
 import re
 import zipfile
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 CHUNK = 4 << 20
+DEFLATE64 = 9
 
 
 def text_member(archive: zipfile.ZipFile, pattern: str = r"(?:^|/)[A-Z]+_r(\d+)\.txt$") -> tuple[zipfile.ZipInfo, str]:
@@ -21,6 +23,26 @@ def text_member(archive: zipfile.ZipFile, pattern: str = r"(?:^|/)[A-Z]+_r(\d+)\
     return found[0][0], f"r{found[0][1][1]}"
 
 
+def member_bytes(archive: zipfile.ZipFile, info: zipfile.ZipInfo) -> Iterator[bytes]:
+    """A member's content in pieces: stored, deflated, or Deflate64 where the inflate64 module is installed."""
+    if info.compress_type != DEFLATE64:
+        with archive.open(info) as source:
+            while chunk := source.read(CHUNK):
+                yield chunk
+        return
+    from inflate64 import Inflater
+
+    inflater, raw = Inflater(), archive.fp
+    raw.seek(info.header_offset + 26)
+    names = int.from_bytes(raw.read(2), "little") + int.from_bytes(raw.read(2), "little")
+    raw.seek(info.header_offset + 30 + names)
+    left = info.compress_size
+    while left:
+        part = raw.read(min(CHUNK, left))
+        left -= len(part)
+        yield inflater.inflate(part)
+
+
 def unpack(archive: str | Path, folder: str | Path) -> tuple[Path, str]:
     """Writes the release file next to nothing else; a complete earlier copy is kept."""
     with zipfile.ZipFile(archive) as opened:
@@ -30,9 +52,9 @@ def unpack(archive: str | Path, folder: str | Path) -> tuple[Path, str]:
             return target, release
         target.parent.mkdir(parents=True, exist_ok=True)
         draft = target.with_suffix(".part")
-        with opened.open(info) as source, draft.open("wb") as out:
-            while chunk := source.read(CHUNK):
-                out.write(chunk)
+        with draft.open("wb") as out:
+            for part in member_bytes(opened, info):
+                out.write(part)
         if draft.stat().st_size != info.file_size:
             raise ValueError(f"{info.filename}: {draft.stat().st_size} bytes, {info.file_size} expected")
         draft.rename(target)
@@ -48,12 +70,15 @@ def header_problems(header: Sequence[str], expected: Sequence[str]) -> list[str]
     return problems
 
 
-def read_text(spark: SparkSession, path: str, columns: Sequence[str], separator: str = ",", quote: str = '"') -> DataFrame:
-    """A delimited file as text columns; empty values are null, a header that differs is an error."""
+def read_text(spark: SparkSession, path: str, columns: Sequence[str], separator: str = ",", quote: str = '"', line_breaks: bool = False) -> DataFrame:
+    """A delimited file as text columns; empty values are null, a header that differs is an error.
+
+    line_breaks: quoted values may hold line breaks; a file is then read by one task.
+    """
     first = spark.read.text(path).limit(1).collect()
-    header = first[0][0].removeprefix("﻿").rstrip("\r").split(separator) if first else []
-    header = [name.strip(quote) if quote else name for name in header]
+    quoting = {"quotechar": quote} if quote else {"quoting": csv.QUOTE_NONE}
+    header = next(csv.reader([first[0][0].removeprefix("\ufeff").rstrip("\r")], delimiter=separator, **quoting), []) if first else []
     if problems := header_problems(header, columns):
         raise ValueError(f"{path}: {'; '.join(problems)}")
     schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
-    return spark.read.schema(schema).options(header=True, sep=separator, quote=quote, escape='"', multiLine=False, enforceSchema=True).csv(path)
+    return spark.read.schema(schema).options(header=True, sep=separator, quote=quote, escape='"', multiLine=line_breaks, enforceSchema=True).csv(path)
