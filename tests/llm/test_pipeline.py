@@ -51,3 +51,35 @@ def test_stages(spark, tmp_path):
 
 def test_five_named_stages():
     assert len(corpus_pipeline.STAGES) == 5 and all(callable(f) for _, f in corpus_pipeline.STAGES)
+
+
+def test_run_over_odd_documents(spark, tmp_path, odd_texts):
+    """Nulls, empty and very long texts, ties, repeated rows and ids, and columns whose names the stages use themselves."""
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) for _ in range(900)]
+    prose = [" ".join(rng.choice(words) for _ in range(rng.randrange(60, 200))) for _ in range(60)]
+    long = " ".join(rng.choice(words) for _ in range(40_000))
+    texts = [*odd_texts, *prose, long, prose[0], prose[1] + " more"]
+    rows = [(i if i % 17 else None, t, "en" if i % 3 else None, f"s{i % 2}", len(t or ""), "x", 7, i) for i, t in enumerate(texts)]
+    rows += [rows[-1], (61, prose[5] + " other text", "en", "s1", 3, "x", 7, 0), (None, None, None, None, None, None, None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, kept string, block long, row long").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, " ".join(prose[9].split()[:30])), (None, None), (8, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    lengths, totals = Counter(), {}
+    for r in pieces:
+        lengths[r.doc_id] += r.length
+        totals.setdefault(r.doc_id, set()).add(r.doc_tokens)
+    named = {i: t for i, t in enumerate(texts) if i % 17}
+    kept = set(lengths)
+    assert texts.index(long) in kept
+    copies = [i for i, t in named.items() if t == prose[0]]
+    assert len(kept & set(copies)) == min(1, len(copies))
+    assert all(i in kept for i, t in named.items() if t in prose[12:] and texts.index(t) == i)
+    assert texts.index(prose[9]) not in kept or texts.index(prose[9]) % 17 == 0
+    assert all(lengths[i] == sum(totals[i]) for i in kept if i is not None and len(totals[i]) == 1 and i not in (61, len(texts) - 1))
+
+
+def test_run_over_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

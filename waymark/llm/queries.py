@@ -56,5 +56,31 @@ def queries() -> dict:
     return {f.__name__: f for f in (op1_mcd_outliers, op2_piece_counts, op3_sstable_shards, op4_budgeted_windows, op5_warc_bundles, op6_cost_balanced_packing, op7_line_blocks, op8_suffix_runs, op9_signature_join, op10_template_windows)}
 
 
+#: Pages' payloads: digests in base 32 from five hex digits, twenty bits, at a time; the smallest id of a payload answers.
+WARC_SQL = """WITH p AS (SELECT page_id, url, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+d AS (SELECT page_id, url, octet_length(encode(h))::BIGINT AS payload_bytes, x, array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform([15, 10, 5, 0], lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(x, 5 * i + 1, 5))::BIGINT >> s) & 31) + 1), 1)), '')), '') AS payload_digest, min(page_id) OVER (PARTITION BY x) AS first_id FROM p)
+SELECT page_id::BIGINT AS page_id, payload_bytes, payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first_id THEN first_id::BIGINT END AS refers_to, url FROM d"""
+
+#: Brute force: every string of 200 bytes by its MD5, those that start twice, the bytes they cover and what is left.
+REPEAT_SQL = """WITH t AS (SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, '')))::BIGINT AS n FROM documents),
+p AS (SELECT doc_id, i, md5(b[i + 1 : i + 200]) AS h FROM (SELECT doc_id, b, unnest(range(n - 199)) AS i FROM t)),
+r AS (SELECT doc_id, i FROM p JOIN (SELECT h FROM p GROUP BY h HAVING count(*) > 1) USING (h)),
+g AS (SELECT doc_id, i, sum(CASE WHEN i <= before + 200 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM r)),
+s AS (SELECT doc_id, span, min(i) AS a, max(i) + 200 AS z FROM g GROUP BY doc_id, span),
+c AS (SELECT doc_id, sum(z - a) AS removed, count(*) AS spans FROM s GROUP BY doc_id),
+k AS (SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS z FROM s UNION ALL SELECT doc_id, max(z), NULL FROM s GROUP BY doc_id),
+x AS (SELECT doc_id, string_agg(hex(b[k.a + 1 : coalesce(k.z, n)]), '' ORDER BY k.a) AS kept FROM k JOIN t USING (doc_id) WHERE coalesce(k.z, n) > k.a GROUP BY doc_id)
+SELECT doc_id::BIGINT AS doc_id, n AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans, sha256(CASE WHEN removed IS NULL THEN b ELSE unhex(coalesce(kept, '')) END) AS kept_sha256 FROM t LEFT JOIN c USING (doc_id) LEFT JOIN x USING (doc_id)"""
+
+#: Brute force: shingles of two words, all pairs that share one, links on whole sets, and what they reach.
+NEAR_SQL = """WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ELSE w END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id), c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 80 * (x.n + y.n - shared)), e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a), m AS (SELECT a, min(b) AS low FROM r GROUP BY a)
+SELECT w.doc_id::BIGINT AS doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(w.doc_id, coalesce(low, w.doc_id))::BIGINT AS component_id, least(w.doc_id, coalesce(low, w.doc_id)) = w.doc_id AS kept FROM w LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.a = w.doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The other queries have no SQL form: they run tokenizers, estimates or readers of pages; tests/llm holds them against brute force."""
+    return {"op5_warc_bundles": WARC_SQL, "op8_suffix_runs": REPEAT_SQL, "op9_signature_join": NEAR_SQL}
