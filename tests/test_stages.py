@@ -2,6 +2,7 @@
 
 import io
 import json
+import struct
 import zipfile
 
 import pytest
@@ -9,10 +10,10 @@ from pyspark.sql import functions as F
 
 from waymark.functions import outlines
 from waymark.functions.places import read_decisions
-from waymark.operators import place_names, spatial
+from waymark.operators import place_names, python_rules, spatial
 from waymark.plans import golden, stage_queries
 from waymark.schema import POINT_COLUMNS, RAW_COLUMNS
-from waymark.sources import publishing, references, registry, remote, sinks
+from waymark.sources import polygons, publishing, references, registry, remote, sinks
 from waymark.stages import counts, coverage, ingestion, review, tagging
 from waymark.streaming import weekly
 
@@ -292,6 +293,23 @@ def test_files_for_others(spark, tmp_path):
     assert len(sent) == 1 and json.loads(history.read_text()) == {"n": 2}
 
 
+def test_shapefiles(spark, tmp_path):
+    def record(number, rings):
+        points = [p for ring in rings for p in ring]
+        starts = [sum(map(len, rings[:k])) for k in range(len(rings))]
+        body = struct.pack("<i4d2i", 5, 0, 0, 9, 9, len(rings), len(points)) + struct.pack(f"<{len(rings)}i", *starts) + b"".join(struct.pack("<2d", *p) for p in points) if rings else struct.pack("<i", 0)
+        return struct.pack(">2i", number, len(body) // 2) + body
+
+    shapes = [[square(0.0, 0.0, 4.0), square(1.0, 1.0, 1.0)], [], [square(5.0, 5.0, 1.0)]]
+    (tmp_path / "l.shp").write_bytes(bytes(100) + b"".join(record(k, rings) for k, rings in enumerate(shapes)))
+    field = lambda name, size: name.encode().ljust(11, b"\0") + b"C" + bytes(4) + bytes([size]) + bytes(15)
+    rows = b"".join(b" " + name.encode("utf-8").ljust(45) + state.encode().ljust(2) for name, state in (("Oak city (balance)", "KS"), ("none", "KS"), ("Elm", "WI")))
+    (tmp_path / "l.dbf").write_bytes(bytes([3, 24, 1, 1]) + struct.pack("<IHH", 3, 32 + 64 + 1, 48) + bytes(20) + field("NAME", 45) + field("STUSPS", 2) + b"\r" + rows)
+    read = polygons.read_shapefile(spark, str(tmp_path / "l"), ["NAME", "STUSPS"])
+    found = polygons.renamed(polygons.layer(read, "NAME", "STUSPS", "STUSPS <> 'XX'"), python_rules.polygon_city)
+    assert sorted((r.state, r.name, [[(p.x, p.y) for p in ring] for ring in r.rings]) for r in found.collect()) == [("KS", "Oak", shapes[0]), ("WI", "Elm", shapes[2])]
+
+
 def test_weekly_stream(spark, tmp_path):
     spark.createDataFrame([("2024-01-0%d 10:00:00" % d, "a") for d in (1, 2, 9)] + [("2024-02-20 10:00:00", "b")], "ts string, kind string").selectExpr("to_timestamp(ts) as ts", "kind").coalesce(1).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("ts timestamp, kind string").parquet(str(tmp_path / "in"))
