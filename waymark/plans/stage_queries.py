@@ -33,13 +33,13 @@ def _two_sources(spark, d):
 
 
 @query(f"""WITH p AS (SELECT 'own' AS source, {place('c_custkey')} FROM customer WHERE c_acctbal >= 0 UNION ALL SELECT 'extra', {place('s_suppkey * 3')} FROM supplier), g AS (SELECT source, round(lon * 100)::BIGINT AS gx, round(lat * 100)::BIGINT AS gy, avg(lon) AS lon, avg(lat) AS lat, count(*) AS n FROM p GROUP BY source, round(p.lon * 100), round(p.lat * 100)),
-b AS ({BOX}), d AS (SELECT source, gx, gy, n, region, greatest(x - lon, 0.0, lon - x - 9.0) AS dx, greatest(y - lat, 0.0, lat - y - 4.0) AS dy FROM g CROSS JOIN b), q AS (SELECT *, sqrt(dx * dx + dy * dy) AS off FROM d WHERE sqrt(dx * dx + dy * dy) <= 0.35),
+b AS ({BOX}), d AS (SELECT source, gx, gy, n, region, greatest(x - lon, 0.0, lon - x - 9.0) AS dx, greatest(y - lat, 0.0, lat - y - 4.0) AS dy FROM g CROSS JOIN b), q AS (SELECT *, sqrt(dx * dx + dy * dy) AS off FROM d WHERE sqrt(dx * dx + dy * dy) <= 0.355),
 h AS (SELECT source, gx, gy, n, region FROM q QUALIFY row_number() OVER (PARTITION BY source, gx, gy ORDER BY round(off, 9), region) = 1)
 SELECT region AS geoid, sum(n)::BIGINT AS points, sum(CASE WHEN source = 'own' THEN n ELSE 0 END)::BIGINT AS own, sum(CASE WHEN source = 'extra' THEN n ELSE 0 END)::BIGINT AS other, CASE WHEN 20 * sum(CASE WHEN source = 'extra' THEN n ELSE 0 END) < sum(n) THEN 'own' WHEN 20 * sum(CASE WHEN source = 'own' THEN n ELSE 0 END) < sum(n) THEN 'other' ELSE 'mixed' END AS origin FROM h GROUP BY region""")
 def region_origin(spark, d):
-    """Bins by source, placed in boxes or snapped to one within reach. No bin's place is on a box's edge but by snapping to it."""
+    """Bins by source, placed in boxes or snapped to one within reach; no bin is just as far as that."""
     counties = shapes(spark, d).withColumnRenamed("name", "geoid")
-    placed = coverage.placed_bins(coverage.binned(_two_sources(spark, d)), counties, 0.35)
+    placed = coverage.placed_bins(coverage.binned(_two_sources(spark, d)), counties, 0.355)
     return coverage.county_summary(coverage.county_counts(placed), ["extra"]).select("geoid", "points", "own", "other", "origin")
 
 

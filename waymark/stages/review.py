@@ -185,13 +185,13 @@ def address_matches(points: DataFrame, mapped: DataFrame, radius: float = MATCH_
     """
     key = lambda rows: rows.withColumns({"number_key": number_key(F.col("housenumber")), "street_key": text_key(F.col("street"))})
     own = key(points).where("number_key <> ''")
-    own = own.groupBy("number_key", "street_key").agg(F.min(F.struct("id", "street", "city", "postcode", "lon", "lat")).alias("p")).select("number_key", "street_key", "p.*")
-    other = key(mapped).select("number_key", F.col("street_key").alias("street_key2"), F.col("street").alias("street2"), F.col("city").alias("city2"), F.col("postcode").alias("postcode2"), "lon", "lat")
+    own = own.groupBy("number_key", "street_key").agg(F.min(F.struct("id", "street", "city", "postcode", "lon", "lat")).alias("p")).select("number_key", "street_key", "p.*", direction_parts(F.col("p.street")).alias("parts"))
+    other = key(mapped).select(direction_parts(F.col("street")).alias("parts2"), "number_key", F.col("street_key").alias("street_key2"), F.col("street").alias("street2"), F.col("city").alias("city2"), F.col("postcode").alias("postcode2"), "lon", "lat")
     reach = radius / 111_320.0
     pairs = spatial.neighbours(own, other, 0.001, ["number_key"], reach)
     off = metres(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2"))
     near = pairs.withColumn("off", off).where(F.col("off") <= radius)
-    kind = F.when(F.col("street_key") == F.col("street_key2"), 0).when(directional_difference(direction_parts(F.col("street")), direction_parts(F.col("street2"))), 1).otherwise(2)
+    kind = F.when(F.col("street_key") == F.col("street_key2"), 0).when(directional_difference(F.col("parts"), F.col("parts2")), 1).otherwise(2)
     best = near.withColumn("kind", kind).groupBy("number_key", "street_key").agg(F.min(F.struct("kind", "off", "street2", "city2", "postcode2")).alias("m"))
     rows = own.join(best, ["number_key", "street_key"], "left")
     outcome = F.when(F.col("m.kind") == 0, "matched").when(F.col("m.kind") == 1, "matched_directional_differs").when(F.col("m.kind") == 2, "street_conflict").otherwise("not_in_osm")
