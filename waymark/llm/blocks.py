@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.llm.common import SharedFiles, grouped, written
@@ -16,10 +16,10 @@ from waymark.llm.common import SharedFiles, grouped, written
 BLOCK_ROWS = 4096
 
 
-def addressed(docs: DataFrame, *columns: str) -> DataFrame:
-    """The columns, and each row's block of BLOCK_ROWS rows of a file and place in it."""
-    named = docs.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"), *columns)
-    return named.select(F.xxhash64("file", F.floor(F.col("at") / BLOCK_ROWS)).alias("block"), F.pmod("at", F.lit(BLOCK_ROWS)).cast("int").alias("row"), *columns)
+def addressed(docs: DataFrame, *columns: str | Column) -> DataFrame:
+    """Each row's block of BLOCK_ROWS rows of a file, its place in it, and the columns, which have other names than block and row."""
+    named = docs.select(F.col("_metadata.file_path").alias("file__"), F.col("_metadata.row_index").alias("at__"), *columns)
+    return named.select(F.xxhash64("file__", F.floor(F.col("at__") / BLOCK_ROWS)).alias("block"), F.pmod("at__", F.lit(BLOCK_ROWS)).cast("int").alias("row"), *named.columns[2:])
 
 
 def on_files(spark: SparkSession, docs: DataFrame, label: str) -> DataFrame:

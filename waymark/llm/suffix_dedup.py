@@ -436,9 +436,9 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -
     docs = on_files(spark, docs, "suffix-docs")
     folder = find_repeats(spark, docs, length)
     others = [field for field in docs.schema.fields if field.name != "text"]
-    rows = addressed(docs, "text", *(field.name for field in others))
+    rows = addressed(docs, "text", *(F.col(f"`{field.name}`").alias(f"c{k}") for k, field in enumerate(others)))
     made_type = T.StructType([T.StructField("rest", T.StringType()), T.StructField("n_removed", T.LongType()), *(T.StructField(f"c{k}", field.dataType) for k, field in enumerate(others)), T.StructField("was", T.StringType())])
-    inputs = rows.select("block", "row", "text", *(F.col(field.name).alias(f"c{k}") for k, field in enumerate(others)), F.col("text").alias("was"))
+    inputs = rows.select("block", "row", "text", *(f"c{k}" for k in range(len(others))), F.col("text").alias("was"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
