@@ -34,7 +34,7 @@ def write_single(rows: DataFrame, folder: str, state: str) -> None:
 
 def tile_command(inputs: Sequence[str], target: str, name: str, attribution: str, least: int = 10, most: int = 14) -> list[str]:
     """The tiler's arguments: every point at the largest zoom, once, and no limits on a tile."""
-    return ["tippecanoe", "-o", target, "--force", "-l", "addresses", "-n", name, "-A", attribution, "-Z", str(least), "-z", str(most), "--buffer=0", "--no-feature-limit", "--no-tile-size-limit", "--no-duplication", "-P", "--drop-densest-as-needed", *inputs]
+    return ["tippecanoe", "-o", target, "--force", "-l", "addresses", "-n", name, "-A", attribution, "-Z", str(least), "-z", str(most), "--buffer=0", "--no-feature-limit", "--no-tile-size-limit", "--no-duplication", "-P", *inputs]
 
 
 def credentials(path: Path, environment: Mapping[str, str] = os.environ, names: Sequence[str] = ("ACCESS_KEY_ID", "SECRET_ACCESS_KEY", "ENDPOINT")) -> dict[str, str]:
