@@ -12,7 +12,7 @@ from waymark.llm import queries
 def test_query(spark, name):
     data = "/root/testdata/sf0.01"
     duck = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "labels"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{data}/{table}.parquet'")
     found = duck.sql(queries.oracle_sql()[name])
     got = queries.queries()[name](spark, data)
