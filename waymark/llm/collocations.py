@@ -3,18 +3,21 @@
 Texts are cut into pieces and words; blocks of texts of one language become sequences of numbers in their task, each
 block with its own list of different words and their counts. Then, for phrases of 1, 2, 3 and 4 words in turn:
 
-* counts of the blocks are summed by word, or by pair of names; what occurs LEAST times or more gets a name, an id;
-* names are joined back to the blocks that hold them, and a block's sequence is rewritten in them, with a gap where
-  there is none; two names side by side are the next length's pair, since they overlap in all words but the outer two.
+* each block posts its different words, or pairs of names, with their counts to buckets by hash; a bucket's task sums
+  them over all blocks, names what occurs LEAST times or more by an id, and replies to each block that posted;
+* replies go to a file for each block, and its sequence is rewritten in names, with a gap where there is none; two names
+  side by side are the next length's pair, since they overlap in all words but the outer two.
 
 A phrase of k frequent words is a pair of frequent phrases of k - 1, so nothing frequent is lost and few others are
 counted. The pair is kept as the name's parents: a phrase's cuts are its parents' counts and its grandparents'; and a
 phrase is subsumed if one of its children, the phrases longer by a word, is nearly as frequent, because a child is at
-least as frequent as any longer phrase that holds it. Names are pairs of ids or whole words, never hashes.
+least as frequent as any longer phrase that holds it. Names are pairs of ids or whole words, never hashes, and an id is
+a bucket's number and a rank in it, so a task that runs again gives the same.
 
-Blocks hold BLOCK_WORDS words or one text, whichever is more, so a block's distinct pairs are what a task and a row
-hold. A word that every text has is one row a block. Names are joined to blocks as the planner chooses: sent to all
-executors below its size limit, else by a shuffle. The first ranks are chosen in rounds of bounded groups.
+Blocks hold BLOCK_WORDS words or one text, whichever is more; buckets are as many as spark.sql.shuffle.partitions, or
+more, so that one holds BUCKET entries or so. Those bound what a task holds. A word that every text has is one entry a
+block. What is posted is sorted and packed: a pair takes three to five bytes. The first ranks are chosen in rounds of
+bounded groups.
 
 Fixed meanings: null texts count as empty, null languages as `und`. Equal scores go by count, then phrase in order of
 UTF-8 bytes; equally low cuts go to the first. Repeated rows and null ids count like any other; ids aren't read. Texts
@@ -23,33 +26,65 @@ of any length are read whole. Extra columns are ignored; an empty table gives no
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from waymark.llm.common import small_batches, written
+from waymark.llm.common import SharedFiles, discard, grouped, shared_folder, small_batches, written
+from waymark.llm.shingles import mix
 
 LEAST, WORDS, MOST = 30, 4, 2000
 #: A phrase is dropped if a longer candidate has at least this percentage of its count.
 PERCENT = 80
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS, BUCKET = 1_000_000, 4_000_000
 #: Times MOST rows that one task ranks.
 GROUP = 20
 
 NO_LANGUAGE = "und"
 GAP, NOTHING = -1, -2
 
-TEXT_BLOCKS = "block long, lang string, seq binary, word array<string>, n array<long>"
-PAIR_BLOCKS = "block long, lang string, seq binary, l array<long>, r array<long>, n array<long>"
+#: Rows of the kinds seq (a block's sequence; n: its words), post (a block's entries of a bucket, in order of their
+#: numbers in the sequence from n on), reply (ids of a post's entries; n as there) and names (a bucket's).
+PARCELS = "kind string, block long, lang string, bucket int, n long, payload binary"
+PARCELS_ARROW = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("lang", pa.string()), ("bucket", pa.int32()), ("n", pa.int64()), ("payload", pa.binary())])
+WORD_NAMES = "lang string, word string, f long, id long"
+PAIR_NAMES = "l long, r long, f long, id long"
 
 #: Delimiters of pieces become line feeds, tabs spaces.
 _TIDY = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", b"\n" * 10 + b" ")
 
 
+def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of one length, byte by byte of their numbers, compressed."""
+    together = np.stack([np.asarray(x, dtype="<i8") for x in arrays])
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(np.moveaxis(together[..., None].view(np.uint8), 2, 1)).tobytes())
+
+
+def _unpack(payload: bytes, arrays: int) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(payload), np.uint8)
+    return np.ascontiguousarray(np.moveaxis(raw.reshape(arrays, 8, -1), 1, 2)).view("<i8")[..., 0]
+
+
+def _packed_words(words: list[str], n: list[int]) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(("\n".join(words) + "\n" + " ".join(map(str, n))).encode())
+
+
+def _unpacked_words(payload: bytes) -> tuple[list[str], list[int]]:
+    *words, n = zstandard.ZstdDecompressor().decompress(payload).decode().split("\n")
+    return words, list(map(int, n.split(" ")))
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(column, kind.type) for column, kind in zip(zip(*rows, strict=True), PARCELS_ARROW, strict=True)], schema=PARCELS_ARROW)
+
+
 class _Words(dict):
     """Numbers of words in order of first sight."""
 
@@ -61,84 +96,212 @@ class _Words(dict):
         return number
 
 
-def _packed(seq: np.ndarray) -> bytes:
-    """The sequence with one gap where there are several."""
+def _sequence(seq: np.ndarray) -> bytes:
+    """The sequence, packed, with one gap where there are several."""
     keep = np.ones(len(seq), dtype=bool)
     keep[1:] = (seq[1:] >= 0) | (seq[:-1] >= 0)
-    return seq[keep].astype("<i4").tobytes()
+    return _pack(seq[keep])
 
 
 class _Block:
     def __init__(self) -> None:
         self.words, self.parts, self.size = _Words(), [], 0
 
-    def add(self, text: str) -> None:
+    def add(self, text: str) -> int:
         tokens = text.encode().lower().translate(_TIDY).replace(b"\n", b" \n ").split(b" ")
         numbers = np.fromiter(map(self.words.__getitem__, tokens), np.int32, len(tokens))
-        self.parts += [numbers[numbers != NOTHING], np.array([GAP], np.int32)]
-        self.size += len(self.parts[-2])
-
-    def row(self) -> tuple[bytes, list[str], list[int]]:
-        seq = np.concatenate(self.parts)
-        words = [word.decode() for word in self.words][2:]
-        return _packed(seq), words, np.bincount(seq[seq >= 0], minlength=len(words)).tolist()
-
-
-def _text_blocks(batches: Iterator[pa.RecordBatch], block_words: int) -> Iterator[pa.RecordBatch]:
+        numbers = numbers[numbers != NOTHING]
+        self.parts += [numbers, np.array([GAP], np.int32)]
+        self.size += (found := int((numbers >= 0).sum()))
+        return found
+
+    def parcels(self, block: int, lang: str, buckets: int) -> Iterator[pa.RecordBatch]:
+        words = list(self.words)[2:]
+        if not words:
+            return
+        seq, prefix = np.concatenate(self.parts), lang.encode() + b"\n"
+        counts = np.bincount(seq[seq >= 0], minlength=len(words))
+        of = np.array([xxhash.xxh3_64_intdigest(prefix + word) % buckets for word in words])
+        order = np.argsort(of, kind="stable")
+        number = np.empty(len(words) + 1, dtype=np.int64)
+        number[order], number[-1] = np.arange(len(words)), GAP
+        out = [("seq", block, lang, -1, self.size, _sequence(number[seq]))]
+        cuts = np.flatnonzero(np.diff(of[order], prepend=-1))
+        for a, z in zip(cuts.tolist(), [*cuts[1:].tolist(), len(words)], strict=True):
+            mine = order[a:z]
+            out.append(("post", block, lang, int(of[mine[0]]), a, _packed_words([words[i].decode() for i in mine], counts[mine].tolist())))
+        yield _rows(out)
+
+
+def _text_blocks(batches: Iterator[pa.RecordBatch], block_words: int, buckets: int) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 32
     held: dict[str, _Block] = {}
+    total = 0
 
     def flush() -> Iterator[pa.RecordBatch]:
-        nonlocal number
+        nonlocal number, total
         for lang, block in held.items():
-            seq, words, n = block.row()
-            yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([lang]), pa.array([seq], pa.binary()), pa.array([words], pa.list_(pa.string())), pa.array([n], pa.list_(pa.int64()))], names=["block", "lang", "seq", "word", "n"])
+            yield from block.parcels(number, lang, buckets)
             number += 1
         held.clear()
+        total = 0
 
-    total = 0
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            block = held.setdefault(lang, _Block())
-            before = block.size
-            block.add(text)
-            total += block.size - before
+            total += held.setdefault(lang, _Block()).add(text)
             if total >= block_words:
                 yield from flush()
-                total = 0
     yield from flush()
 
 
-def _pair_blocks(batches: Iterator[pa.RecordBatch], last: bool) -> Iterator[pa.RecordBatch]:
-    """Rewrites blocks in names and lists their pairs; after the last pairs no sequence is needed."""
+def _known(payloads: Iterator[tuple[int, bytes]]) -> bytes:
+    """A block's numbers that have a name, and their ids."""
+    parts = [(n + places, ids) for n, payload in payloads for places, ids in [_unpack(payload, 2)]]
+    return _pack(np.concatenate([p for p, _ in parts]), np.concatenate([i for _, i in parts]))
+
+
+def _file_replies(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+    files = SharedFiles(folder)
+    for block, rows in grouped(batches):
+        files.write(f"known-{block}", iter([_known(rows)]))
+        yield pa.RecordBatch.from_pydict({"block": [block]})
+
+
+def _pair_blocks(batches: Iterator[pa.RecordBatch], folder: str, buckets: int, last: bool) -> Iterator[pa.RecordBatch]:
+    """Rewrites blocks in names and posts their pairs; after the last pairs no sequence is needed."""
+    files = SharedFiles(folder)
     for batch in batches:
-        for k in range(batch.num_rows):
-            block, lang, seq, places, ids = (batch.column(i)[k] for i in range(5))
-            seq = np.frombuffer(seq.as_py(), "<i4")
-            places, ids = (x.values.to_numpy() if x.is_valid else np.zeros(0, np.int64) for x in (places, ids))
-            names = np.full(max(int(seq.max(initial=0)), int(places.max(initial=0))) + 2, GAP, dtype=np.int64)
+        for block, lang, payload in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            (seq,) = _unpack(payload, 1)
+            with files.open(f"known-{block}") as file:
+                places, ids = _unpack(file.read(), 2)
+            names = np.full(int(seq.max(initial=0)) + 2, GAP, dtype=np.int64)
             known, names[places] = np.unique(ids, return_inverse=True)  # a gap's -1 is the last of names
             seq = names[seq]
             both = np.flatnonzero((seq[:-1] >= 0) & (seq[1:] >= 0))
-            pairs, of, n = np.unique(seq[both] * len(known) + seq[both + 1], return_inverse=True, return_counts=True)
-            found = np.full(len(seq), GAP, dtype=np.int64)
-            found[both] = of
-            listed = [pa.array([x], pa.list_(pa.int64())) for x in (known[pairs // max(1, len(known))], known[pairs % max(1, len(known))], n)]
-            yield pa.RecordBatch.from_arrays([pa.array([block.as_py()]), pa.array([lang.as_py()]), pa.array([b"" if last else _packed(found)], pa.binary()), *listed], names=["block", "lang", "seq", "l", "r", "n"])
+            if not len(both):
+                continue
+            pairs, number, n = np.unique(seq[both] * len(known) + seq[both + 1], return_inverse=True, return_counts=True)
+            l, r = known[pairs // len(known)], known[pairs % len(known)]
+            of = (mix(mix(l.astype(np.uint64)) + r.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(of, kind="stable")  # within a bucket by l, then r
+            place = np.empty(len(pairs), dtype=np.int64)
+            place[order] = np.arange(len(pairs))
+            out = []
+            if not last:
+                found = np.full(len(seq), GAP, dtype=np.int64)
+                found[both] = place[number]
+                out.append(("seq", block, lang, -1, len(both), _sequence(found)))
+            cuts = np.flatnonzero(np.diff(of[order], prepend=-1))
+            for a, z in zip(cuts.tolist(), [*cuts[1:].tolist(), len(pairs)], strict=True):
+                mine = order[a:z]
+                out.append(("post", block, lang, int(of[mine[0]]), a, _pack(np.diff(l[mine], prepend=0), r[mine], n[mine])))
+            yield _rows(out)
+
+
+def _reply(bucket: int, posts: list[tuple[int, str, int]], sizes: list[int], of: np.ndarray, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """For each post, the places of its entries that have an id; of: the entries' numbers, post after post."""
+    at = 0
+    for (block, lang, n), size in zip(posts, sizes, strict=True):
+        mine = ids[of[at : at + size]]
+        places = np.flatnonzero(mine >= 0)
+        yield _rows([("reply", block, lang, bucket, n, _pack(places, mine[places]))])
+        at += size
+
+
+def _ids(totals: np.ndarray, least: int, bucket: int, buckets: int) -> np.ndarray:
+    """Ids of the entries in their order, GAP where there are too few."""
+    often = totals >= least
+    ids = np.full(len(totals), GAP, dtype=np.int64)
+    ids[often] = bucket + buckets * np.arange(int(often.sum()))
+    return ids
+
+
+def _name_words(batches: Iterator[pa.RecordBatch], least: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Rows are (bucket, block, lang, n, payload) in order of bucket."""
+    for bucket, rows in grouped(batches):
+        totals: Counter = Counter()
+        posts, listed = [], []
+        for block, lang, n, payload in rows:
+            words, counts = _unpacked_words(payload)
+            for word, count in zip(words, counts, strict=True):
+                totals[lang, word] += count
+            posts.append((block, lang, n))
+            listed.append(words)
+        order = sorted(totals)
+        number = {key: k for k, key in enumerate(order)}
+        ids = _ids(np.array([totals[key] for key in order], dtype=np.int64), least, bucket, buckets)
+        of = np.array([number[lang, word] for (_, lang, _), words in zip(posts, listed, strict=True) for word in words], dtype=np.int64)
+        yield from _reply(bucket, posts, list(map(len, listed)), of, ids)
+        by_lang: dict[str, list] = {}
+        for (lang, word), k in zip(order, ids.tolist(), strict=True):
+            if k >= 0:
+                by_lang.setdefault(lang, []).append((word, totals[lang, word], k))
+        for lang, found in by_lang.items():
+            words, f, k = zip(*found, strict=True)
+            yield _rows([("names", None, lang, bucket, len(words), _packed_words([*words], [*f, *k]))])
+
+
+def _name_pairs(batches: Iterator[pa.RecordBatch], least: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    for bucket, rows in grouped(batches):
+        posts, parts = [], []
+        for block, lang, n, payload in rows:
+            posts.append((block, lang, n))
+            l, r, count = _unpack(payload, 3)
+            parts.append((np.cumsum(l), r, count))
+        l, r, count = (np.concatenate([part[k] for part in parts]) for k in range(3))
+        order = np.lexsort((r, l))
+        fresh = np.ones(len(order), dtype=bool)
+        fresh[1:] = (np.diff(l[order]) != 0) | (np.diff(r[order]) != 0)
+        of = np.empty(len(order), dtype=np.int64)
+        of[order] = np.cumsum(fresh) - 1
+        first = order[fresh]
+        totals = np.add.reduceat(count[order], np.flatnonzero(fresh))
+        ids = _ids(totals, least, bucket, buckets)
+        yield from _reply(bucket, posts, [len(part[0]) for part in parts], of, ids)
+        often = ids >= 0
+        if often.any():
+            yield _rows([("names", None, None, bucket, int(often.sum()), _pack(l[first][often], r[first][often], totals[often], ids[often]))])
+
+
+def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lang, payload in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            words, numbers = _unpacked_words(payload)
+            yield pa.RecordBatch.from_pydict({"lang": [lang] * len(words), "word": words, "f": numbers[: len(words)], "id": numbers[len(words) :]})
+
+
+def _pair_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for payload in batch.column(1).to_pylist():
+            yield pa.RecordBatch.from_pydict(dict(zip("l r f id".split(), _unpack(payload, 4), strict=True)))
+
+
+def _parcels(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Parcels written once, in a folder for each kind."""
+    at = shared_folder(spark, "phrase-parcels")
+    rows.write.partitionBy("kind").option("compression", "none").parquet(at)
+    made = spark.read.schema("block long, lang string, bucket int, n long, payload binary, kind string").parquet(at)
+    made._waymark_at = at
+    return made
+
+
+def _buckets(spark: SparkSession, entries: int) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-entries // BUCKET))
 
 
-def _named(spark: SparkSession, blocks: DataFrame, key: list[str], least: int) -> DataFrame:
-    """(key, f, id) of what the blocks hold least times or more together, written once."""
-    listed = blocks.select("lang", F.explode(F.arrays_zip(*(k for k in key if k != "lang"), "n")).alias("x")).select("lang", "x.*")
-    counts = listed.groupBy(*key).agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    return written(spark, counts.withColumn("id", F.monotonically_increasing_id()), "phrase-names")
+def _named(spark: SparkSession, blocks: DataFrame, merge: Callable, least: int, buckets: int) -> DataFrame:
+    """Replies and names of what was posted, summed over all blocks."""
+    posts = blocks.where("kind = 'post'").select("bucket", "block", "lang", "n", "payload").repartition("bucket").sortWithinPartitions("bucket", "block")
+    return _parcels(spark, posts.mapInArrow(lambda batches: merge(batches, least, buckets), PARCELS))
 
 
-def _next_blocks(spark: SparkSession, blocks: DataFrame, names: DataFrame, key: list[str], last: bool) -> DataFrame:
-    listed = blocks.select("block", "lang", F.posexplode(F.arrays_zip(*(k for k in key if k != "lang")))).select("block", "lang", F.col("pos").cast("long").alias("pos"), "col.*")
-    known = listed.join(names, key).groupBy("block").agg(F.collect_list(F.struct("pos", "id")).alias("known"))
-    rows = blocks.select("block", "lang", "seq").join(known, "block").select("block", "lang", "seq", "known.pos", "known.id")
-    return written(spark, rows.mapInArrow(lambda batches: _pair_blocks(batches, last), PAIR_BLOCKS), "phrase-blocks")
+def _rewritten(spark: SparkSession, blocks: DataFrame, named: DataFrame, buckets: int, last: bool) -> DataFrame:
+    """The next blocks: each reads its names from its own file."""
+    folder = shared_folder(spark, "phrase-known")
+    replies = named.where("kind = 'reply'").select("block", "n", "payload").repartition("block").sortWithinPartitions("block", "n")
+    replies.mapInArrow(lambda batches: _file_replies(batches, folder), "block long").write.format("noop").mode("overwrite").save()
+    return _parcels(spark, blocks.where("kind = 'seq'").select("block", "lang", "payload").mapInArrow(lambda batches: _pair_blocks(batches, folder, buckets, last), PARCELS))
 
 
 def _score(a: str, l: str, r: str) -> str:
@@ -189,16 +352,24 @@ def mine(spark: SparkSession, docs: DataFrame, least: int = LEAST, percent: int
     """Each language's first phrases: lang, rank, phrase, a, l, r, n, score."""
     small_batches(spark)
     texts = docs.select(F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    blocks = written(spark, texts.mapInArrow(lambda batches: _text_blocks(batches, block_words), TEXT_BLOCKS), "phrase-blocks")
-    totals = blocks.select("lang", F.expr("aggregate(n, 0L, (x, y) -> x + y)").alias("n")).groupBy("lang").agg(F.sum("n").alias("n"))
-    key = ["lang", "word"]
-    names = _named(spark, blocks, key, least)
-    levels = [names.select("id", "lang", "f", F.col("word").alias("phrase"), F.col("word").alias("last"), F.col("f").alias("head1"), F.col("f").alias("tail1"))]
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = _buckets(spark, size // 8)  # a word and its space have that many bytes or so; few are different
+    blocks = _parcels(spark, texts.mapInArrow(lambda batches: _text_blocks(batches, block_words, buckets), PARCELS))
+    counted = blocks.where("kind = 'seq'").groupBy("lang").agg(F.sum("n").alias("n"))
+    totals = written(spark, counted, "phrase-totals")
+    named = _named(spark, blocks, _name_words, least, buckets)
+    words = named.where("kind = 'names'").select("lang", "payload").mapInArrow(_word_rows, WORD_NAMES)
+    levels = [written(spark, words.select("id", "lang", "f", F.col("word").alias("phrase"), F.col("word").alias("last"), F.col("f").alias("head1"), F.col("f").alias("tail1")), "phrase-levels")]
+    entries = totals.agg(F.sum("n")).first()[0] or 0
     for k in range(2, WORDS + 1):
-        blocks = _next_blocks(spark, blocks, names, key, k == WORDS)
-        key = ["l", "r"]
-        names = _named(spark, blocks, key, least)
-        levels.append(written(spark, _with_parents(names, levels[-1], k), "phrase-levels"))
+        buckets = _buckets(spark, entries)
+        after = _rewritten(spark, blocks, named, buckets, k == WORDS)
+        discard(spark, blocks, named)
+        blocks = after
+        named = _named(spark, blocks, _name_pairs, least, buckets)
+        pairs = named.where("kind = 'names'").select("lang", "payload").mapInArrow(_pair_rows, PAIR_NAMES)
+        levels.append(written(spark, _with_parents(pairs, levels[-1], k), "phrase-levels"))
+        entries = blocks.where("kind = 'seq'").agg(F.sum("n")).first()[0] or 0
     rows = None
     for k in range(2, WORDS + 1):
         found = _candidates(levels[k - 1], levels[k] if k < WORDS else None, k, percent)
