@@ -43,7 +43,7 @@ from waymark.llm.shingles import mix
 LEAST, WORDS, MOST = 30, 4, 2000
 #: A phrase is dropped if a longer candidate has at least this percentage of its count.
 PERCENT = 80
-BLOCK_WORDS, BUCKET = 1_000_000, 4_000_000
+BLOCK_WORDS, BUCKET = 2_000_000, 4_000_000
 #: Times MOST rows that one task ranks.
 GROUP = 20
 
@@ -64,7 +64,7 @@ _TIDY = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", b"\n" * 10 + b" ")
 def _pack(*arrays: np.ndarray) -> bytes:
     """Arrays of one length, byte by byte of their numbers, compressed."""
     together = np.stack([np.asarray(x, dtype="<i8") for x in arrays])
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(np.moveaxis(together[..., None].view(np.uint8), 2, 1)).tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(np.moveaxis(together[..., None].view(np.uint8), 2, 1)).tobytes())
 
 
 def _unpack(payload: bytes, arrays: int) -> np.ndarray:
@@ -73,7 +73,7 @@ def _unpack(payload: bytes, arrays: int) -> np.ndarray:
 
 
 def _packed_words(words: list[str], n: list[int]) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(("\n".join(words) + "\n" + " ".join(map(str, n))).encode())
+    return zstandard.ZstdCompressor(level=3).compress(("\n".join(words) + "\n" + " ".join(map(str, n))).encode())
 
 
 def _unpacked_words(payload: bytes) -> tuple[list[str], list[int]]:
@@ -286,22 +286,33 @@ def _parcels(spark: SparkSession, rows: DataFrame) -> DataFrame:
     return made
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _buckets(spark: SparkSession, entries: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-entries // BUCKET))
 
 
 def _named(spark: SparkSession, blocks: DataFrame, merge: Callable, least: int, buckets: int) -> DataFrame:
-    """Replies and names of what was posted, summed over all blocks."""
+    """Replies and names of what was posted, summed over all blocks; the posts are read here alone, and removed."""
     posts = blocks.where("kind = 'post'").select("bucket", "block", "lang", "n", "payload").repartition("bucket").sortWithinPartitions("bucket", "block")
-    return _parcels(spark, posts.mapInArrow(lambda batches: merge(batches, least, buckets), PARCELS))
+    named = _parcels(spark, posts.mapInArrow(lambda batches: merge(batches, least, buckets), PARCELS))
+    _remove(spark, f"{blocks._waymark_at}/kind=post")
+    return named
 
 
 def _rewritten(spark: SparkSession, blocks: DataFrame, named: DataFrame, buckets: int, last: bool) -> DataFrame:
-    """The next blocks: each reads its names from its own file."""
+    """The next blocks: each reads its names from its own file. What they were made from is removed."""
     folder = shared_folder(spark, "phrase-known")
     replies = named.where("kind = 'reply'").select("block", "n", "payload").repartition("block").sortWithinPartitions("block", "n")
     replies.mapInArrow(lambda batches: _file_replies(batches, folder), "block long").write.format("noop").mode("overwrite").save()
-    return _parcels(spark, blocks.where("kind = 'seq'").select("block", "lang", "payload").mapInArrow(lambda batches: _pair_blocks(batches, folder, buckets, last), PARCELS))
+    discard(spark, named)
+    made = _parcels(spark, blocks.where("kind = 'seq'").select("block", "lang", "payload").mapInArrow(lambda batches: _pair_blocks(batches, folder, buckets, last), PARCELS))
+    discard(spark, blocks)
+    _remove(spark, folder)
+    return made
 
 
 def _score(a: str, l: str, r: str) -> str:
@@ -363,9 +374,7 @@ def mine(spark: SparkSession, docs: DataFrame, least: int = LEAST, percent: int
     entries = totals.agg(F.sum("n")).first()[0] or 0
     for k in range(2, WORDS + 1):
         buckets = _buckets(spark, entries)
-        after = _rewritten(spark, blocks, named, buckets, k == WORDS)
-        discard(spark, blocks, named)
-        blocks = after
+        blocks = _rewritten(spark, blocks, named, buckets, k == WORDS)
         named = _named(spark, blocks, _name_pairs, least, buckets)
         pairs = named.where("kind = 'names'").select("lang", "payload").mapInArrow(_pair_rows, PAIR_NAMES)
         levels.append(written(spark, _with_parents(pairs, levels[-1], k), "phrase-levels"))
