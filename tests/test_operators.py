@@ -38,10 +38,21 @@ def test_far_copies_stay_and_verdicts_do_not_depend_on_order(spark):
     for seed in range(3):
         random.Random(seed).shuffle(rows)
         df = spark.createDataFrame(rows, "id int, key string, lat double, lon double, rank int, city string").repartition(3)
-        got = {r.id: (r.is_duplicate, r.elsewhere) for r in duplicates.verdicts(df, "id", ["key"], ["key", "city"], [F.asc("rank")]).collect()}
+        got = {r.id: (r.is_duplicate, r.elsewhere) for r in duplicates.verdicts(df, ["key"], ["key", "city"], [F.asc("rank")]).collect()}
         assert got == {1: (False, True), 2: (True, False), 3: (False, True), 4: (True, False), 5: (False, True), 6: (False, False)}
 
 
+def test_copies_of_a_common_key(spark):
+    rows = [(i, b"k" if i % 3 else None if i % 2 else bytes([i % 251])) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, h binary").repartition(7)
+    firsts = {}
+    for i, h in rows:
+        firsts.setdefault(h, i)
+    for pieces in (1, 32):
+        assert {r.id: r.is_duplicate for r in duplicates.after_first(df, "h", "id", pieces).collect()} == {i: firsts[h] != i for i, h in rows}
+    assert duplicates.after_first(df.where("false"), "h", "id").collect() == []
+
+
 def test_strict_header_and_text_values(spark, tmp_path):
     path = tmp_path / "x.txt"
     path.write_text('id,zip,name\n1,02559,"A, ""B"""\n2,,\n')

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from waymark.functions import casing, places, street, units
 from waymark.functions import rules as R
 from waymark.functions.columns import clean
+from waymark.operators import saints
 from waymark.plans import golden
 
 #: (prefix, number, suffix): house number, or the reason why there is none.
@@ -100,6 +101,15 @@ def test_streets_take_a_list_of_saints():
     assert street.street_name(None, None, None, None, "ST ZEBULON", "Road", None, None, saints={"zebulon"}) == ("Saint Zebulon Road", ["expanded_st"])
 
 
+def test_saints_from_data(spark):
+    streets = [("KS", "ST ZEBULON"), ("KS", "ST ZEBULON"), ("KS", "St. Ivo's"), ("KS", "ST RD 4"), ("WI", "ST ZEBULON"), ("WI", "OLD SAINT  ODILE"), ("WI", "Mill ST Oak"), ("WI", "ST 12"), (None, None), ("WI", "ST"), ("WI", "SAINT")]
+    words = saints.saint_words(spark.createDataFrame(streets, "state string, name string"), spark.createDataFrame([("St. Ansgar",), ("Sainte Foy",), (None,)], "name string"))
+    assert {tuple(r) for r in words.collect()} == {("zebulon", 0, 2), ("odile", 1, 0), ("ansgar", 1, 0), ("foy", 1, 0)}
+    known = saints.load_saints(words)
+    assert street.street_name(None, None, None, None, "ST ANSGARS", "Road", None, None, saints=known) == ("Saint Ansgars Road", ["expanded_st"])
+    assert street.street_name(None, None, None, None, "ST PETERBURG", "Road", None, None, saints=known)[1] == ["st_saint_unlisted"]
+
+
 def test_ordinals():
     assert [street.ordinal(n) for n in (1, 2, 3, 4, 10, 11, 12, 13, 21, 101, 111, 112, 1003)] == ["1st", "2nd", "3rd", "4th", "10th", "11th", "12th", "13th", "21st", "101st", "111th", "112th", "1003rd"]
 

@@ -14,7 +14,7 @@ from waymark.operators import place_names, python_rules, spatial
 from waymark.plans import golden, stage_queries
 from waymark.schema import POINT_COLUMNS, RAW_COLUMNS
 from waymark.sources import polygons, publishing, references, registry, remote, sinks
-from waymark.stages import counts, coverage, ingestion, review, tagging
+from waymark.stages import counts, coverage, deduplication, ingestion, review, tagging
 from waymark.streaming import weekly
 
 DATA = "/root/testdata/sf0.001"
@@ -112,6 +112,19 @@ def test_common_borders_stay_common():
     assert [len(part) for part in hole["coordinates"]] == [2, 1]
 
 
+def test_rows_of_one_id_stay(spark):
+    point = lambda oid, street, reason, lat=38.0: (oid, -97.5, lat, "1", street, None, "Mesa", "KS", "67001", "Reno", "Site", "2024", [], reason)
+    rows = [point("7", "Oak Street", None)] * 3 + [point("8", "Elm Street", "inactive_lifecycle")] * 2 + [point(None, None, "no_street_name")] * 2 + [point("9", "Oak Street", None, 39.0)]
+    df = spark.createDataFrame(rows, "nad_oid string, lon double, lat double, addr_housenumber string, addr_street string, addr_unit string, addr_city string, addr_state string, addr_postcode string, county string, placement string, date_update string, flags array<string>, drop_reason string")
+    got = sorted((r.nad_oid or "", r.drop_reason or "", ",".join(r.flags)) for r in deduplication.deduplicated(df).collect())
+    assert got == [("", "no_street_name", "")] * 2 + [("7", "", "same_address_elsewhere")] + [("7", "duplicate", "")] * 2 + [("8", "inactive_lifecycle", "")] * 2 + [("9", "", "same_address_elsewhere")]
+
+
+def test_tagging_moves_no_rows(spark, known):
+    plan = tagging.tagged_points(spark.createDataFrame([tuple("x" for _ in RAW_COLUMNS)], RAW_COLUMNS), known)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and plan.count("ArrowEvalPython") >= 1
+
+
 def test_history_rules(spark):
     series = lambda day, n, *geoids: spark.createDataFrame([(g, n) for g in geoids], "geoid string, n long")
     empty = spark.createDataFrame([("1", "2024-01-01", 5, "old", "monthly"), ("2", "2024-01-01", 6, "old", "monthly")], "geoid string, day string, n long, source string, interval string")

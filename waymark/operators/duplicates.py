@@ -25,7 +25,7 @@ def ranked(rows: DataFrame, key: Sequence[str], order: Sequence[Column], near: f
     return own.withColumn("elsewhere", F.max(F.col("metres_off") > near).over(whole))
 
 
-def verdicts(rows: DataFrame, row_id: str, key: Sequence[str], wider: Sequence[str], order: Sequence[Column], near: float = NEAR_METRES) -> DataFrame:
+def verdicts(rows: DataFrame, key: Sequence[str], wider: Sequence[str], order: Sequence[Column], near: float = NEAR_METRES) -> DataFrame:
     """Two passes: by key, then survivors by the wider key; rows keep their data and get is_duplicate, elsewhere and elsewhere_wider.
 
     elsewhere is the first pass's, elsewhere_wider the second's; duplicates have neither. wider begins with key, so
@@ -35,3 +35,16 @@ def verdicts(rows: DataFrame, row_id: str, key: Sequence[str], wider: Sequence[s
     second = ranked(first, [*wider, "first__"], order, near).drop("copies", "place", "metres_off")
     gone = F.col("first__") | F.col("is_duplicate")
     return second.withColumns({"is_duplicate": gone, "elsewhere": F.col("far__") & ~gone, "elsewhere_wider": F.col("elsewhere") & ~gone}).drop("first__", "far__")
+
+
+def after_first(rows: DataFrame, key: str, row_id: str, pieces: int = 32) -> DataFrame:
+    """(row_id, is_duplicate): whether a row of the same key has a smaller id; ids are distinct, null keys are one key.
+
+    Rows are moved once, by key and a piece of it, so that a key that very many rows share lies in several tasks; each
+    piece's least id and count decide for all of them.
+    """
+    dealt = rows.select(row_id, F.coalesce(key, F.lit(b"")).alias("key__"), F.pmod(F.xxhash64(row_id), F.lit(pieces)).alias("piece__")).repartition("key__", "piece__")
+    least = dealt.groupBy("key__", "piece__").agg(F.min(row_id).alias("low"), F.count(F.lit(1)).alias("n"))
+    whole = Window.partitionBy("key__")
+    firsts = least.select("key__", "piece__", F.min("low").over(whole).alias("first__"), F.sum("n").over(whole).alias("n")).where("n > 1").drop("n")
+    return dealt.join(firsts, ["key__", "piece__"], "left").select(row_id, F.coalesce(F.col(row_id) != F.col("first__"), F.lit(False)).alias("is_duplicate"))

@@ -1,9 +1,14 @@
-"""Rules written in Python as Arrow functions: each gives struct<value, flags>. Run them through apply_rule, on distinct inputs."""
+"""Rules written in Python as Arrow functions: each gives struct<value, flags>.
+
+A task remembers the results of the inputs that it has seen, so a rule runs once per combination and task, where the
+rows are: nothing is shuffled, and no combination, as that of nulls, is a hot key. What is remembered is bounded.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Collection
+from collections.abc import Callable, Collection, Iterator
 
+import pandas as pd
 from pyspark.broadcast import Broadcast
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,8 +19,27 @@ from waymark.functions import places, street, units
 RESULT = T.StructType([T.StructField("value", T.StringType()), T.StructField("flags", T.ArrayType(T.StringType()))])
 
 
+#: Combinations whose results a task remembers, some hundred bytes each.
+REMEMBERED = 1 << 18
+
+
 def arrow_rule(rule: Callable[..., tuple[str | None, list[str]]]) -> Callable[..., Column]:
-    return F.udf(rule, RESULT, useArrow=True)
+    """The rule as a function of columns of text."""
+
+    @F.pandas_udf(RESULT)
+    def remembered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: dict[tuple, tuple] = {}
+        for batch in batches:
+            found = []
+            for inputs in zip(*(batch[c] for c in batch.columns), strict=True):
+                if inputs not in seen:
+                    if len(seen) >= REMEMBERED:
+                        seen.clear()
+                    seen[inputs] = rule(*inputs)
+                found.append(seen[inputs])
+            yield pd.DataFrame(found, columns=["value", "flags"])
+
+    return lambda *columns: remembered(F.struct(*(column.alias(f"c{k}") for k, column in enumerate(columns))))
 
 
 def street_rule(saints: Collection[str] = street.SAINTS) -> Callable[..., Column]:

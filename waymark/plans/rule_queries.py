@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from waymark.functions.columns import blank_to_null, clean
 from waymark.functions.places import read_decisions
-from waymark.operators import place_names, python_rules
+from waymark.operators import place_names, python_rules, saints
 from waymark.operators.memo import apply_rule
 from waymark.plans import golden
 from waymark.plans.address_queries import query, read
@@ -36,7 +36,7 @@ def street_rule(spark, d):
     cleaned = [f"{c}__c" for c in _STREET_FIELDS]
     given = examples(spark, _STREET_ROWS, _STREET_FIELDS).withColumns({f"{c}__c": clean(F.col(c)) for c in _STREET_FIELDS})
     rows = read(spark, d, "orders").select("o_orderkey", (F.col("o_orderkey") % len(golden.STREETS)).alias("k")).join(given, "k")
-    ruled = apply_rule(rows, cleaned, python_rules.street_rule(), "r")
+    ruled = rows.withColumn("r", python_rules.street_rule()(*map(F.col, cleaned)))
     return ruled.select("o_orderkey", F.col("r.value").alias("street"), F.array_join("r.flags", ",").alias("flags"))
 
 
@@ -44,7 +44,7 @@ def street_rule(spark, d):
 def unit_rule(spark, d):
     given = examples(spark, [(u, b, k) for k, (u, b, _, _) in enumerate(golden.UNITS)], ["unit", "building"])
     rows = read(spark, d, "customer").select("c_custkey", (F.col("c_custkey") % len(golden.UNITS)).alias("k")).join(given, "k").withColumns({"u": clean(F.col("unit")), "b": clean(F.col("building"))})
-    return apply_rule(rows, ["u", "b"], python_rules.unit_rule(), "r").select("c_custkey", "r.value", F.array_join("r.flags", ",").alias("flags"))
+    return rows.withColumn("r", python_rules.unit_rule()(F.col("u"), F.col("b"))).select("c_custkey", "r.value", F.array_join("r.flags", ",").alias("flags"))
 
 
 @query(f"SELECT c_custkey::BIGINT AS c_custkey, city, flags FROM customer JOIN {_CITY_SQL} ON k = c_custkey % {len(golden.CITIES)}")
@@ -52,38 +52,47 @@ def city_rule(spark, d):
     names = ["post", "muni", "comm", "state", "county"]
     given = examples(spark, [(*row[:5], k) for k, row in enumerate(golden.CITIES)], names).withColumns({f"{c}__c": clean(F.col(c)) for c in names})
     rows = read(spark, d, "customer").select("c_custkey", (F.col("c_custkey") % len(golden.CITIES)).alias("k")).join(given, "k")
-    ruled = apply_rule(rows, [f"{c}__c" for c in names], python_rules.city_rule(known_places(spark)), "r")
+    ruled = rows.withColumn("r", python_rules.city_rule(known_places(spark))(*(F.col(f"{c}__c") for c in names)))
     return ruled.select("c_custkey", F.col("r.value").alias("city"), F.array_join(F.array_sort("r.flags"), ",").alias("flags"))
 
 
 def generated_release(spark: SparkSession, d: str) -> DataFrame:
-    """A raw table over all orders: street examples, house numbers, ZIP codes and life cycles by order key."""
+    """A raw table over all orders: street examples with their state and county, house numbers, ZIP codes and life cycles by order key."""
     k = F.col("o_orderkey")
-    given = examples(spark, _STREET_ROWS, _STREET_FIELDS).drop("State", "County")
+    given = examples(spark, _STREET_ROWS, _STREET_FIELDS)
     rows = read(spark, d, "orders").withColumn("k", k % len(golden.STREETS)).join(given, "k")
     made = {
         "OID_": k.cast("string"), "UUID": k.cast("string"), "Add_Number": F.when(k % 17 == 0, None).otherwise(F.concat(F.lit("00"), (k % 900).cast("string"))), "AddNum_Suf": F.when(k % 19 == 0, "a"),
-        "Unit": F.when(k % 5 == 0, "apt 1"), "Post_City": F.when(k % 3 == 0, "MC PHERSON").when(k % 3 == 1, "Zone 4"), "State": F.lit("KS"), "Zip_Code": F.when(k % 2 == 0, "67460").otherwise("674"),
+        "Unit": F.when(k % 5 == 0, "apt 1"), "Post_City": F.when(k % 3 == 0, "MC PHERSON").when(k % 3 == 1, "Zone 4"), "State": F.coalesce("State", F.lit("KS")), "Zip_Code": F.when(k % 2 == 0, "67460").otherwise("674"),
         "Longitude": F.lit("-97.5"), "Latitude": F.when(k % 7 == 0, "n/a").otherwise("38.25"), "Lifecycle": F.when(k % 23 == 0, " Not  Active "), "NAD_Source": F.concat(F.lit("s"), (k % 4).cast("string")),
     }
     return rows.select(*(made.get(c, F.col(c) if c in given.columns else F.lit(None).cast("string")).alias(c) for c in RAW_COLUMNS))
 
 
-_TAGGED = f"""g AS (SELECT * FROM {golden.sql_values([(s, f) for _, s, f in golden.STREETS], 'street', 'sflags')}),
+@query(f"""WITH g AS (SELECT * FROM {golden.sql_values([(s, f, fields.get('State', 'KS')) for fields, s, f in golden.STREETS], 'street', 'sflags', 'state')}),
 t AS (SELECT o_orderkey AS o, street, sflags, CASE WHEN o_orderkey % 17 = 0 THEN 'no_housenumber' WHEN o_orderkey % 900 = 0 THEN 'zero_housenumber' WHEN street IS NULL THEN sflags WHEN o_orderkey % 23 = 0 THEN 'inactive_lifecycle' END AS drop_reason,
-list_filter([CASE WHEN o_orderkey % 3 <> 0 THEN 'no_city' END, CASE WHEN o_orderkey % 2 = 1 THEN 'bad_postcode' END], lambda x: x IS NOT NULL) AS others FROM orders JOIN g ON k = o_orderkey % {len(golden.STREETS)})"""
-#: Examples whose result depends on their state or county have another one in the release.
-_SAME = [(fields, street, flags) for fields, street, flags in golden.STREETS if not {"State", "County"} & fields.keys()]
-
-
-@query(f"""WITH {_TAGGED} SELECT o::VARCHAR AS nad_oid, street AS addr_street, CASE WHEN o % 17 <> 0 AND o % 900 <> 0 THEN (o % 900)::VARCHAR || CASE WHEN o % 19 = 0 THEN ' A' ELSE '' END END AS addr_housenumber,
+list_filter([CASE WHEN o_orderkey % 3 <> 0 THEN 'no_city' WHEN state <> 'KS' THEN 'city_not_in_reference' END, CASE WHEN o_orderkey % 2 = 1 THEN 'bad_postcode' END], lambda x: x IS NOT NULL) AS others FROM orders JOIN g ON k = o_orderkey % {len(golden.STREETS)})
+SELECT o::VARCHAR AS nad_oid, street AS addr_street, CASE WHEN o % 17 <> 0 AND o % 900 <> 0 THEN (o % 900)::VARCHAR || CASE WHEN o % 19 = 0 THEN ' A' ELSE '' END END AS addr_housenumber,
 CASE WHEN o % 5 = 0 THEN 'Apt 1' END AS addr_unit, CASE WHEN o % 3 = 0 THEN 'McPherson' END AS addr_city, CASE WHEN o % 2 = 0 THEN '67460' END AS addr_postcode, CASE WHEN o % 7 <> 0 THEN 38.25 END AS lat, drop_reason,
-array_to_string(list_sort(list_distinct(list_concat(list_filter(string_split(sflags, ','), lambda x: x <> ''), others))), ',') AS flags FROM t WHERE k_is_stable""".replace(" WHERE k_is_stable", f" WHERE o % {len(golden.STREETS)} IN ({', '.join(str(golden.STREETS.index(x)) for x in _SAME)})").replace("WHEN o_orderkey % 900 = 0 THEN 'zero_housenumber'", "WHEN o_orderkey % 900 = 0 THEN 'zero_housenumber'"))
+array_to_string(list_sort(list_distinct(list_concat(list_filter(string_split(sflags, ','), lambda x: x <> ''), others))), ',') AS flags FROM t""")
 def tagged_release(spark, d):
     points = tagging.tagged_points(generated_release(spark, d), known_places(spark))
-    stable = [golden.STREETS.index(x) for x in _SAME]
-    rows = points.where((F.col("nad_oid").cast("bigint") % len(golden.STREETS)).isin(*stable))
-    return rows.select("nad_oid", "addr_street", "addr_housenumber", "addr_unit", "addr_city", "addr_postcode", "lat", "drop_reason", F.array_join("flags", ",").alias("flags"))
+    return points.select("nad_oid", "addr_street", "addr_housenumber", "addr_unit", "addr_city", "addr_postcode", "lat", "drop_reason", F.array_join("flags", ",").alias("flags"))
+
+
+@query(f"""WITH n AS (SELECT p_partkey AS k, p_type AS state, string_split(p_name, ' ') AS t FROM part),
+s AS (SELECT DISTINCT state, CASE k % 6 WHEN 0 THEN 'ST ' || upper(t[1]) || ' ' || upper(t[-1]) WHEN 1 THEN 'St. ' || t[-1] || CASE WHEN k % 4 = 1 THEN chr(39) ELSE '' END || 's' WHEN 2 THEN 'Old  Saint ' || t[1] WHEN 3 THEN 'ST RD ' || k::VARCHAR WHEN 4 THEN 'ST ' || k::VARCHAR ELSE upper(t[-1]) || ' ST ' || upper(t[1]) END AS name FROM n), p AS (SELECT DISTINCT 'Sainte ' || t[-1] AS name FROM n WHERE k % 5 = 0),
+w AS (SELECT state, string_split(upper(regexp_replace(replace(replace(name, '.', ''), chr(39), ''), ' +', ' ', 'g')), ' ') AS w FROM s UNION ALL SELECT NULL, string_split(upper(name), ' ') FROM p), d AS (SELECT DISTINCT state, w FROM w),
+h AS (SELECT lower(w[i + 1]) AS word, 1 AS spelled, 0 AS short FROM (SELECT w, unnest(range(1, len(w) + 1)) AS i FROM d) WHERE w[i] IN ('SAINT', 'SAINTE') UNION ALL SELECT lower(w[2]), 0, 1 FROM d WHERE w[1] = 'ST')
+SELECT word, sum(spelled)::BIGINT AS n_spelled, sum(short)::BIGINT AS n_short FROM h WHERE regexp_full_match(word, '[a-z]{{2,}}') AND upper(word) NOT IN ({', '.join(repr(x) for x in saints.NO_SAINTS)}) GROUP BY word HAVING sum(spelled) > 0 OR sum(short) >= 2""")
+def saint_words(spark, d):
+    """Names of parts as streets: behind ST, St., Saint and inside, numbers and routes behind ST; some as places behind Sainte."""
+    k, t = F.col("p_partkey"), F.split("p_name", " ")
+    first, last = F.element_at(t, 1), F.element_at(t, -1)
+    name = F.when(k % 6 == 0, F.concat(F.lit("ST "), F.upper(first), F.lit(" "), F.upper(last))).when(k % 6 == 1, F.concat(F.lit("St. "), last, F.when(k % 4 == 1, "'").otherwise(""), F.lit("s"))).when(k % 6 == 2, F.concat(F.lit("Old  Saint "), first))
+    name = name.when(k % 6 == 3, F.concat(F.lit("ST RD "), k.cast("string"))).when(k % 6 == 4, F.concat(F.lit("ST "), k.cast("string"))).otherwise(F.concat(F.upper(last), F.lit(" ST "), F.upper(first)))
+    part = read(spark, d, "part")
+    return saints.saint_words(part.select(F.col("p_type").alias("state"), name.alias("name")), part.where(k % 5 == 0).select(F.concat(F.lit("Sainte "), last).alias("name")))
 
 
 @query("""WITH s AS (SELECT DISTINCT p_type AS state, CASE p_partkey % 3 WHEN 0 THEN upper(p_name) WHEN 1 THEN p_name ELSE replace(p_name, ' ', '-') END AS name, CASE p_partkey % 4 WHEN 0 THEN 'census_place' WHEN 1 THEN 'gnis' WHEN 2 THEN 'census_cousub' ELSE 'wikidata' END AS source FROM part),
@@ -127,11 +136,15 @@ def typed_scan(spark, d):
     return text.select(F.expr("try_cast(r.event_id as bigint)").alias("event_id"), tagging.degrees(F.col("r.value")).alias("value"), "r.user_text", "r.label")
 
 
-@query("SELECT c_custkey::BIGINT AS c_custkey FROM customer WHERE c_custkey NOT IN (SELECT CASE WHEN o_orderkey % 2 = 0 THEN o_custkey END FROM orders WHERE o_orderkey >= 0)")
+_NOT_IN = """SELECT 'with nulls' AS listed, c_custkey FROM {c} WHERE c_custkey NOT IN (SELECT CASE WHEN o_orderkey % 2 = 0 THEN o_custkey END FROM {o})
+UNION ALL SELECT 'without nulls', c_custkey FROM {c} WHERE c_custkey NOT IN (SELECT o_custkey FROM {o} WHERE o_orderkey % 2 = 0 AND o_custkey IS NOT NULL)
+UNION ALL SELECT 'null asked', c_custkey FROM {c} WHERE nullif(c_mktsegment, 'BUILDING') NOT IN (SELECT p_type FROM {p} WHERE p_type IS NOT NULL)"""
+
+
+@query(f"SELECT listed, c_custkey::BIGINT AS c_custkey FROM ({_NOT_IN.format(c='customer', o='orders', p='part')})")
 def not_in_with_nulls(spark, d):
-    read(spark, d, "customer").createOrReplaceTempView("waymark_customer")
-    read(spark, d, "orders").createOrReplaceTempView("waymark_orders")
-    return spark.sql("select c_custkey from waymark_customer where c_custkey not in (select case when o_orderkey % 2 = 0 then o_custkey end from waymark_orders where o_orderkey >= 0)")
+    """A null in the list leaves nothing; without one the rest stays, but rows whose own value is null."""
+    return spark.sql(_NOT_IN, c=read(spark, d, "customer"), o=read(spark, d, "orders"), p=read(spark, d, "part"))
 
 
 @query("""SELECT o_orderstatus, count(*) FILTER (WHERE list_contains(f, 'large'))::BIGINT AS n_large, count(*) FILTER (WHERE list_contains(f, 'third'))::BIGINT AS n_third FROM (SELECT o_orderstatus, list_filter([CASE WHEN o_totalprice > 200000 THEN 'large' END, CASE WHEN o_custkey % 3 = 0 THEN 'third' END], lambda x: x IS NOT NULL) AS f FROM orders) GROUP BY o_orderstatus""")

@@ -102,12 +102,13 @@ def street_name_match(spark, d):
     return review.street_matches(points, names.select(made.alias("name"), (F.col("a") == "green").alias("alternate"))).select("street", "n", "how")
 
 
-def _points(spark, d, city, zip_code):
-    """Customers as tagged points; city and zip_code are columns."""
+def _points(spark, d, city, zip_code, state=None):
+    """Customers as tagged points; city, zip_code and state are columns."""
+    state = F.when(F.col("c_nationkey") % 2 == 0, "KS").otherwise("NY") if state is None else state
     rows = located(read(spark, d, "customer"), "c_custkey")
     return rows.select(
         F.col("c_custkey").cast("string").alias("nad_oid"), "lon", "lat", F.col("c_custkey").cast("string").alias("addr_housenumber"), F.col("c_mktsegment").alias("addr_street"), city.alias("addr_city"),
-        F.when(F.col("c_nationkey") % 2 == 0, "KS").otherwise("NY").alias("addr_state"), zip_code.alias("addr_postcode"), F.lit("Pratt").alias("county"), F.lit("Site").alias("placement"),
+        state.alias("addr_state"), zip_code.alias("addr_postcode"), F.lit("Pratt").alias("county"), F.lit("Site").alias("placement"),
         F.lit("2024-01-01").alias("date_update"), F.when(city.isNull(), F.array(F.lit("no_city"))).otherwise(F.array(F.lit("city_not_in_reference"))).alias("flags"), F.when(F.col("c_custkey") % 10 == 9, "duplicate").alias("drop_reason"),
     )
 
@@ -183,16 +184,27 @@ def region_guard(spark, d):
     return counts.outside_regions(counties, {"west": (-121.0, 24.0, -100.0, 50.0), "east": (-95.0, 24.0, -65.0, 45.0)})
 
 
-_TRIAGE = f"""c AS (SELECT c_custkey, {place('c_custkey')}, 'NATON_' || (c_nationkey % 6)::VARCHAR AS city FROM customer WHERE c_custkey % 10 <> 9 AND c_nationkey % 2 = 0), b AS ({BOX}),
-p AS (SELECT c_custkey, min(region) AS p FROM c JOIN b ON lon > x AND lon < x + 9.0 AND lat > y AND lat < y + 4.0 GROUP BY 1), j AS (SELECT c.*, p FROM c LEFT JOIN p USING (c_custkey)), t AS (SELECT city, count(*) AS n, count(p) AS np FROM j GROUP BY 1),
-q AS (SELECT city, p, count(*) AS k FROM j WHERE p IS NOT NULL GROUP BY city, p QUALIFY row_number() OVER (PARTITION BY city ORDER BY count(*) DESC, p) = 1)"""
+_TRIAGE = f"""k AS (SELECT c_custkey, {place('c_custkey')}, c_custkey * 7919 % 5000 // 1000 + 5 * (c_custkey * 104729 % 2400 // 480) AS g, c_custkey * 7919 % 5000 % 1000 BETWEEN 1 AND 399 AND c_custkey * 104729 % 2400 % 480 BETWEEN 1 AND 299 AS inner_part FROM customer WHERE c_custkey % 10 <> 9),
+c AS (SELECT c_custkey, lon, lat, CASE WHEN g % 2 = 0 THEN 'KS' ELSE 'NY' END AS state, CASE WHEN c_custkey % 6 < 2 THEN 'NATON_' || g::VARCHAR WHEN c_custkey % 6 = 2 THEN 'OTHER_' || g::VARCHAR WHEN NOT inner_part THEN 'FAR_' || g::VARCHAR WHEN c_custkey % 6 = 3 THEN 'NAION_' || g::VARCHAR WHEN c_custkey % 6 = 4 THEN 'INNER_' || g::VARCHAR ELSE 'TRIO_' || (g // 6)::VARCHAR END AS city FROM k), b AS ({BOX}),
+i AS (SELECT c_custkey, min(CASE WHEN lon < x + 4.0 AND lat < y + 3.0 THEN region END) AS p, min(region) AS t FROM c JOIN b ON lon > x AND lon < x + 9.0 AND lat > y AND lat < y + 4.0 GROUP BY 1), j AS (SELECT c.*, p, t FROM c LEFT JOIN i USING (c_custkey)),
+n AS (SELECT state, city, count(*) AS n, count(p) AS np FROM j GROUP BY ALL),
+q AS (SELECT state, city, p, count(*) AS kp FROM j WHERE p IS NOT NULL GROUP BY state, city, p QUALIFY row_number() OVER (PARTITION BY state, city ORDER BY count(*) DESC, p) = 1),
+u AS (SELECT state, city, t, count(*) AS kt FROM j WHERE t IS NOT NULL GROUP BY state, city, t QUALIFY row_number() OVER (PARTITION BY state, city ORDER BY count(*) DESC, t) = 1),
+a AS (SELECT *, damerau_levenshtein(lower(city), lower(p)) <= CASE WHEN length(city) >= 8 THEN 2 ELSE 1 END OR (city[1 : 3] = p[1 : 3] AND regexp_matches(lower(p), regexp_replace(lower(city), '(.)', '\\1.*', 'g'))) AS like_p, damerau_levenshtein(lower(city), lower(t)) <= CASE WHEN length(city) >= 8 THEN 2 ELSE 1 END OR (city[1 : 3] = t[1 : 3] AND regexp_matches(lower(t), regexp_replace(lower(city), '(.)', '\\1.*', 'g'))) AS like_t, kp >= 0.5 * n AS in_p, kt >= 0.5 * n AS in_t FROM n LEFT JOIN q USING (state, city) LEFT JOIN u USING (state, city))"""
 
 
-@query(f"""WITH {_TRIAGE} SELECT city, n::BIGINT AS n, CASE WHEN k >= 0.5 * n THEN CASE WHEN damerau_levenshtein(lower(city), lower(p)) <= 1 OR regexp_matches(lower(p), '^' || regexp_replace(lower(city), '(.)', '\\1.*', 'g')) THEN 'correction_place' ELSE 'differs_from_place' END WHEN np >= 0.5 * n THEN 'split_across_places' ELSE 'outside_places' END AS bucket, p AS top_place FROM t LEFT JOIN q USING (city)""")
+@query(f"""WITH {_TRIAGE} SELECT state, city, n::BIGINT AS n, CASE WHEN like_p AND in_p THEN 'correction_place' WHEN like_t AND in_t THEN 'correction_cousub' WHEN in_p THEN 'differs_from_place' WHEN np >= 0.5 * n THEN 'split_across_places' ELSE 'outside_places' END AS bucket, p AS top_place, t AS top_town FROM a""")
 def triage_buckets(spark, d):
-    points = _points(spark, d, F.concat(F.lit("NATON_"), (F.col("c_nationkey") % 6).cast("string")), F.lit(None).cast("string")).where("addr_state = 'KS'")
-    found = review.city_triage(points, _state_shapes(spark, d, 9.0, 4.0), _state_shapes(spark, d, 4.0, 3.0).limit(0), shapes(spark, d), known_places(spark))
-    return found.select("city", "n", "bucket", "top_place")
+    """Unknown cities by the cell they lie in: misspelled names of it all over the cell or in its inner part alone, other names, and one name in several cells."""
+    k = F.col("c_custkey")
+    x, y = k * 7919 % 5000, k * 104729 % 2400
+    g = F.floor(x / 1000) + 5 * F.floor(y / 480)
+    inner = (x % 1000).between(1, 399) & (y % 480).between(1, 299)
+    named = lambda word, number: F.concat(F.lit(word), number.cast("string"))
+    city = F.when(k % 6 < 2, named("NATON_", g)).when(k % 6 == 2, named("OTHER_", g)).when(~inner, named("FAR_", g)).when(k % 6 == 3, named("NAION_", g)).when(k % 6 == 4, named("INNER_", g)).otherwise(named("TRIO_", F.floor(g / 6)))
+    points = _points(spark, d, city, F.lit(None).cast("string"), F.when(g % 2 == 0, "KS").otherwise("NY"))
+    found = review.city_triage(points, _state_shapes(spark, d, 4.0, 3.0), _state_shapes(spark, d, 9.0, 4.0), shapes(spark, d), known_places(spark))
+    return found.select("state", "city", "n", "bucket", "top_place", "top_town")
 
 
 @query()

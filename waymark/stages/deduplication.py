@@ -21,15 +21,19 @@ def county_name(county: Column) -> Column:
 
 
 def deduplicated(points: DataFrame) -> DataFrame:
-    """The points with drop_reason duplicate on copies, and the flag same_address_elsewhere where a key that ends with the city has far rows."""
+    """The points with drop_reason duplicate on copies, and the flag same_address_elsewhere where a key that ends with the city has far rows.
+
+    Rows go through the windows whole and nothing is joined back, so rows that share an id stay as many as they are.
+    Rows dropped before are groups of their own, spread by a hash of the row, and come out as they went in.
+    """
     small = lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))
-    keyed = points.where("drop_reason is null").select(
-        "nad_oid", "lon", "lat", "addr_state", county_name(F.col("county")).alias("k_county"), F.lower("addr_housenumber").alias("k_number"), F.lower("addr_street").alias("k_street"),
-        small("addr_unit").alias("k_unit"), small("addr_city").alias("k_city"), placement_rank(F.col("placement")).alias("k_rank"), "date_update", whole_number(F.col("nad_oid")).alias("k_id"),
-    )
-    key = ["addr_state", "k_county", "k_number", "k_street", "k_unit"]
+    made = {
+        "k_gone": F.when(F.col("drop_reason").isNotNull(), F.xxhash64("nad_oid", "lon", "lat", "addr_street")), "k_county": county_name(F.col("county")), "k_number": F.lower("addr_housenumber"), "k_street": F.lower("addr_street"),
+        "k_unit": small("addr_unit"), "k_city": small("addr_city"), "k_rank": placement_rank(F.col("placement")), "k_id": whole_number(F.col("nad_oid")),
+    }
+    key = ["addr_state", "k_county", "k_number", "k_street", "k_unit", "k_gone"]
     order = [F.asc("k_rank"), F.desc_nulls_last("date_update"), F.asc_nulls_last("k_id"), F.asc("nad_oid")]
-    found = duplicates.verdicts(keyed, "nad_oid", key, [*key, "k_city"], order).where("is_duplicate or elsewhere_wider").select("nad_oid", "is_duplicate", F.col("elsewhere_wider").alias("elsewhere"))
-    own = points.join(found, "nad_oid", "left")
+    own = duplicates.verdicts(points.withColumns(made), key, [*key, "k_city"], order)
+    kept = F.col("k_gone").isNull()
     flagged = F.array_sort(F.concat("flags", F.array(F.lit("same_address_elsewhere"))))
-    return own.withColumns({"drop_reason": F.when(F.col("is_duplicate"), "duplicate").otherwise(F.col("drop_reason")), "flags": F.when(F.col("elsewhere"), flagged).otherwise(F.col("flags"))}).select(*points.columns)
+    return own.withColumns({"drop_reason": F.when(kept & F.col("is_duplicate"), "duplicate").otherwise(F.col("drop_reason")), "flags": F.when(kept & F.col("elsewhere_wider"), flagged).otherwise(F.col("flags"))}).select(*points.columns)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,7 +48,7 @@ def community_cities(communities: DataFrame, known: Broadcast) -> DataFrame:
 
 def supplement(points: DataFrame, matches: DataFrame, cities: DataFrame) -> DataFrame:
     """The points with cities from communities."""
-    found = matches.join(F.broadcast(cities), ["state", "community"], "left").select("nad_oid", F.col("city").alias("city__"))
+    found = matches.join(cities, ["state", "community"], "left").select("nad_oid", F.col("city").alias("city__"))
     own = points.join(found, "nad_oid", "left").withColumn("found__", F.when(F.col("addr_city").isNull(), F.col("city__")))
     city = F.col("found__")
     flagged = own.withColumn("flags", F.when(city.isNotNull(), _reflagged(F.col("flags"), city, (F.lit(True), "city_from_source_msag"))).otherwise(F.col("flags")))
@@ -54,7 +56,7 @@ def supplement(points: DataFrame, matches: DataFrame, cities: DataFrame) -> Data
 
 
 def supplement_report(matches: DataFrame, cities: DataFrame) -> DataFrame:
-    return matches.join(F.broadcast(cities), ["state", "community"], "left").groupBy("state", "community", F.col("city").alias("filled_as")).agg(F.count(F.lit(1)).alias("n_rows")).orderBy("state", F.desc("n_rows"))
+    return matches.join(cities, ["state", "community"], "left").groupBy("state", "community", F.col("city").alias("filled_as")).agg(F.count(F.lit(1)).alias("n_rows")).orderBy("state", F.desc("n_rows"))
 
 
 def backfill(points: DataFrame, places: DataFrame, towns: DataFrame, zips: DataFrame, facts: DataFrame) -> DataFrame:
@@ -64,15 +66,15 @@ def backfill(points: DataFrame, places: DataFrame, towns: DataFrame, zips: DataF
     that is filled here says nothing about the city.
     """
     need = points.where("drop_reason is null and (addr_city is null or addr_postcode is null)").select("nad_oid", F.col("addr_state").alias("state"), "addr_postcode", "lon", "lat", F.col("addr_city").isNull().alias("need_city"))
-    by_zip = need.where("need_city").join(F.broadcast(facts), (need.state == facts.state) & (need.addr_postcode == facts.zip)).select("nad_oid", F.col("city").alias("zip__"))
+    by_zip = need.where("need_city").join(facts, (need.state == facts.state) & (need.addr_postcode == facts.zip)).select("nad_oid", F.col("city").alias("zip__"))
     inside = lambda rows, shapes, name, by: spatial.points_in_polygons(rows, shapes, "nad_oid", "name", by).withColumnRenamed("name", name)
     by_place = inside(need.where("need_city"), places, "place__", ["state"])
     by_town = inside(need.where("need_city").where(F.col("state").isin(*TOWN_STATES)), towns, "town__", ["state"])
     by_area = inside(need.where("addr_postcode is null"), zips, "area__", [])
-    own = points
-    for found in (by_zip, by_place, by_town, by_area):
-        own = own.join(found, "nad_oid", "left")
-    own = own.withColumn("found__", F.coalesce("zip__", "place__", "town__"))
+    kinds = {"zip__": by_zip, "place__": by_place, "town__": by_town, "area__": by_area}
+    either = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), kinds.values())
+    fills = either.groupBy("nad_oid").agg(*(F.min(name).alias(name) for name in kinds))  # of needy rows alone, one row an id
+    own = points.join(fills, "nad_oid", "left").withColumn("found__", F.coalesce("zip__", "place__", "town__"))
     city = F.col("found__")
     ours = F.col("addr_city").isNull()
     marks = (ours & F.col("zip__").isNotNull(), "city_from_zip"), (ours & F.col("zip__").isNull() & F.col("place__").isNotNull(), "city_from_census_place"), (ours & F.coalesce("zip__", "place__").isNull() & F.col("town__").isNotNull(), "city_from_census_cousub"), (F.col("addr_postcode").isNull() & F.col("area__").isNotNull(), "postcode_from_zcta")

@@ -70,7 +70,7 @@ def typo_candidates(points: DataFrame, places: DataFrame, hamlets: DataFrame, kn
 
     Evidence: cities of the same streets, the place around most points, and hamlets (state, name, lon, lat) near
     their centre. The candidate of the fewest edits wins, then street before place before hamlet, the larger share,
-    the shorter way. support lists which kinds of evidence name it.
+    the shorter way. support lists which kinds of evidence name it. The most frequent come first.
     """
     kept = points.where("drop_reason is null and addr_city is not null").select(F.col("addr_state").alias("state"), "county", F.col("addr_city").alias("city"), F.col("addr_street").alias("street"), F.col("addr_postcode").alias("zip"), F.concat(F.col("addr_housenumber"), F.lit(" "), F.col("addr_street")).alias("address"), "lon", "lat", F.array_contains("flags", UNKNOWN).alias("unknown"))
     spelled = F.udf(lambda state, name: known.value.known(state, None, name) if name else None, "string", useArrow=True)
@@ -113,7 +113,7 @@ def typo_candidates(points: DataFrame, places: DataFrame, hamlets: DataFrame, kn
     same = lambda c: F.coalesce(key(c) == F.col("best.key"), F.lit(False))
     support = F.array_compact(F.array(F.when(same("top_street_city"), "street"), F.when(same("place_name") & (F.col("place_share") >= MAJORITY), "place"), F.when(same("zip_city"), "zip"), F.when(F.coalesce(F.array_contains("near_keys", F.col("best.key")), F.lit(False)), "gnis")))
     via = F.element_at(F.array(F.lit("street"), F.lit("place"), F.lit("gnis")), F.col("best.via") + 1)
-    return rows.select("state", "county", "city", "n", F.col("best.spelling").alias("candidate"), via.alias("via"), F.round(-F.col("best.less"), 2).alias("share"), F.round("best.km", 1).alias("km"), F.col("best.edits").alias("edits"), F.array_join(support, "+").alias("support"), "top_street_city", F.round("top_street_share", 2).alias("top_street_share"), "top_zip", "zip_city", F.round("zip_city_share", 2).alias("zip_city_share"), "sample_address", F.round("lat", 4).alias("lat"), F.round("lon", 4).alias("lon"))
+    return rows.select("state", "county", "city", "n", F.col("best.spelling").alias("candidate"), via.alias("via"), F.round(-F.col("best.less"), 2).alias("share"), F.round("best.km", 1).alias("km"), F.col("best.edits").alias("edits"), F.array_join(support, "+").alias("support"), "top_street_city", F.round("top_street_share", 2).alias("top_street_share"), "top_zip", "zip_city", F.round("zip_city_share", 2).alias("zip_city_share"), "sample_address", F.round("lat", 4).alias("lat"), F.round("lon", 4).alias("lon")).orderBy(F.desc("n"), "state", "city", "county")
 
 
 def text_key(column: Column) -> Column:

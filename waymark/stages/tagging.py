@@ -12,7 +12,6 @@ from waymark.functions import rules
 from waymark.functions.columns import clean
 from waymark.functions.street import SAINTS
 from waymark.operators import python_rules
-from waymark.operators.memo import apply_rule
 from waymark.schema import POINT_COLUMNS
 
 STREET_INPUTS = "St_PreMod St_PreDir St_PreTyp St_PreSep St_Name St_PosTyp St_PosDir St_PosMod State County".split()
@@ -28,12 +27,13 @@ def degrees(text: Column) -> Column:
 def tagged_points(raw: DataFrame, known: Broadcast, saints: Collection[str] = SAINTS) -> DataFrame:
     """POINT_COLUMNS of every raw row. The first reason of house number, street and life cycle drops a row.
 
-    Rules in Python see each combination of cleaned inputs once; the others are expressions.
+    No row is moved: rules in Python remember the combinations of cleaned inputs that a task has seen; the other
+    rules are expressions.
     """
     inputs = sorted({*STREET_INPUTS, *UNIT_INPUTS, *CITY_INPUTS})
     own = raw.withColumns({f"{c}__c": clean(F.col(c)) for c in inputs})
-    for name, columns, rule in (("street__", STREET_INPUTS, python_rules.street_rule(saints)), ("unit__", UNIT_INPUTS, python_rules.unit_rule()), ("city__", CITY_INPUTS, python_rules.city_rule(known))):
-        own = apply_rule(own, [f"{c}__c" for c in columns], rule, name)
+    of = lambda columns: [F.col(f"{c}__c") for c in columns]
+    own = own.withColumns({"street__": python_rules.street_rule(saints)(*of(STREET_INPUTS)), "unit__": python_rules.unit_rule()(*of(UNIT_INPUTS)), "city__": python_rules.city_rule(known)(*of(CITY_INPUTS))})
     own = own.withColumns({"number__": rules.housenumber(F.col("AddNum_Pre"), F.col("Add_Number"), F.col("AddNum_Suf")), "zip__": rules.postcode(F.col("Zip_Code"), F.col("State"))})
     no_street = F.when(F.col("street__.value").isNull(), F.element_at("street__.flags", 1))
     made = {
