@@ -181,9 +181,7 @@ def test_typo_query_names_known_places(spark):
     assert ("Welsford", "Wellsford") in found and all(candidate in ("Wellsford", "Jonah") for _, candidate in found)
 
 
-def test_closest_names_and_unmatched_addresses(spark):
-    streets = spark.createDataFrame([("Okk Street",), ("Zz",)], "street string")
-    assert {r.street: r.closest for r in review.closest_names(streets, ["Oak Street", "Elm Street"]).collect()} == {"Okk Street": "Oak Street", "Zz": None}
+def test_unmatched_addresses(spark):
     points, mapped = stage_queries._near_points(spark, DATA)
     only = review.only_mapped(points, mapped)
     assert only.count() > 0 and only.where("street_key = 'elsewhere'").count() > 0

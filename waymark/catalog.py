@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from waymark.plans import address_queries, rule_queries, stage_queries  # noqa: F401
+from waymark.plans import address_queries, output_queries, rule_queries, stage_queries  # noqa: F401
 
 FLAGSHIP = "dedup_verdict"
 

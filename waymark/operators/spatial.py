@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Degrees of a cell's side.
 CELL = 0.5
+#: Positions have seven decimals; and a bound of the relative error of a product of two differences of doubles.
+GRID, ROUNDING = 1e7, 1e-14
 
 
 def _edges(rings: Column) -> Column:
@@ -27,7 +29,15 @@ def crosses_odd(x: Column, y: Column, edges: Column) -> Column:
 
 
 def on_edge(x: Column, y: Column, edges: Column) -> Column:
-    hit = lambda e: ((e.b.x - e.a.x) * (y - e.a.y) == (e.b.y - e.a.y) * (x - e.a.x)) & x.between(F.least(e.a.x, e.b.x), F.greatest(e.a.x, e.b.x)) & y.between(F.least(e.a.y, e.b.y), F.greatest(e.a.y, e.b.y))
+    """Whether a point lies on an edge. Where the products of doubles are too close to tell, whole numbers of GRID decide."""
+    whole = lambda v: F.round(v * GRID).cast("long").cast("decimal(11,0)")
+
+    def hit(e: Column) -> Column:
+        one, other = (e.b.x - e.a.x) * (y - e.a.y), (e.b.y - e.a.y) * (x - e.a.x)
+        close = F.abs(one - other) <= ROUNDING * (F.abs(one) + F.abs(other))
+        exact = (whole(e.b.x) - whole(e.a.x)) * (whole(y) - whole(e.a.y)) == (whole(e.b.y) - whole(e.a.y)) * (whole(x) - whole(e.a.x))
+        return close & x.between(F.least(e.a.x, e.b.x), F.greatest(e.a.x, e.b.x)) & y.between(F.least(e.a.y, e.b.y), F.greatest(e.a.y, e.b.y)) & exact
+
     return F.exists(edges, hit)
 
 

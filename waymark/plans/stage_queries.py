@@ -50,8 +50,8 @@ def _weekly(spark, d):
 def _full_series(spark, d):
     """Every county on every day, zero included."""
     seen = _weekly(spark, d)
-    every = seen.select("geoid").distinct().join(F.broadcast(seen.select("day").distinct().agg(F.collect_set("day").alias("days"))))
-    return every.select("geoid", F.explode("days").alias("day")).join(seen, ["geoid", "day"], "left").fillna(0, ["n"])
+    days = sorted(row.day for row in seen.select("day").distinct().collect())  # some hundred
+    return seen.select("geoid").distinct().select("geoid", F.explode(F.array(*map(F.lit, days))).alias("day")).join(seen, ["geoid", "day"], "left").fillna(0, ["n"])
 
 
 _SERIES = """w AS (SELECT lpad((user_id % 100)::VARCHAR, 5, '0') AS geoid, ts::DATE::VARCHAR AS day, count(*) AS n FROM events GROUP BY ALL),

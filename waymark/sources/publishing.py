@@ -8,7 +8,6 @@ from collections.abc import Callable, Mapping, Sequence
 from pathlib import Path
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from waymark.sources.sinks import geojson_lines
 
@@ -22,9 +21,8 @@ def manifest(points: DataFrame, release: str, **constants: object) -> str:
 
 
 def write_features(points: DataFrame, path: str) -> None:
-    """Newline-delimited GeoJSON in one folder per state, from one shuffle."""
-    lines = geojson_lines(points)
-    lines.repartition("addr_state", F.pmod(F.xxhash64("value"), F.lit(8))).write.mode("overwrite").partitionBy("addr_state").text(path)
+    """Newline-delimited GeoJSON in one folder per state, from one shuffle whose parts are of like size."""
+    geojson_lines(points).hint("rebalance", "addr_state").write.mode("overwrite").partitionBy("addr_state").text(path)
 
 
 def write_single(rows: DataFrame, folder: str, state: str) -> None:

@@ -164,3 +164,33 @@ def map_elements(answer: Mapping) -> tuple[list[dict], list[tuple[str, bool]]]:
             names |= {tags["name"]} if tags.get("name") else set()
             others |= {part.strip() for key in ("alt_name", "official_name", "old_name", "short_name") for part in tags.get(key, "").split(";") if part.strip()}
     return addresses, [*((name, False) for name in sorted(names)), *((name, True) for name in sorted(others - names))]
+
+
+def post_form(url: str, fields: Mapping[str, str], tries: int = 6, wait: Callable[[int], float] = lambda n: 60.0 * (n + 1), opener: Opener = urllib.request.urlopen, sleep: Callable[[float], None] = time.sleep) -> dict:
+    """The JSON answer to a form. A busy service (429, 5xx, no answer in time, a dropped connection) is asked again; other refusals are raised at once."""
+    for attempt in range(tries):
+        try:
+            with opener(urllib.request.Request(url, data=urllib.parse.urlencode(fields).encode()), timeout=1800) as answer:
+                return json.load(answer)
+        except OSError as failed:
+            code = getattr(failed, "code", None)
+            if code is not None and code != 429 and code < 500 or attempt + 1 == tries:
+                raise
+        sleep(wait(attempt))
+    raise OSError("no try was allowed")
+
+
+def history_fields(features: Sequence[Mapping], days: Sequence[str], what: str) -> dict[str, str]:
+    """The form that asks for counts of what in features (each with properties.id), at days."""
+    return {"bpolys": json.dumps({"type": "FeatureCollection", "features": list(features)}, separators=(",", ":")), "filter": what, "time": ",".join(days), "format": "json"}
+
+
+def history_series(answer: Mapping, names: Sequence[str], days: Sequence[str]) -> dict[str, list[int]]:
+    """Counts by name in the order of days; an answer for other names or days than asked for is an error."""
+    said = {group["groupByObject"]: {result["timestamp"][:10]: round(result["value"]) for result in group["result"]} for group in answer["groupByResult"]}
+    if said.keys() != set(names):
+        raise ValueError(f"asked for {len(names)} areas; {sorted(said.keys() ^ set(names))[:5]} are missing or too many")
+    for name, found in said.items():
+        if list(found) != list(days):
+            raise ValueError(f"{name}: the days are not those asked for")
+    return {name: list(said[name].values()) for name in names}

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-import csv
 import re
 import zipfile
 from collections.abc import Iterator, Sequence
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from waymark.sources.quoted_text import headers, read_quoted
+
 CHUNK = 4 << 20
 DEFLATE64 = 9
 
@@ -70,15 +73,33 @@ def header_problems(header: Sequence[str], expected: Sequence[str]) -> list[str]
     return problems
 
 
-def read_text(spark: SparkSession, path: str, columns: Sequence[str], separator: str = ",", quote: str = '"', line_breaks: bool = False) -> DataFrame:
-    """A delimited file as text columns; empty values are null, a header that differs is an error.
+def read_text(spark: SparkSession, path: str, columns: Sequence[str], separator: str = ",", quote: str = '"', line_breaks: bool = False, splits: bool = True) -> DataFrame:
+    """Delimited files as text columns; empty values are null, a header of any file that differs is an error.
 
-    line_breaks: quoted values may hold line breaks; a file is then read by one task.
+    line_breaks: quoted values may hold line breaks; files are read in splits all the same, see quoted_text, or with
+    splits=False by one task each.
     """
-    first = spark.read.text(path).limit(1).collect()
-    quoting = {"quotechar": quote} if quote else {"quoting": csv.QUOTE_NONE}
-    header = next(csv.reader([first[0][0].removeprefix("\ufeff").rstrip("\r")], delimiter=separator, **quoting), []) if first else []
-    if problems := header_problems(header, columns):
-        raise ValueError(f"{path}: {'; '.join(problems)}")
+
+    def check(header: list[str]) -> None:
+        if problems := header_problems(header, columns):
+            raise ValueError(f"{path}: {'; '.join(problems)}")
+
+    if line_breaks and splits and quote:
+        return read_quoted(spark, path, columns, check, separator, quote)
+    first = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")).where("start = 0")
+    heads = first.mapInArrow(_first_lines, "header string").distinct()
+    for header in headers(heads, separator, quote):
+        check(header)
     schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
     return spark.read.schema(schema).options(header=True, sep=separator, quote=quote, escape='"', multiLine=line_breaks, enforceSchema=True).csv(path)
+
+
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line of each file, once its first split's lines come."""
+    last = None
+    for batch in batches:
+        files = batch.column(1).to_pylist()
+        for place, file in enumerate(files):
+            if file != last:
+                last = file
+                yield pa.RecordBatch.from_pydict({"header": [batch.column(0)[place].as_py()]})

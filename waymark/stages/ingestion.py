@@ -31,7 +31,7 @@ def ingest(spark: SparkSession, archive: str | Path, folder: str | Path) -> dict
     text, release = unpack(archive, folder)
     home = Path(folder) / release
     home.mkdir(parents=True, exist_ok=True)
-    rows = read_text(spark, str(text), RAW_COLUMNS)
+    rows = read_text(spark, str(text), RAW_COLUMNS, line_breaks=True)
     write_by_state(rows, str(home / "raw"), "State")
     manifest = {"release": release, "zip": Path(archive).name, "rows": spark.read.parquet(str(home / "raw")).count(), "expected_rows": expected_rows(archive), "columns": RAW_COLUMNS}
     (home / "manifest.json").write_text(json.dumps(manifest, indent=1), encoding="utf-8")

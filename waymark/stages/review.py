@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import difflib
-
 from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.functions.columns import kilometres, metres
 from waymark.operators import spatial
+from waymark.operators.closest import closest_names
 from waymark.operators.memo import apply_rule
 from waymark.operators.python_rules import close_enough, place_key, resembles, scored_edits
 
@@ -150,7 +149,7 @@ def street_matches(points: DataFrame, roads: DataFrame) -> DataFrame:
     """(street, n, how, road): each street of points and how roads (name, alternate) of the area carry it.
 
     exact, alternate, case_only, punctuation_only, directional_only by equi-joins on derived keys; unmatched streets
-    get the closest name, which is looked for only there.
+    get the closest name, which is looked for only there, by operators/closest.py.
     """
     streets = points.where("street is not null and street <> ''").groupBy("street").agg(F.count(F.lit(1)).alias("n"))
     names = roads.where("name is not null")
@@ -171,12 +170,6 @@ def street_matches(points: DataFrame, roads: DataFrame) -> DataFrame:
     return own.select("street", "n", how.alias("how"), road.alias("road"))
 
 
-def closest_names(streets: DataFrame, names: list[str], cutoff: float = 0.75) -> DataFrame:
-    """(street, closest): the nearest of an area's road names, for the report on unmatched streets."""
-    nearest = F.udf(lambda street: next(iter(difflib.get_close_matches(street, names, 1, cutoff)), None), "string", useArrow=True)
-    return streets.select("street").distinct().withColumn("closest", nearest("street"))
-
-
 def address_matches(points: DataFrame, mapped: DataFrame, radius: float = MATCH_METRES) -> DataFrame:
     """A row per distinct number and street of points (id, housenumber, street, city, postcode, lon, lat), and how the map has it.
 
@@ -205,3 +198,29 @@ def only_mapped(points: DataFrame, mapped: DataFrame, radius: float = MATCH_METR
     keys = mapped.select(number_key(F.col("housenumber")).alias("number_key"), text_key(F.col("street")).alias("street_key")).distinct()
     met = address_matches(points, mapped, radius).where("outcome like 'matched%'").select("number_key", text_key(F.col("mapped_street")).alias("street_key"))
     return keys.join(met, ["number_key", "street_key"], "left_anti")
+
+
+def most_common(rows: DataFrame, column: str, k: int | None = None) -> list[tuple[str | None, int]]:
+    """Values and how often they occur, most frequent first, ties by alphabet; nulls of a limited list don't count."""
+    counted = (rows.where(F.col(column).isNotNull()) if k else rows).groupBy(column).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.asc_nulls_first(column))
+    return [(row[0], row[1]) for row in (counted.limit(k) if k else counted.limit(10_000)).collect()]
+
+
+def spot_check(points: DataFrame, mapped: DataFrame, roads: DataFrame, radius: float = MATCH_METRES, units: int = 40) -> dict:
+    """The summary of an area: points (id, housenumber, street, city, postcode, unit, source, lon, lat) against mapped addresses and roads (name, alternate)."""
+    matches = address_matches(points, mapped, radius).persist()
+    streets = street_matches(points, roads).persist()
+    outcomes = {row.outcome: row["n"] for row in matches.groupBy("outcome").agg(F.count(F.lit(1)).alias("n")).collect()}
+    how = {row.how: (row.n_streets, row.n_points) for row in streets.groupBy("how").agg(F.count(F.lit(1)).alias("n_streets"), F.sum("n").alias("n_points")).collect()}
+    unmatched = streets.where("how = 'unmatched'")
+    near = closest_names(unmatched, roads).join(unmatched.select("street", "n"), "street").orderBy(F.desc("n"), "street").limit(units).collect()
+    totals = points.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("city").isNull() | (F.col("city") == "")).alias("no_city")).first()
+    conflicts = matches.where("outcome = 'street_conflict'").select(F.concat_ws(" / ", "street_key", "mapped_street").alias("streets"))
+    summary = {
+        "source_points": totals["n"], "no_city": totals["no_city"], "source_names": most_common(points, "source"), "units": most_common(points.withColumn("unit", F.nullif("unit", F.lit(""))), "unit", units),
+        "osm_addresses": mapped.count(), "osm_street_names": roads.where("not alternate").select("name").distinct().count(), "streets": how, "closest": [(row.street, row.closest) for row in near],
+        "addresses": {**outcomes, "distinct": sum(outcomes.values()), "osm_only": only_mapped(points, mapped, radius).count(), "city_differs": matches.where("city_differs").count(), "postcode_differs": matches.where("postcode_differs").count(), "street_conflicts": most_common(conflicts, "streets", units)},
+    }
+    matches.unpersist()
+    streets.unpersist()
+    return summary
