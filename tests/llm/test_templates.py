@@ -90,6 +90,21 @@ def test_names_that_open_sentences(spark):
     assert kinds_of(spark, texts, [item]) == {1: "re-parameterised", 3: "copy"}
 
 
+def test_a_name_that_contradicts_itself(spark):
+    """A name that opens the item's sentence and comes again inside one must stand for one name."""
+    item = "{} has {} red apples and {} green ones in a basket and gives {} of them to {} before lunch so how many apples does {} have left"
+    texts = {1: item.format("Carol", 7, 8, 4, "Max", "Erin"), 2: item.format("Carol", 7, 8, 4, "Max", "Carol"), 3: item.format("Alice", 5, 3, 2, "Bob", "Alice"), 4: "During lunch " + item.format("Carol", 7, 8, 4, "Max", "Erin")}
+    assert kinds_of(spark, texts, [(9, item.format("Alice", 5, 3, 2, "Bob", "Alice"))]) == {2: "re-parameterised", 3: "copy"}
+
+
+def test_tables_of_numbers(spark):
+    """Windows of placeholders alone find no candidates, unless the item has no others."""
+    table = " ".join(str(k * 7 % 90) for k in range(60))
+    item = "The table reads " + " ".join(str(k) for k in range(30)) + " and so the sum of all the numbers in it is what we ask for today"
+    assert kinds_of(spark, {1: table, 2: item, 3: item.replace("1", "8")}, [(9, item)]) == {2: "copy", 3: "re-parameterised"}
+    assert 1 in kinds_of(spark, {1: "11 12 13 14 15 16 17 18 19 20", 2: "a clean text of some words only here"}, [(9, "11 12 13 14 15 16 17 18 19 20")])
+
+
 def test_light_edits(spark):
     rng = random.Random(8)
     item = " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(37))

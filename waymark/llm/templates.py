@@ -18,7 +18,11 @@ below both, and items with no WINDOW tokens in a row unchanged.
 Slots are checked in matched windows, or in matched runs where these decide: each value in the item's slots must
 stand for one value in the text's, wherever it comes. Equal values make the match a copy, others a
 re-parameterised question. Values that contradict each other make it none, unless the windows or tokens that are
-equal word for word suffice alone: then it is a copy.
+equal word for word suffice alone: then it is a copy. A name inside a sentence is also held against where it begins
+one: what the reading with such words as names finds for it counts in the other reading too.
+
+Windows without any word, as of tables of numbers, find no candidates where the item has others: they would match at
+every shift of every table.
 
 The benchmark's windows are broadcast only if a count proves them to be at most BROADCAST_WINDOWS; beyond that
 the join is left to the planner, which splits hot keys. A window that very many texts hold joins row by row;
@@ -31,7 +35,7 @@ reported and dropped each by itself, with a null id; extra columns are ignored;
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from waymark.llm.common import written
@@ -143,7 +147,9 @@ def matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataF
     phrases, items = items.where(F.col("size") < SHORTEST), items.where(F.col("size") >= SHORTEST)
     short = sorted(row.size_ for row in items.where(F.col("size") < WINDOW).select(F.col("size").alias("size_")).distinct().collect())
     fits = F.col("length") == F.least(F.col("size"), F.lit(WINDOW))
-    posted = windows(items, ["item_id"], short).join(items.select("item_id", "size"), "item_id").where(fits).select("item_id", "window", F.col("place").alias("item_place")).distinct()
+    worded = F.expr(f"exists(slice(tokens, cast(place as int) + 1, {WINDOW}), t -> t >= '\u0005')")
+    posted = windows(items, ["item_id"], short).join(items.select("item_id", "size", "tokens"), "item_id").where(fits).withColumn("worded", worded)
+    posted = posted.join(posted.groupBy("item_id").agg(F.max("worded").alias("any")), "item_id").where("worded or not any").select("item_id", "window", F.col("place").alias("item_place")).distinct()
     posted = written(spark, posted, "bench-windows")
     if posted.count() <= BROADCAST_WINDOWS:
         posted = F.broadcast(posted)
@@ -178,11 +184,14 @@ def _judged(shifts: DataFrame, texts: DataFrame, items: DataFrame, tokens: Colum
         count("win", 1).alias("n_matched"), count("run", 1).alias("n_tokens"), count("win", 2).alias("equal_windows"), count("run", 2).alias("equal_tokens"),
         F.collect_set(F.when(F.col("best.cov") >= 1, slot)).alias("in_windows"), F.collect_set(F.when(F.col("run") >= 1, slot)).alias("in_runs"),
     )
+    both = F.array_distinct(F.flatten(F.collect_list("in_windows").over(Window.partitionBy(*(k for k in keys if k != "firsts")))))
+    judged = judged.withColumn("both", both).withColumn("names", F.expr("transform(in_windows, x -> x.was)"))
+    judged = judged.withColumn("checked", F.expr("filter(both, x -> array_contains(names, x.was))"))
     consistent = lambda s: F.size(s) == F.size(F.array_distinct(F.transform(s, lambda x: x.was)))
     kind = lambda s: F.when(F.exists(s, lambda x: x.was != x.now), "re-parameterised").otherwise("copy")
     half = lambda n: F.col(n) >= SHARE * F.col("per")
     most = lambda n, m: (F.col(n) >= 1) & (F.col(m) > TOKENS * F.col("size"))
-    verdict = F.when(half("n_matched") & consistent("in_windows"), kind("in_windows")).when((F.col("firsts") == NAME) & most("n_matched", "n_tokens") & consistent("in_runs"), kind("in_runs"))
+    verdict = F.when(half("n_matched") & consistent("checked"), kind("in_windows")).when((F.col("firsts") == NAME) & most("n_matched", "n_tokens") & consistent("in_runs"), kind("in_runs"))
     judged = judged.withColumn("kind", verdict.when(half("equal_windows") | most("equal_windows", "equal_tokens"), "copy"))
     return judged.where("kind is not null").groupBy("doc_id", "tid", "item_id").agg(F.max("n_matched").cast("long").alias("n_matched"), F.max("per").cast("long").alias("n_windows"), F.min("kind").alias("kind"))
 
