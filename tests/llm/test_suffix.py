@@ -57,6 +57,37 @@ def test_against_brute_force(spark, length, seed):
     assert got == dict(enumerate(want)) and sum(w[1] > 0 for w in want) > 10
 
 
+@pytest.mark.parametrize(("length", "hot"), [(200, 1), (200, 40), (40, 1), (12, 1)])
+def test_split_grams(spark, length, hot):
+    """A sentence shorter than a string that a third of all texts hold between different neighbours, and all grams split."""
+    rng = random.Random(length + hot)
+    prose = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    gram = s.gram_of(length)
+    sentence = prose(gram + length // 8)
+    texts = [prose(rng.randrange(length)) + (sentence if i % 3 == 0 else "") + prose(rng.randrange(length)) for i in range(150)]
+    texts += [t[: len(t) // 2] + prose(9) + t[len(t) // 3 :] for t in texts[:30]] + corpus(length, length)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: tuple(r)[1:] for r in s.repeat_digests(spark, df, length, hot).collect()}
+    assert got == dict(enumerate(brute([(t or "").encode() for t in texts], length)))
+
+
+def test_equal_strings_meet_in_a_class():
+    rng = random.Random(9)
+    length, gram = 200, s.gram_of(200)
+    core = bytes(rng.choice(b"abc") for _ in range(gram))
+    for _ in range(300):
+        left = rng.randrange(length - gram + 1)
+        string = bytes(rng.choice(b"abc") for _ in range(left)) + core + bytes(rng.choice(b"abc") for _ in range(length - gram - left))
+        heads = []
+        for _ in range(2):
+            before, behind = (bytes(rng.choice(b"xyz") for _ in range(rng.randrange(60))) for _ in range(2))
+            text, at = before + string + behind, len(before) + left
+            first, last = rng.randrange(max(0, at - length + gram), len(before) + 1), rng.randrange(len(before), min(at, len(text) - length) + 1)
+            heads.append(set(s.class_heads(b"h" * 8, text, at, first, last, gram, length)))
+            assert 1 <= len(heads[-1]) <= s.CLASSES
+        assert heads[0] & heads[1]
+
+
 def test_small_runs_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(s, "RUN_BYTES", 2000)
     texts = corpus(5, 40)

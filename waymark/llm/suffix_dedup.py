@@ -18,7 +18,13 @@ No text is shuffled but for live entries: rows are addressed by file and row, wh
 is written to a file of the shared folder, and the scan that needs it reads it there. Every block has its files, if need be
 empty ones, so a file that is missing is an error and never read as "nothing repeats". A gram or passage that a
 third of all rows hold costs one entry per block in step 1 and one per run in step 2. There are as many buckets as
-the texts' bytes need for BUCKET_BYTES each; the distinct entries of one gram stay in one bucket.
+the texts' bytes need for BUCKET_BYTES each.
+
+The distinct entries of one gram stand in one task, so a gram of more than HOT occurrences, as of a sentence that very
+many texts have between different neighbours, is split. A string is longer than its gram by some bytes to the left
+and some to the right; by how many to the right parts them in CLASSES, and strings of a class agree in the bytes to
+either side that all of the class have. Entries of a hot gram stand under the hashes of these bytes, once for each class,
+and equal strings meet in theirs.
 
 Null and empty texts have nothing to remove; texts shorter than LENGTH stay whole, their strings match nothing;
 repeated rows and null ids give a row each; extra columns are ignored; an empty table gives no rows.
@@ -47,10 +53,13 @@ RUN_BYTES = 32 << 20
 HEAD = 8
 #: Bytes of texts for each bucket of the exchanges.
 BUCKET_BYTES = 48 << 20
+#: Occurrences of a gram, of which a block of rows counts 65,535 at most, from which its entries are split, and into how many classes.
+HOT, CLASSES = 4096, 4
 
 DEALT = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("block", T.LongType()), T.StructField("payload", T.BinaryType())])
 DEALT_ARROW = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("payload", pa.binary())])
 PLACE = np.dtype([("block", "<i8"), ("row", "<u4"), ("start", "<u4")])
+LIVE = np.dtype([("gram", "<u8"), ("hot", "u1")])
 SPAN = np.dtype([("row", "<u4"), ("start", "<u4"), ("end", "<u4")])
 
 
@@ -63,7 +72,7 @@ def _raw(batch: pa.RecordBatch, column: int) -> list[bytes]:
 
 
 def _post_grams(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Each block's distinct grams by bucket, flagged where the block has them twice."""
+    """Each block's distinct grams by bucket, and how often it has them."""
     current, held = None, []
 
     def flush() -> pa.RecordBatch | None:
@@ -77,7 +86,7 @@ def _post_grams(batches: Iterator[pa.RecordBatch], length: int, buckets: int) ->
         rows = []
         for bucket, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
             if b > a:
-                rows.append({"bucket": bucket, "block": current, "payload": grams[a:b].astype("<u8").tobytes() + (counts[a:b] > 1).astype(np.uint8).tobytes()})
+                rows.append({"bucket": bucket, "block": current, "payload": grams[a:b].astype("<u8").tobytes() + np.minimum(counts[a:b], 65_535).astype("<u2").tobytes()})
         return pa.RecordBatch.from_pylist(rows, schema=DEALT_ARROW)
 
     for batch in batches:
@@ -97,22 +106,24 @@ def _cut(values: np.ndarray, buckets: int) -> list[int]:
     return [*np.searchsorted(values, starts).tolist(), len(values)]
 
 
-def _live_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of a bucket's grams, for each block, those that occur twice over all."""
+def _live_grams(batches: Iterator[pa.RecordBatch], hot: int) -> Iterator[pa.RecordBatch]:
+    """Of a bucket's grams, for each block, those that occur twice over all, and whether more than hot times."""
     for bucket, rows in grouped(batches):
-        blocks, grams, twice = [], [], []
+        blocks, grams, times = [], [], []
         for block, payload in rows:
-            n = len(payload) // 9
+            n = len(payload) // 10
             blocks.append(block)
             grams.append(np.frombuffer(payload, "<u8", n))
-            twice.append(np.frombuffer(payload, np.uint8, n, 8 * n))
+            times.append(np.frombuffer(payload, "<u2", n, 8 * n))
         every = np.concatenate(grams)
         known, place = np.unique(every, return_inverse=True)
-        live = np.bincount(place, weights=1 + np.concatenate(twice), minlength=len(known))[place] > 1
+        totals = np.bincount(place, weights=np.concatenate(times), minlength=len(known))[place]
         at, out = 0, []
         for block, part in zip(blocks, grams, strict=True):
-            chosen = part[live[at : at + len(part)]]
+            mine = totals[at : at + len(part)]
             at += len(part)
+            chosen = np.empty(int((mine > 1).sum()), dtype=LIVE)
+            chosen["gram"], chosen["hot"] = part[mine > 1], mine[mine > 1] > hot
             if len(chosen):
                 out.append({"bucket": bucket, "block": block, "payload": chosen.tobytes()})
         yield pa.RecordBatch.from_pylist(out, schema=DEALT_ARROW)
@@ -219,9 +230,24 @@ class LoserTree:
                 node >>= 1
 
 
+def class_heads(head: bytes, text: bytes, at: int, first: int, last: int, gram: int, length: int) -> Iterator[bytes]:
+    """The heads under which an entry of a hot gram stands: hashes of the gram and of the bytes that a class of strings has about it.
+
+    The class number k has the strings with k * step to (k + 1) * step - 1 bytes behind the gram; an entry's strings
+    start from first to last.
+    """
+    spare = length - gram
+    step = -(-(spare + 1) // CLASSES)
+    least, most = spare - (at - first), spare - (at - last)
+    for k in range(least // step, most // step + 1):
+        left, right = max(0, spare - (k + 1) * step + 1), k * step
+        around = text[at - left : at] + b"|" + text[at + gram : at + gram + right]
+        yield hashlib.blake2b(head + bytes([k]) + around, digest_size=HEAD).digest()
+
+
 def _sort_runs(batches: Iterator[pa.RecordBatch], folder: str, length: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """Sorted front-coded runs of live entries, by bucket."""
-    live, gram = Kept(folder, "live-", np.dtype("<u8")), gram_of(length)
+    live, gram = Kept(folder, "live-", LIVE), gram_of(length)
     texts: list[bytes] = []
     owns: list[int] = []
     places: list[tuple[int, int, int]] = []
@@ -252,14 +278,16 @@ def _sort_runs(batches: Iterator[pa.RecordBatch], folder: str, length: int, buck
             if len(text) < length or not len(known):
                 continue
             where, grams, first, last = anchors(np.frombuffer(text, dtype=np.uint8), length, gram)
-            slots = np.searchsorted(known, grams)
+            slots = np.searchsorted(known["gram"], grams)
             slots[slots == len(known)] = 0
-            hits = np.flatnonzero(known[slots] == grams)
-            for at, head, a, b in zip(where[hits].tolist(), grams[hits].tolist(), first[hits].tolist(), last[hits].tolist(), strict=True):
-                texts.append(head.to_bytes(HEAD, "big") + text[a : b + length])
-                owns.append(at - a)
-                places.append((block, row, a))
-                size += b + length - a + 100
+            hits = np.flatnonzero(known["gram"][slots] == grams)
+            for at, value, hot, a, b in zip(where[hits].tolist(), grams[hits].tolist(), known["hot"][slots[hits]].tolist(), first[hits].tolist(), last[hits].tolist(), strict=True):
+                head = value.to_bytes(HEAD, "big")
+                for key in class_heads(head, text, at, a, b, gram_of(length), length) if hot else (head,):
+                    texts.append(key + text[a : b + length])
+                    owns.append(at - a)
+                    places.append((block, row, a))
+                    size += b + length - a + 100
             if size >= RUN_BYTES:
                 yield from flush()
                 size = 0
@@ -382,7 +410,7 @@ def remaining(text: bytes, ranges: list[tuple[int, int]]) -> bytes:
     return b"".join(parts)
 
 
-def find_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> str:
+def find_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> str:
     """Runs the sort; returns the folder whose span files the rows' blocks read."""
     folder = shared_folder(spark, "suffixes")
     rows = addressed(docs, "text")
@@ -391,8 +419,8 @@ def find_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH) ->
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(blocks.agg(F.sum("bytes")).first()[0] or 0) // BUCKET_BYTES))
     dealt = lambda made, key: made.repartition(buckets, key).sortWithinPartitions(key)
     grams = rows.mapInArrow(lambda batches: _post_grams(batches, length, buckets), DEALT)
-    live = dealt(grams, "bucket").mapInArrow(_live_grams, DEALT).select("block", "payload")
-    dealt(live.unionByName(nothing), "block").mapInArrow(lambda batches: keep_by_block(batches, folder, "live-", np.dtype("<u8"), None), "block long, n long").agg(F.sum("n")).collect()
+    live = dealt(grams, "bucket").mapInArrow(lambda batches: _live_grams(batches, hot), DEALT).select("block", "payload")
+    dealt(live.unionByName(nothing), "block").mapInArrow(lambda batches: keep_by_block(batches, folder, "live-", LIVE, ["gram", "hot"]), "block long, n long").agg(F.sum("n")).collect()
     runs = rows.mapInArrow(lambda batches: _sort_runs(batches, folder, length, buckets), DEALT)
     spans = dealt(runs, "bucket").mapInArrow(lambda batches: _merge_runs(batches, length), DEALT).select("block", "payload")
     dealt(spans.unionByName(nothing), "block").mapInArrow(lambda batches: keep_by_block(batches, folder, "span-", SPAN, ["row", "start", "end"]), "block long, n long").agg(F.sum("n")).collect()
@@ -412,11 +440,11 @@ def _digest(text: bytes, ranges: list[tuple[int, int]]) -> tuple[int, int, int,
     return len(text), sum(b - a for a, b in ranges), len(ranges), hashlib.sha256(remaining(text, ranges)).hexdigest()
 
 
-def repeat_digests(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeat_digests(spark: SparkSession, docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     small_batches(spark)
     docs = on_files(spark, docs, "suffix-docs")
-    folder = find_repeats(spark, docs, length)
+    folder = find_repeats(spark, docs, length, hot)
     schema = pa.schema([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("doc_id", pa.int64())])
     rows = addressed(docs, "text", "doc_id").withColumn("doc_id", F.col("doc_id").cast("long"))
     made = rows.mapInArrow(lambda batches: _each_row(batches, folder, _digest, schema), "n_bytes long, n_removed long, n_spans long, kept_sha256 string, doc_id long")
