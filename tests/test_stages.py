@@ -2,6 +2,7 @@
 
 import io
 import json
+import random
 import struct
 import zipfile
 
@@ -125,6 +126,43 @@ def test_tagging_moves_no_rows(spark, known):
     assert "Exchange" not in plan and "Join" not in plan and plan.count("ArrowEvalPython") >= 1
 
 
+def test_simplified_shapes_are_those_of_one_place(spark):
+    rng = random.Random(3)
+    jag = lambda a, b, n: [(a[0] + (b[0] - a[0]) * k / n + (rng.random() - 0.5) * 0.02 * (0 < k < n), a[1] + (b[1] - a[1]) * k / n + (rng.random() - 0.5) * 0.02 * (0 < k < n)) for k in range(n)]
+    corner = {(i, j): (i * 1.0, j * 1.0) for i in range(4) for j in range(4)}
+    sides = {}
+    side = lambda a, b: sides.setdefault((a, b), [*jag(corner[a], corner[b], 15), corner[b]]) if a < b else side(b, a)[::-1]
+    shapes = {}
+    for i in range(3):
+        for j in range(3):
+            around = [(i, j), (i + 1, j), (i + 1, j + 1), (i, j + 1), (i, j)]
+            ring = [p for a, b in zip(around, around[1:], strict=False) for p in side(a, b)[:-1]]
+            shapes[f"{i}{j}"] = [[*ring, ring[0]]]
+    hole = [(1.4 + 0.001 * (k % 2), 1.4 + 0.01 * k) for k in range(8)] + [(1.6, 1.5), (1.6, 1.4)]
+    island = [*hole[4:], *hole[:4], hole[4]][::-1]
+    shapes["11"].append([*hole, hole[0]])
+    shapes["in"] = [island]
+    shapes["dot"] = [square(9.0, 9.0, 0.00001)]
+    df = spark.createDataFrame([(name, rings) for name, rings in shapes.items()], "geoid string, rings array<array<struct<x:double,y:double>>>").repartition(4)
+    got = {r.geoid: [[(p.x, p.y) for p in ring] for ring in r.rings] for r in coverage.simplified_shapes(df, 0.05, 0.0001).collect()}
+    assert got == {name: rings for name, rings in outlines.simplified(shapes, 0.05, 0.0001).items() if rings}
+    assert sum(len(ring) for rings in got.values() for ring in rings) < 0.4 * sum(len(ring) for rings in shapes.values() for ring in rings)
+
+
+def test_row_groups_outside_are_not_read(spark, tmp_path):
+    layer = spark.range(40_000).selectExpr("id", "struct(cast(-120 + id * 7919 % 50000 / 1000.0 as double) as xmin, cast(25 + id * 104729 % 24000 / 1000.0 as double) as ymin) as bbox", "repeat(cast(id as string), 40) as more")
+    sinks.write_layer(layer, str(tmp_path / "layer"), 64 << 10)
+    box = (F.col("bbox.xmin") >= -100) & (F.col("bbox.xmin") <= -98) & (F.col("bbox.ymin") >= 30) & (F.col("bbox.ymin") <= 32)
+    found = spark.read.parquet(str(tmp_path / "layer")).where(box).select("id")
+    assert sorted(r.id for r in found.collect()) == sorted(r.id for r in layer.where(box).select("id").collect())
+    plan = found._jdf.queryExecution().executedPlan()
+    assert "PushedFilters: [" in plan.toString() and "bbox.xmin" in plan.toString()
+    leaf = plan.collectLeaves().head()
+    leaf = leaf.child() if hasattr(leaf, "child") and "FileScan" not in leaf.nodeName() and "Scan" not in leaf.nodeName() else leaf
+    read = leaf.metrics().get("numOutputRows").get().value()
+    assert 0 < read < 40_000 / 5
+
+
 def test_history_rules(spark):
     series = lambda day, n, *geoids: spark.createDataFrame([(g, n) for g in geoids], "geoid string, n long")
     empty = spark.createDataFrame([("1", "2024-01-01", 5, "old", "monthly"), ("2", "2024-01-01", 6, "old", "monthly")], "geoid string, day string, n long, source string, interval string")
@@ -250,7 +288,7 @@ def test_layers_are_read_by_pages(tmp_path):
         low, high = (int(x) for x in query["where"].split() if x.isdigit())
         return {"features": [{"attributes": rows[i], "geometry": {"x": i, "y": -i}} for i in sorted(rows) if low <= i <= high]}
 
-    source = registry.Source("s", "KS", "n", "p", "arcgis", "http://x/0", {}, {"Add_Number": "n", "Longitude": "_lon", "Latitude": "_lat"}, "OID")
+    source = registry.Source("s", "KS", "n", "p", registry.Access("arcgis", "http://x/0"), {}, registry.Layout({"Add_Number": "n", "Longitude": "_lon", "Latitude": "_lat"}, "OID"))
     path = remote.fetch_source(source, tmp_path, get)
     assert path.read_text().splitlines() == ["OID,n,_lon,_lat", "3,3,3,-3", "4,4,4,-4", "7,7,7,-7", "12,12,12,-12"]
     tries = []

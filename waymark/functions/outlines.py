@@ -1,4 +1,8 @@
-"""Simpler outlines of neighbouring polygons whose common borders stay common; for some thousands of shapes, on the driver."""
+"""Simpler outlines of neighbouring polygons whose common borders stay common.
+
+A border is simplified from its own points alone, in a direction that both sides agree on, so rings can be made one by
+one, given the junctions on them: see stages/coverage.py for the same over tasks.
+"""
 
 from __future__ import annotations
 
@@ -66,9 +70,8 @@ def simpler(arc: Ring, least: float) -> Ring:
     return [point for k, point in enumerate(arc) if k in size or k in (0, len(arc) - 1)]
 
 
-def simplified(shapes: dict[str, list[Ring]], tolerance: float, grid: float) -> dict[str, list[Ring]]:
-    """The shapes with each border simplified once, on a grid of points; rings that vanish are left out."""
-    junctions = _junctions(shapes)
+def simpler_ring(ring: Ring, junctions: set[Point], tolerance: float, grid: float) -> Ring | None:
+    """The ring with each border between junctions simplified, on a grid of points; None if it vanishes."""
     digits = max(0, round(-math.log10(grid)))
 
     def border(arc: Ring) -> Ring:
@@ -76,17 +79,15 @@ def simplified(shapes: dict[str, list[Ring]], tolerance: float, grid: float) ->
         made = [(round(x, digits), round(y, digits)) for x, y in simpler(forward, tolerance * tolerance)]
         return made if forward is arc else made[::-1]
 
-    out = {}
-    for name, rings in shapes.items():
-        made = []
-        for ring in rings:
-            points = [border(arc) for arc in _arcs(ring, junctions)]
-            joined = [p for arc in points for p in arc[:-1]]
-            joined = [p for k, p in enumerate(joined) if p != joined[k - 1]]
-            if len(joined) > 2:
-                made.append([*joined, joined[0]])
-        out[name] = made
-    return out
+    joined = [p for arc in _arcs(ring, junctions) for p in border(arc)[:-1]]
+    joined = [p for k, p in enumerate(joined) if p != joined[k - 1]]
+    return [*joined, joined[0]] if len(joined) > 2 else None
+
+
+def simplified(shapes: dict[str, list[Ring]], tolerance: float, grid: float) -> dict[str, list[Ring]]:
+    """The shapes with each border simplified once, for a few of them; rings that vanish are left out."""
+    junctions = _junctions(shapes)
+    return {name: [made for ring in rings if (made := simpler_ring(ring, junctions, tolerance, grid))] for name, rings in shapes.items()}
 
 
 def ring_area(ring: Ring) -> float:

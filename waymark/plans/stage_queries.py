@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from waymark.operators import spatial
 from waymark.plans.address_queries import BOX, boxes, located, place, query, read
 from waymark.plans.rule_queries import known_places
+from waymark.sources import sinks
+from waymark.sources.shared import shared_folder
 from waymark.stages import counts, coverage, deduplication, filling, review
 
 NOTHING = "array<string>"
@@ -162,10 +164,13 @@ def deduplicated_points(spark, d):
 
 
 def _layer(spark, d):
-    """Customers twice as elements of a map layer with a bounding box; every seventh has no house number."""
+    """Customers twice as elements of a map layer, written in the order that lets row groups be skipped; every seventh has no house number."""
     rows = located(read(spark, d, "customer"), "c_custkey")
     box = F.struct(F.col("lon").alias("xmin"), F.col("lat").alias("ymin"), F.col("lon").alias("xmax"), F.col("lat").alias("ymax"))
-    return rows.select(F.explode(F.array(F.lit("node"), F.lit("way"))).alias("type"), F.col("c_custkey").alias("id"), F.when(F.col("c_custkey") % 7 != 0, "1").alias("addr:housenumber"), F.timestamp_seconds(F.col("c_custkey") * 1000).alias("timestamp"), box.alias("bbox"))
+    elements = rows.select(F.explode(F.array(F.lit("node"), F.lit("way"))).alias("type"), F.col("c_custkey").alias("id"), F.when(F.col("c_custkey") % 7 != 0, "1").alias("addr:housenumber"), F.timestamp_seconds(F.col("c_custkey") * 1000).alias("timestamp"), box.alias("bbox"))
+    folder = shared_folder(spark, "layer")
+    sinks.write_layer(elements, folder)
+    return spark.read.parquet(folder)
 
 
 _BOXES = {"west": (-121.0, 24.0, -100.0, 50.0), "east": (-100.0, 24.0, -65.0, 50.0)}
@@ -216,3 +221,17 @@ def typo_candidates(spark, d):
     points = unknown.unionByName(known).where("addr_city is not null")
     hamlets = spark.createDataFrame([("KS", "Jonah", -97.0, 38.0)], "state string, name string, lon double, lat double")
     return review.typo_candidates(points, _state_shapes(spark, d, 4.0, 3.0), hamlets, known_places(spark))
+
+
+@query("""SELECT n_name AS geoid, 5::BIGINT AS n_points, 4.0 AS area, 2.0::DOUBLE * (n_nationkey % 5) AS west, 2.0::DOUBLE * (n_nationkey // 5) AS south FROM nation""")
+def simplified_borders(spark, d):
+    """Squares side by side whose common borders have a point a little off: each side loses the same one, and they stay squares."""
+    k = F.col("n_nationkey")
+    x, y = 2.0 * (k % 5), 2.0 * F.floor(k / 5)
+    p = lambda px, py: F.struct(px.cast("double").alias("x"), py.cast("double").alias("y"))
+    ring = F.array(p(x, y), p(x + 1, y + 0.001), p(x + 2, y), p(x + 2.001, y + 1), p(x + 2, y + 2), p(x + 1, y + 2.001), p(x, y + 2), p(x + 0.001, y + 1), p(x, y))
+    made = coverage.simplified_shapes(read(spark, d, "nation").select(F.col("n_name").alias("geoid"), F.array(ring).alias("rings")), 0.05, 0.0001)
+    own = made.select("geoid", F.col("rings")[0].alias("r"))
+    area = F.expr("abs(aggregate(sequence(0, size(r) - 2), 0D, (a, i) -> a + r[i].x * r[i + 1].y - r[i + 1].x * r[i].y)) / 2")
+    least = lambda c: F.array_min(F.transform("r", lambda q: q[c]))
+    return own.select("geoid", F.size("r").cast("long").alias("n_points"), area.alias("area"), least("x").alias("west"), least("y").alias("south"))

@@ -126,13 +126,13 @@ def fetch_source(source, folder: Path, get: Callable[..., dict] = get_json, open
     target = folder / f"{source.id}.csv"
     if target.exists():
         return target
-    if source.protocol == "socrata":
-        return download(source.url, target, opener=opener)
-    if source.protocol != "arcgis":
-        raise ValueError(f"{source.id}: unknown protocol {source.protocol!r}")
-    mapped = [name for mapping in source.fields.values() for name in ([mapping] if isinstance(mapping, str) else mapping)]
-    columns = list(dict.fromkeys([*([source.record_id] if source.record_id else []), *mapped]))
-    write_rows(layer_rows(source.url, [c for c in columns if not c.startswith("_")], get, workers=source.workers), [*columns, *(c for c in ("_lon", "_lat") if c not in columns)], target)
+    access = source.access
+    if access.protocol == "socrata":
+        return download(access.url, target, opener=opener)
+    if access.protocol != "arcgis":
+        raise ValueError(f"{source.id}: rows cannot be fetched by {access.protocol!r}")
+    columns, position = source.layout.asked(), ("_lon", "_lat")
+    write_rows(layer_rows(access.url, [c for c in columns if c not in position], get, workers=access.side_by_side), [*columns, *(c for c in position if c not in columns)], target)
     return target
 
 

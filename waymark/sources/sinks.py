@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from waymark.functions.tiles import EXTENT, tile_number, world_units
+
 TAGS = ("housenumber", "street", "unit", "city", "state", "postcode")
 
 
@@ -33,3 +35,13 @@ def geojson_lines(points: DataFrame) -> DataFrame:
     properties = F.struct(*(F.col(f"addr_{tag}").alias(f"addr:{tag}") for tag in TAGS))
     feature = F.struct(F.lit("Feature").alias("type"), geometry.alias("geometry"), properties.alias("properties"))
     return points.where("drop_reason is null").select("addr_state", F.to_json(feature).alias("value"))
+
+
+def write_layer(rows: DataFrame, path: str, group_bytes: int = 8 << 20, zoom: int = 14) -> None:
+    """Elements with a struct bbox in the order of a space-filling curve, in small row groups, so that a reader that asks for boxes skips the others.
+
+    The box's corner decides; statistics of the struct's fields stand with each row group.
+    """
+    x, y = (F.floor(v / EXTENT).cast("long") for v in world_units(F.col("bbox.xmin"), F.col("bbox.ymin"), zoom))
+    placed = rows.withColumns({"zoom__": F.lit(zoom), "x__": x, "y__": y}).withColumn("place__", tile_number("zoom__", "x__", "y__"))
+    placed.repartitionByRange("place__").sortWithinPartitions("place__").drop("zoom__", "x__", "y__", "place__").write.mode("overwrite").option("parquet.block.size", group_bytes).option("compression", "zstd").parquet(path)

@@ -93,7 +93,7 @@ def build_sources(spark: SparkSession, sources: Sequence[Source], folder: str, r
         target = f"{folder}/{source.id}"
         publishing.write_single(raw_rows(rows_of(source), source, counties), target, source.state)
         n = spark.read.parquet(f"{target}/State={source.state}").count()
-        manifests.append({"id": source.id, "name": source.name, "publisher": source.publisher, "licence": dict(source.licence), "url": source.url, "rows": n, "fetched": datetime.now().astimezone().isoformat(timespec="seconds")})
+        manifests.append({"id": source.id, "name": source.title, "publisher": source.publisher, "licence": dict(source.terms), "url": source.access.url, "rows": n, "fetched": datetime.now().astimezone().isoformat(timespec="seconds")})
     return manifests
 
 
