@@ -17,16 +17,21 @@ LOCAL_DEFAULT = "/tmp/checkpoints"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir, or a fresh local one where it is unset."""
+    """The folder named by spark.checkpoint.dir, or set as the context's checkpoint folder; a fresh local one for a local session without either."""
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not getattr(context, "_waymark_root", None):
-        context._waymark_root = f"file://{LOCAL_DEFAULT}/waymark-{uuid.uuid4().hex[:12]}"
-        atexit.register(shutil.rmtree, local_path(context._waymark_root), ignore_errors=True)
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(context._waymark_root)
+    if getattr(context, "_waymark_root", None):
+        return context._waymark_root
+    given = context._jsc.sc().getCheckpointDir()
+    if given.isDefined():
+        return given.get()
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors see")
+    context._waymark_root = f"file://{LOCAL_DEFAULT}/waymark-{uuid.uuid4().hex[:12]}"
+    atexit.register(shutil.rmtree, local_path(context._waymark_root), ignore_errors=True)
+    context.setCheckpointDir(context._waymark_root)
     return context._waymark_root
 
 

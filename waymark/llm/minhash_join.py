@@ -30,7 +30,7 @@ then, and if no third text links the two, is it lost.
 
 Null and empty texts have no shingles and are linked with nothing. Rows that share a doc_id are one document,
 whatever their texts. A row with a null doc_id is compared with nothing: its component_id is null and it is
-kept. Extra columns are ignored; an empty table gives no rows.
+kept. Texts of any length are read whole. Extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ its tokens: full sequences and, for the last tokens, sequences whose lengths are
 padded. A pack never leaves its task: no shuffle, no driver work, and memory bounded by the pack.
 
 Null or empty texts are packed as their end id alone; rows that repeat, or have a null doc_id, are packed each
-for itself; extra columns are ignored; an empty table gives no rows.
+for itself. Pieces of equal cost go in order of their place, sequences of equal cost by number. Texts longer than a
+sequence are cut; texts of any length are encoded whole. Extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ Values are ids as little-endian unsigned 16- or 32-bit integers, as the shard's
 
 Documents are range-partitioned and sorted by id; each task writes one shard under a temporary name and
 renames it, so a task that is run again leaves the same shard. The driver receives one short row per shard.
-Null texts count as empty; rows that repeat are stored each, in the order of their texts' bytes; an empty
+Null texts count as empty; rows that repeat are stored each, in the order of their texts' bytes. A text of any
+length is one value, in a block of its own if it fills one. Extra columns are ignored, whatever their names; an empty
 table gives no rows.
 """
 

@@ -30,7 +30,8 @@ shifts are aggregated partially, and no text's or window's rows are gathered bey
 
 A text is told from others by its id and its hash, so that texts under one id, or under none, are judged each by
 itself. Null and empty texts have no windows; rows that share an id share its result; texts without an id are
-reported and dropped each by itself, with a null id; extra columns are ignored; an empty table gives no rows.
+reported and dropped each by itself, with a null id. Texts of any length are read whole, a row at a time. Extra
+columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations

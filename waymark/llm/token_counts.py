@@ -12,8 +12,9 @@ Texts are split at spaces and newlines before the library's own normaliser and p
 word; neither of them joins or looks across white space. Added tokens' strings inside texts count as one
 token each, as in the library's default.
 
-Null and empty texts have no tokens and no bytes; repeated rows and null ids give a row each; extra columns are
-ignored; an empty table gives no rows.
+Null and empty texts have no tokens and no bytes; repeated rows and null ids give a row each. A text of any length is
+read whole and stands in one block, which it may make larger than others. Extra columns are ignored; an empty table
+gives no rows.
 """
 
 from __future__ import annotations

@@ -10,8 +10,8 @@ digests with several pages are joined back, so one payload that a third of all p
 join; its page side is split by adaptive execution. Files are written under temporary names and renamed.
 
 A null html is an empty payload. Rows with the same page_id and payload are all responses where that id is the
-smallest; a null page_id refers to the smallest id, or is a response if its payload has none. Extra columns are
-ignored; an empty table gives no rows.
+smallest; a null page_id refers to the smallest id, or is a response if its payload has none. A payload of any length
+is one record in one frame. Extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
