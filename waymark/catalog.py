@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from waymark.plans import address_queries, output_queries, rule_queries, stage_queries  # noqa: F401
+from waymark.plans import address_queries, output_queries, rule_queries, stage_queries, word_queries  # noqa: F401
 
 FLAGSHIP = "dedup_verdict"
 
@@ -12,7 +12,6 @@ def queries() -> dict:
     return dict(address_queries.QUERIES)  # the other modules add theirs to it
 
 
-
 def oracle_sql() -> dict[str, str]:
     """Name to DuckDB SQL."""
     return dict(address_queries.SQL)
