@@ -223,7 +223,7 @@ def typo_candidates(spark, d):
     return review.typo_candidates(points, _state_shapes(spark, d, 4.0, 3.0), hamlets, known_places(spark))
 
 
-@query("""SELECT n_name AS geoid, 5::BIGINT AS n_points, 4.0 AS area, 2.0::DOUBLE * (n_nationkey % 5) AS west, 2.0::DOUBLE * (n_nationkey // 5) AS south FROM nation""")
+@query("""SELECT n_name AS geoid, 5::BIGINT AS n_points, 4.0::DOUBLE AS area, 2.0::DOUBLE * (n_nationkey % 5) AS west, 2.0::DOUBLE * (n_nationkey // 5) AS south FROM nation""")
 def simplified_borders(spark, d):
     """Squares side by side whose common borders have a point a little off: each side loses the same one, and they stay squares."""
     k = F.col("n_nationkey")
