@@ -6,6 +6,7 @@ import random
 import struct
 import zipfile
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,8 +80,31 @@ def test_points_in_polygons_with_small_cells(spark):
             want[k] = "in"
         elif 4 < x < 7 and 0 < y < 3:
             want[k] = "next"
-    for cell in (0.25, 1.0, 7.0):
-        assert {r.id: r.name for r in spatial.points_in_polygons(points, shapes, "id", "name", cell=cell).collect()} == want
+    for most, deepest in ((64, 6), (1, 6), (2, 3), (0, 2)):
+        assert {r.id: r.name for r in spatial.points_in_polygons(points, shapes, "id", "name", most=most, deepest=deepest).collect()} == want
+
+
+def test_a_polygon_of_very_many_corners(spark):
+    """No cell holds more than some edges of it, and the points are those of a plain test."""
+    rng, n = np.random.default_rng(8), 20_000
+    angle = np.linspace(0, 2 * np.pi, n, endpoint=False)
+    radius = 2 + 0.3 * np.sin(9 * angle) + 0.02 * rng.random(n)
+    ring = np.round(np.column_stack([-97 + radius * np.cos(angle), 38 + radius * np.sin(angle)]), 7)
+    ring = [*map(tuple, ring.tolist()), tuple(ring[0].tolist())]
+    shapes = layer(spark, [("star", "A", [ring, square(-97.5, 37.5, 1.0)]), ("box", "A", [square(-99.5, 35.5, 0.25)])])
+    cells, last = spatial.tree_cells(shapes.select("name", "rings"))
+    largest = cells.agg(F.max(F.size("edges"))).first()[0]
+    assert 0 < last <= spatial.DEEPEST and (largest <= spatial.MOST_EDGES or last == spatial.DEEPEST and largest < 300)
+    at = np.column_stack([rng.uniform(-99.6, -94.4, 3000), rng.uniform(35.4, 40.6, 3000)])
+    near = np.array(ring)[rng.integers(0, n, 1000)] + rng.normal(0, 0.002, (1000, 2))
+    points = np.concatenate([at, near])
+    a, b = np.array(ring[:-1]), np.array(ring[1:])
+    crossed = np.array([(((a[:, 1] > y) != (b[:, 1] > y)) & (x < (b[:, 0] - a[:, 0]) * (y - a[:, 1]) / np.where(b[:, 1] == a[:, 1], 1, b[:, 1] - a[:, 1]) + a[:, 0])).sum() % 2 for x, y in points])
+    hole = (np.abs(points[:, 0] + 97) < 0.5) & (np.abs(points[:, 1] - 38) < 0.5)
+    box = (np.abs(points[:, 0] + 99.375) < 0.125) & (np.abs(points[:, 1] - 35.625) < 0.125)
+    want = {k: "box" if box[k] else "star" for k in range(len(points)) if box[k] or crossed[k] and not hole[k]}
+    df = spark.createDataFrame([(k, *map(float, p)) for k, p in enumerate(points)], "id int, lon double, lat double")
+    assert {r.id: r.name for r in spatial.points_in_polygons(df, shapes, "id", "name").collect()} == want
 
 
 def test_neighbours_near_the_pole(spark):
