@@ -5,14 +5,15 @@ block with its own list of different words and their counts. Then, for phrases o
 
 * each block posts its different words, or pairs of names, with their counts to buckets by hash; a bucket's task sums
   them over all blocks, names what occurs LEAST times or more by an id, and replies to each block that posted;
-* replies go to a file for each block, and its sequence is rewritten in names, with a gap where there is none; two names
-  side by side are the next length's pair, since they overlap in all words but the outer two.
+* a block's replies and its sequence are a file each; the sequence is rewritten in names, with a gap where there is
+  none; two names side by side are the next length's pair, since they overlap in all words but the outer two.
 
 A phrase of k frequent words is a pair of frequent phrases of k - 1, so nothing frequent is lost and few others are
 counted. The pair is kept as the name's parents: a phrase's cuts are its parents' counts and its grandparents'; and a
 phrase is subsumed if one of its children, the phrases longer by a word, is nearly as frequent, because a child is at
 least as frequent as any longer phrase that holds it. Names are pairs of ids or whole words, never hashes, and an id is
-a bucket's number and a rank in it, so a task that runs again gives the same.
+a bucket's number and a rank in it, so a task that runs again gives the same. A block is called by a hash of its
+sequence and place; should a task that runs again see its rows in another order, its blocks get other names and files.
 
 Blocks hold BLOCK_WORDS words or one text, whichever is more; buckets are as many as spark.sql.shuffle.partitions, or
 more, so that one holds BUCKET entries or so. Those bound what a task holds. A word that every text has is one entry a
@@ -50,10 +51,13 @@ GROUP = 20
 NO_LANGUAGE = "und"
 GAP, NOTHING = -1, -2
 
-#: Rows of the kinds seq (a block's sequence; n: its words), post (a block's entries of a bucket, in order of their
-#: numbers in the sequence from n on), reply (ids of a post's entries; n as there) and names (a bucket's).
-PARCELS = "kind string, block long, lang string, bucket int, n long, payload binary"
-PARCELS_ARROW = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("lang", pa.string()), ("bucket", pa.int32()), ("n", pa.int64()), ("payload", pa.binary())])
+#: Posts: a block's entries of a bucket, in order of their numbers in the sequence, from n on. Replies, by kind: ids of a
+#: post's entries (n as there), a bucket's names, and how often its entries occur in a language.
+POSTS = "block long, lang string, bucket int, n long, payload binary"
+REPLIES = f"kind string, {POSTS}"
+POSTS_ARROW = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("bucket", pa.int32()), ("n", pa.int64()), ("payload", pa.binary())])
+REPLIES_ARROW = pa.schema([("kind", pa.string()), *POSTS_ARROW])
+BLOCKS = "block long, lang string"
 WORD_NAMES = "lang string, word string, f long, id long"
 PAIR_NAMES = "l long, r long, f long, id long"
 
@@ -81,8 +85,8 @@ def _unpacked_words(payload: bytes) -> tuple[list[str], list[int]]:
     return words, list(map(int, n.split(" ")))
 
 
-def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(column, kind.type) for column, kind in zip(zip(*rows, strict=True), PARCELS_ARROW, strict=True)], schema=PARCELS_ARROW)
+def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(column, kind.type) for column, kind in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
 class _Words(dict):
@@ -96,11 +100,20 @@ class _Words(dict):
         return number
 
 
-def _sequence(seq: np.ndarray) -> bytes:
-    """The sequence, packed, with one gap where there are several."""
+def _keep(files: SharedFiles, seq: np.ndarray, place: int) -> int:
+    """Writes a sequence, with one gap where there are several, and gives its block's name."""
     keep = np.ones(len(seq), dtype=bool)
     keep[1:] = (seq[1:] >= 0) | (seq[:-1] >= 0)
-    return _pack(seq[keep])
+    payload = _pack(seq[keep] + 1)  # gaps as zeros, which pack well
+    name = xxhash.xxh3_64_intdigest(payload, seed=place & 0xFFFFFFFFFFFFFFFF) - (1 << 63)
+    files.write(f"seq-{name}", iter([payload]))
+    return name
+
+
+def _cut(of: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(bucket, from, to) of each bucket's entries, which stand together."""
+    cuts = np.flatnonzero(np.diff(of, prepend=-1))
+    return zip(of[cuts].tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(of)], strict=True)
 
 
 class _Block:
@@ -115,7 +128,7 @@ class _Block:
         self.size += (found := int((numbers >= 0).sum()))
         return found
 
-    def parcels(self, block: int, lang: str, buckets: int) -> Iterator[pa.RecordBatch]:
+    def posts(self, files: SharedFiles, place: int, lang: str, buckets: int) -> Iterator[pa.RecordBatch]:
         words = list(self.words)[2:]
         if not words:
             return
@@ -125,23 +138,19 @@ class _Block:
         order = np.argsort(of, kind="stable")
         number = np.empty(len(words) + 1, dtype=np.int64)
         number[order], number[-1] = np.arange(len(words)), GAP
-        out = [("seq", block, lang, -1, self.size, _sequence(number[seq]))]
-        cuts = np.flatnonzero(np.diff(of[order], prepend=-1))
-        for a, z in zip(cuts.tolist(), [*cuts[1:].tolist(), len(words)], strict=True):
-            mine = order[a:z]
-            out.append(("post", block, lang, int(of[mine[0]]), a, _packed_words([words[i].decode() for i in mine], counts[mine].tolist())))
-        yield _rows(out)
+        block = _keep(files, number[seq], place)
+        yield _rows([(block, lang, bucket, a, _packed_words([words[i].decode() for i in order[a:z]], counts[order[a:z]].tolist())) for bucket, a, z in _cut(of[order])], POSTS_ARROW)
 
 
-def _text_blocks(batches: Iterator[pa.RecordBatch], block_words: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    number = TaskContext.get().partitionId() << 32
+def _text_blocks(batches: Iterator[pa.RecordBatch], folder: str, block_words: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    files, number = SharedFiles(folder), TaskContext.get().partitionId() << 32
     held: dict[str, _Block] = {}
     total = 0
 
     def flush() -> Iterator[pa.RecordBatch]:
         nonlocal number, total
         for lang, block in held.items():
-            yield from block.parcels(number, lang, buckets)
+            yield from block.posts(files, number, lang, buckets)
             number += 1
         held.clear()
         total = 0
@@ -154,25 +163,25 @@ def _text_blocks(batches: Iterator[pa.RecordBatch], block_words: int, buckets: i
     yield from flush()
 
 
-def _known(payloads: Iterator[tuple[int, bytes]]) -> bytes:
-    """A block's numbers that have a name, and their ids."""
-    parts = [(n + places, ids) for n, payload in payloads for places, ids in [_unpack(payload, 2)]]
-    return _pack(np.concatenate([p for p, _ in parts]), np.concatenate([i for _, i in parts]))
-
-
 def _file_replies(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+    """Rows (block, lang, n, payload) in order of block, to a file of each block's numbers that have a name, and their ids."""
     files = SharedFiles(folder)
     for block, rows in grouped(batches):
-        files.write(f"known-{block}", iter([_known(rows)]))
-        yield pa.RecordBatch.from_pydict({"block": [block]})
+        parts, lang = [], None
+        for lang, n, payload in rows:
+            places, ids = _unpack(payload, 2)
+            parts.append((n + places, ids))
+        files.write(f"known-{block}", iter([_pack(*(np.concatenate([part[k] for part in parts]) for k in (0, 1)))]))
+        yield pa.RecordBatch.from_pydict({"block": [block], "lang": [lang]})
 
 
-def _pair_blocks(batches: Iterator[pa.RecordBatch], folder: str, buckets: int, last: bool) -> Iterator[pa.RecordBatch]:
+def _pair_blocks(batches: Iterator[pa.RecordBatch], folder: str, target: str, buckets: int, last: bool) -> Iterator[pa.RecordBatch]:
     """Rewrites blocks in names and posts their pairs; after the last pairs no sequence is needed."""
-    files = SharedFiles(folder)
+    files, made = SharedFiles(folder), SharedFiles(target)
     for batch in batches:
-        for block, lang, payload in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-            (seq,) = _unpack(payload, 1)
+        for block, lang in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            with files.open(f"seq-{block}") as file:
+                seq = _unpack(file.read(), 1)[0] - 1
             with files.open(f"known-{block}") as file:
                 places, ids = _unpack(file.read(), 2)
             names = np.full(int(seq.max(initial=0)) + 2, GAP, dtype=np.int64)
@@ -185,18 +194,13 @@ def _pair_blocks(batches: Iterator[pa.RecordBatch], folder: str, buckets: int, l
             l, r = known[pairs // len(known)], known[pairs % len(known)]
             of = (mix(mix(l.astype(np.uint64)) + r.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(of, kind="stable")  # within a bucket by l, then r
-            place = np.empty(len(pairs), dtype=np.int64)
-            place[order] = np.arange(len(pairs))
-            out = []
             if not last:
+                place = np.empty(len(pairs), dtype=np.int64)
+                place[order] = np.arange(len(pairs))
                 found = np.full(len(seq), GAP, dtype=np.int64)
                 found[both] = place[number]
-                out.append(("seq", block, lang, -1, len(both), _sequence(found)))
-            cuts = np.flatnonzero(np.diff(of[order], prepend=-1))
-            for a, z in zip(cuts.tolist(), [*cuts[1:].tolist(), len(pairs)], strict=True):
-                mine = order[a:z]
-                out.append(("post", block, lang, int(of[mine[0]]), a, _pack(np.diff(l[mine], prepend=0), r[mine], n[mine])))
-            yield _rows(out)
+                block = _keep(made, found, block)
+            yield _rows([(block, lang, bucket, a, _pack(np.diff(l[order[a:z]], prepend=0), r[order[a:z]], n[order[a:z]])) for bucket, a, z in _cut(of[order])], POSTS_ARROW)
 
 
 def _reply(bucket: int, posts: list[tuple[int, str, int]], sizes: list[int], of: np.ndarray, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -205,7 +209,7 @@ def _reply(bucket: int, posts: list[tuple[int, str, int]], sizes: list[int], of:
     for (block, lang, n), size in zip(posts, sizes, strict=True):
         mine = ids[of[at : at + size]]
         places = np.flatnonzero(mine >= 0)
-        yield _rows([("reply", block, lang, bucket, n, _pack(places, mine[places]))])
+        yield _rows([("reply", block, lang, bucket, n, _pack(places, mine[places]))], REPLIES_ARROW)
         at += size
 
 
@@ -234,12 +238,16 @@ def _name_words(batches: Iterator[pa.RecordBatch], least: int, buckets: int) ->
         of = np.array([number[lang, word] for (_, lang, _), words in zip(posts, listed, strict=True) for word in words], dtype=np.int64)
         yield from _reply(bucket, posts, list(map(len, listed)), of, ids)
         by_lang: dict[str, list] = {}
+        sums: Counter = Counter()
+        for (lang, _), n in totals.items():
+            sums[lang] += n
+        yield _rows([("total", None, lang, bucket, n, None) for lang, n in sums.items()], REPLIES_ARROW)
         for (lang, word), k in zip(order, ids.tolist(), strict=True):
             if k >= 0:
                 by_lang.setdefault(lang, []).append((word, totals[lang, word], k))
         for lang, found in by_lang.items():
             words, f, k = zip(*found, strict=True)
-            yield _rows([("names", None, lang, bucket, len(words), _packed_words([*words], [*f, *k]))])
+            yield _rows([("names", None, lang, bucket, len(words), _packed_words([*words], [*f, *k]))], REPLIES_ARROW)
 
 
 def _name_pairs(batches: Iterator[pa.RecordBatch], least: int, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -259,9 +267,10 @@ def _name_pairs(batches: Iterator[pa.RecordBatch], least: int, buckets: int) ->
         totals = np.add.reduceat(count[order], np.flatnonzero(fresh))
         ids = _ids(totals, least, bucket, buckets)
         yield from _reply(bucket, posts, [len(part[0]) for part in parts], of, ids)
+        yield _rows([("total", None, None, bucket, int(totals.sum()), None)], REPLIES_ARROW)
         often = ids >= 0
         if often.any():
-            yield _rows([("names", None, None, bucket, int(often.sum()), _pack(l[first][often], r[first][often], totals[often], ids[often]))])
+            yield _rows([("names", None, None, bucket, int(often.sum()), _pack(l[first][often], r[first][often], totals[often], ids[often]))], REPLIES_ARROW)
 
 
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,15 +286,6 @@ def _pair_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict(dict(zip("l r f id".split(), _unpack(payload, 4), strict=True)))
 
 
-def _parcels(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    """Parcels written once, in a folder for each kind."""
-    at = shared_folder(spark, "phrase-parcels")
-    rows.write.partitionBy("kind").option("compression", "none").parquet(at)
-    made = spark.read.schema("block long, lang string, bucket int, n long, payload binary, kind string").parquet(at)
-    made._waymark_at = at
-    return made
-
-
 def _remove(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
@@ -295,24 +295,22 @@ def _buckets(spark: SparkSession, entries: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-entries // BUCKET))
 
 
-def _named(spark: SparkSession, blocks: DataFrame, merge: Callable, least: int, buckets: int) -> DataFrame:
-    """Replies and names of what was posted, summed over all blocks; the posts are read here alone, and removed."""
-    posts = blocks.where("kind = 'post'").select("bucket", "block", "lang", "n", "payload").repartition("bucket").sortWithinPartitions("bucket", "block")
-    named = _parcels(spark, posts.mapInArrow(lambda batches: merge(batches, least, buckets), PARCELS))
-    _remove(spark, f"{blocks._waymark_at}/kind=post")
-    return named
+def _named(spark: SparkSession, posts: DataFrame, merge: Callable, least: int, buckets: int) -> DataFrame:
+    """Replies, names and totals of what is posted, written once, in a folder for each kind."""
+    dealt = posts.select("bucket", "block", "lang", "n", "payload").repartition("bucket").sortWithinPartitions("bucket", "block", "n")
+    at = shared_folder(spark, "phrase-replies")
+    dealt.mapInArrow(lambda batches: merge(batches, least, buckets), REPLIES).write.partitionBy("kind").option("compression", "none").parquet(at)
+    made = spark.read.schema(f"{POSTS}, kind string").parquet(at)
+    made._waymark_at = at
+    return made
 
 
-def _rewritten(spark: SparkSession, blocks: DataFrame, named: DataFrame, buckets: int, last: bool) -> DataFrame:
-    """The next blocks: each reads its names from its own file. What they were made from is removed."""
-    folder = shared_folder(spark, "phrase-known")
-    replies = named.where("kind = 'reply'").select("block", "n", "payload").repartition("block").sortWithinPartitions("block", "n")
-    replies.mapInArrow(lambda batches: _file_replies(batches, folder), "block long").write.format("noop").mode("overwrite").save()
-    discard(spark, named)
-    made = _parcels(spark, blocks.where("kind = 'seq'").select("block", "lang", "payload").mapInArrow(lambda batches: _pair_blocks(batches, folder, buckets, last), PARCELS))
-    discard(spark, blocks)
-    _remove(spark, folder)
-    return made
+def _posted_pairs(spark: SparkSession, named: DataFrame, folder: str, target: str, buckets: int, last: bool) -> DataFrame:
+    """The pairs of the blocks in folder, whose replies are filed there first; their next sequences go to target."""
+    replies = named.where("kind = 'reply'").select("block", "lang", "n", "payload").repartition("block").sortWithinPartitions("block", "n")
+    blocks = written(spark, replies.mapInArrow(lambda batches: _file_replies(batches, folder), BLOCKS), "phrase-blocks")
+    tasks = max(1, min(blocks.count(), 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return blocks.repartition(tasks).mapInArrow(lambda batches: _pair_blocks(batches, folder, target, buckets, last), POSTS)
 
 
 def _score(a: str, l: str, r: str) -> str:
@@ -364,21 +362,23 @@ def mine(spark: SparkSession, docs: DataFrame, least: int = LEAST, percent: int
     small_batches(spark)
     texts = docs.select(F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = _buckets(spark, size // 8)  # a word and its space have that many bytes or so; few are different
-    blocks = _parcels(spark, texts.mapInArrow(lambda batches: _text_blocks(batches, block_words, buckets), PARCELS))
-    counted = blocks.where("kind = 'seq'").groupBy("lang").agg(F.sum("n").alias("n"))
-    totals = written(spark, counted, "phrase-totals")
-    named = _named(spark, blocks, _name_words, least, buckets)
+    buckets, folder = _buckets(spark, size // 8), shared_folder(spark, "phrase-seqs")  # a word and its space have that many bytes or so; few are different
+    posts = texts.mapInArrow(lambda batches: _text_blocks(batches, folder, block_words, buckets), POSTS)
+    named = _named(spark, posts, _name_words, least, buckets)
+    totals = written(spark, named.where("kind = 'total'").groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
+    entries = totals.agg(F.sum("n")).first()[0] or 0
     words = named.where("kind = 'names'").select("lang", "payload").mapInArrow(_word_rows, WORD_NAMES)
     levels = [written(spark, words.select("id", "lang", "f", F.col("word").alias("phrase"), F.col("word").alias("last"), F.col("f").alias("head1"), F.col("f").alias("tail1")), "phrase-levels")]
-    entries = totals.agg(F.sum("n")).first()[0] or 0
     for k in range(2, WORDS + 1):
-        buckets = _buckets(spark, entries)
-        blocks = _rewritten(spark, blocks, named, buckets, k == WORDS)
-        named = _named(spark, blocks, _name_pairs, least, buckets)
+        before, buckets, target = named, _buckets(spark, entries), shared_folder(spark, "phrase-seqs")
+        posts = _posted_pairs(spark, before, folder, target, buckets, k == WORDS)
+        named = _named(spark, posts, _name_pairs, least, buckets)
+        discard(spark, before)
+        _remove(spark, folder)  # sequences and replies that have been rewritten
+        folder = target
+        entries = named.where("kind = 'total'").agg(F.sum("n")).first()[0] or 0
         pairs = named.where("kind = 'names'").select("lang", "payload").mapInArrow(_pair_rows, PAIR_NAMES)
         levels.append(written(spark, _with_parents(pairs, levels[-1], k), "phrase-levels"))
-        entries = blocks.where("kind = 'seq'").agg(F.sum("n")).first()[0] or 0
     rows = None
     for k in range(2, WORDS + 1):
         found = _candidates(levels[k - 1], levels[k] if k < WORDS else None, k, percent)
