@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from waymark import catalog
 from waymark.functions import casing, places, street, units
 from waymark.functions import rules as R
 from waymark.functions.columns import clean
@@ -97,6 +98,14 @@ def test_streets():
         assert street.street_name(*(cleaned(fields.get(c)) for c in names)) == (want, [f for f in flags.split(",") if f]), fields
 
 
+def test_street_rule_has_its_first_examples():
+    sql = catalog.oracle_sql()
+    assert "'Saint Brendan Road', 'expanded_st'" in sql["street_rule"] and "'Mount Saint Monica Way', 'expanded_st'" in sql["street_rule"]
+    assert "'Saint Barnabas Road', 'expanded_st'" in sql["tagged_release"] and len(golden.RELEASE_STREETS) == len(golden.STREETS)
+    for word, flag in (("BRENDAN", "expanded_st"), ("MONICA", "expanded_st"), ("DUNSTANS", "expanded_st"), ("BARNABAS", "expanded_st"), ("ZEBULON", "st_saint_unlisted")):
+        assert street.street_name(None, None, None, None, f"ST {word}", "Road", None, None) == (f"Saint {word.capitalize()} Road", [flag])
+
+
 def test_streets_take_a_list_of_saints():
     assert street.street_name(None, None, None, None, "ST ZEBULON", "Road", None, None, saints={"zebulon"}) == ("Saint Zebulon Road", ["expanded_st"])
 

@@ -17,7 +17,8 @@ from waymark.stages import tagging
 from waymark.stages.deduplication import county_name
 
 _STREET_FIELDS = tagging.STREET_INPUTS
-_STREET_ROWS = [(*(fields.get(c) for c in _STREET_FIELDS), k) for k, (fields, _, _) in enumerate(golden.STREETS)]
+_rows = lambda streets: [(*(fields.get(c) for c in _STREET_FIELDS), k) for k, (fields, _, _) in enumerate(streets)]
+_STREET_ROWS, _RELEASE_ROWS = _rows(golden.STREETS), _rows(golden.RELEASE_STREETS)
 _SORTED = lambda flags: ",".join(sorted(filter(None, flags.split(","))))
 _STREET_SQL = golden.sql_values([(street, flags) for _, street, flags in golden.STREETS], "street", "flags")
 _CITY_SQL = golden.sql_values([(city, _SORTED(flags)) for *_, city, flags in golden.CITIES], "city", "flags")
@@ -59,8 +60,8 @@ def city_rule(spark, d):
 def generated_release(spark: SparkSession, d: str) -> DataFrame:
     """A raw table over all orders: street examples with their state and county, house numbers, ZIP codes and life cycles by order key."""
     k = F.col("o_orderkey")
-    given = examples(spark, _STREET_ROWS, _STREET_FIELDS)
-    rows = read(spark, d, "orders").withColumn("k", k % len(golden.STREETS)).join(given, "k")
+    given = examples(spark, _RELEASE_ROWS, _STREET_FIELDS)
+    rows = read(spark, d, "orders").withColumn("k", k % len(golden.RELEASE_STREETS)).join(given, "k")
     made = {
         "OID_": k.cast("string"), "UUID": k.cast("string"), "Add_Number": F.when(k % 17 == 0, None).otherwise(F.concat(F.lit("00"), (k % 900).cast("string"))), "AddNum_Suf": F.when(k % 19 == 0, "a"),
         "Unit": F.when(k % 5 == 0, "apt 1"), "Post_City": F.when(k % 3 == 0, "MC PHERSON").when(k % 3 == 1, "Zone 4"), "State": F.coalesce("State", F.lit("KS")), "Zip_Code": F.when(k % 2 == 0, "67460").otherwise("674"),
@@ -69,9 +70,9 @@ def generated_release(spark: SparkSession, d: str) -> DataFrame:
     return rows.select(*(made.get(c, F.col(c) if c in given.columns else F.lit(None).cast("string")).alias(c) for c in RAW_COLUMNS))
 
 
-@query(f"""WITH g AS (SELECT * FROM {golden.sql_values([(s, f, fields.get('State', 'KS')) for fields, s, f in golden.STREETS], 'street', 'sflags', 'state')}),
+@query(f"""WITH g AS (SELECT * FROM {golden.sql_values([(s, f, fields.get('State', 'KS')) for fields, s, f in golden.RELEASE_STREETS], 'street', 'sflags', 'state')}),
 t AS (SELECT o_orderkey AS o, street, sflags, CASE WHEN o_orderkey % 17 = 0 THEN 'no_housenumber' WHEN o_orderkey % 900 = 0 THEN 'zero_housenumber' WHEN street IS NULL THEN sflags WHEN o_orderkey % 23 = 0 THEN 'inactive_lifecycle' END AS drop_reason,
-list_filter([CASE WHEN o_orderkey % 3 <> 0 THEN 'no_city' WHEN state <> 'KS' THEN 'city_not_in_reference' END, CASE WHEN o_orderkey % 2 = 1 THEN 'bad_postcode' END], lambda x: x IS NOT NULL) AS others FROM orders JOIN g ON k = o_orderkey % {len(golden.STREETS)})
+list_filter([CASE WHEN o_orderkey % 3 <> 0 THEN 'no_city' WHEN state <> 'KS' THEN 'city_not_in_reference' END, CASE WHEN o_orderkey % 2 = 1 THEN 'bad_postcode' END], lambda x: x IS NOT NULL) AS others FROM orders JOIN g ON k = o_orderkey % {len(golden.RELEASE_STREETS)})
 SELECT o::VARCHAR AS nad_oid, street AS addr_street, CASE WHEN o % 17 <> 0 AND o % 900 <> 0 THEN (o % 900)::VARCHAR || CASE WHEN o % 19 = 0 THEN ' A' ELSE '' END END AS addr_housenumber,
 CASE WHEN o % 5 = 0 THEN 'Apt 1' END AS addr_unit, CASE WHEN o % 3 = 0 THEN 'McPherson' END AS addr_city, CASE WHEN o % 2 = 0 THEN '67460' END AS addr_postcode, CASE WHEN o % 7 <> 0 THEN 38.25 END AS lat, drop_reason,
 array_to_string(list_sort(list_distinct(list_concat(list_filter(string_split(sflags, ','), lambda x: x <> ''), others))), ',') AS flags FROM t""")
