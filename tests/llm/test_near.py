@@ -129,3 +129,17 @@ def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(500, 400), (400, 500), (9, 9)], "a long, b long")
     labels = {r.node: r.label for r in components(spark, links).collect()}
     assert labels == {**{i: 0 for i in range(n + 1)}, 400: 400, 500: 400}
+
+
+def test_postings_and_components_are_not_broadcast(spark, odd_docs):
+    """Small as the tables are, Spark's limit for broadcasts must not decide: it underestimates what arrays explode to."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    minhash_join.near_groups(spark, odd_docs, 2, 80).collect()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    found = store.executionsList()
+    plans = [found.apply(k).physicalPlanDescription() for k in range(int(before), found.size())]
+    joined = [p for p in plans if "Join" in p and ("posexplode" in p or "cc-labels" in p)]
+    assert any("posexplode" in p for p in joined) and any("cc-labels" in p for p in joined)
+    assert not [p for p in joined if "BroadcastExchange" in p and "posexplode" in p]
+    assert not [p for p in joined if "BroadcastExchange" in p and "cc-labels" in p and "cc-edges" in p]

@@ -108,6 +108,14 @@ def discard(spark: SparkSession, *tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def exchanged(rows: DataFrame) -> DataFrame:
+    """Rows that grow with the input and are joined by exchange, whatever size Spark expects of either side.
+
+    What arrays explode to and what compresses well is taken for much less than it is; broadcast, it would go through the driver.
+    """
+    return rows.hint("merge")
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Bounds what one Arrow batch holds; texts may be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

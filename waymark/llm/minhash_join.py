@@ -24,6 +24,8 @@ COORDINATES / 2 pairs, enough are equal that any COORDINATES - MATCHES + 1 of th
 Texts are not shuffled but for those whose pairs are decided: rows are addressed by file and place, what a block of
 rows has to give is written to a file of the shared folder, and a scan picks it. Tables are removed when what is made
 from them has been written. Components with very many members make hot join keys, which adaptive execution splits.
+Tables that grow with the input are joined by exchange: Spark expects one element of an array, so a table of postings
+under its limit for broadcasts by that measure can be a hundred times as large, which the driver would have to hold.
 
 A pair of Jaccard similarity 0.8 has fewer than 34 of 64 equal coordinates with a probability of 3e-7, and only
 then, and if no third text links the two, is it lost.
@@ -45,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waymark.llm.blocks import Kept, addressed, keep_by_block, on_files
-from waymark.llm.common import discard, shared_folder, small_batches, written
+from waymark.llm.common import discard, exchanged, shared_folder, small_batches, written
 from waymark.llm.components import components
 from waymark.llm.shingles import shingle_sets
 
@@ -357,8 +359,8 @@ def _picked(batches: Iterator[pa.RecordBatch], folder: str, label: str) -> Itera
 
 def _verified(spark: SparkSession, sides: DataFrame, live: DataFrame, texts: _Texts, words: int, percent: int, matches: int) -> DataFrame:
     """Links between the two sides of each block; sides has (block, side, rep, comp)."""
-    sides = written(spark, sides.join(live.select("rep", "sig", "at_block", "at_row"), "rep"), "near-sides")
-    rows = sides.join(texts.of(sides), ["at_block", "at_row"]).select("block", "side", "rep", "comp", "sig", "text").repartition("block").sortWithinPartitions("block")
+    sides = written(spark, sides.join(exchanged(live.select("rep", "sig", "at_block", "at_row")), "rep"), "near-sides")
+    rows = sides.join(exchanged(texts.of(sides)), ["at_block", "at_row"]).select("block", "side", "rep", "comp", "sig", "text").repartition("block").sortWithinPartitions("block")
     links = written(spark, rows.mapInArrow(lambda batches: _verdicts(batches, words, percent, matches), EDGES), "near-links")
     discard(spark, sides)
     return links
@@ -372,13 +374,18 @@ def _pieces(n: str, size: int) -> Column:
     return F.greatest(F.ceil(F.col(n) / size), F.lit(1)).cast("long")
 
 
-def _postings(spark: SparkSession, classes: DataFrame, matches: int) -> DataFrame:
-    """(rep, n, sig, at_block, at_row, tokens): classes that can have MATCHES equal coordinates with another, and their pairs (df, token), rarest first."""
+def _ranked(classes: DataFrame, matches: int) -> DataFrame:
+    """(class, tokens): the pairs (df, token) that several classes have, rarest first, of classes with MATCHES of them."""
     posted = classes.select("class", F.posexplode("minima").alias("coordinate", "least"))
     posted = posted.select("class", (F.shiftleft(F.col("coordinate").cast("long"), 32).bitwiseOR(F.col("least").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))).alias("token"))
     counted = posted.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    ranked = posted.join(counted, "token").groupBy("class").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens")).where(F.size("tokens") >= matches)
-    return written(spark, ranked.join(classes.select("class", "rep", "n", "sig", "at_block", "at_row"), "class").select("rep", "n", "sig", "at_block", "at_row", "tokens"), "near-postings")
+    return posted.join(exchanged(counted), "token").groupBy("class").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens")).where(F.size("tokens") >= matches)
+
+
+def _postings(spark: SparkSession, classes: DataFrame, matches: int) -> DataFrame:
+    """(rep, n, sig, at_block, at_row, tokens): classes that can have MATCHES equal coordinates with another, and their pairs (df, token), rarest first."""
+    ranked = _ranked(classes, matches).join(exchanged(classes.select("class", "rep", "n", "sig", "at_block", "at_row")), "class")
+    return written(spark, ranked.select("rep", "n", "sig", "at_block", "at_row", "tokens"), "near-postings")
 
 
 def _first_links(spark: SparkSession, live: DataFrame, texts: _Texts, words: int, percent: int, matches: int) -> DataFrame:
@@ -397,7 +404,7 @@ def _first_links(spark: SparkSession, live: DataFrame, texts: _Texts, words: int
         if cut.isEmpty():
             break
         led = stars.select("token", F.col("a").alias("rep")).distinct()
-        led = written(spark, cut.drop("df").join(led, ["token", "rep"]), "near-led")
+        led = written(spark, cut.drop("df").join(exchanged(led), ["token", "rep"]), "near-led")
         common = led.join(led.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "token")
     pairs = written(spark, best.select("a", "b", F.xxhash64("a", _cut("b", _pieces("weight", BLOCK))).alias("block")), "near-pairs")
     sides = pairs.select("block", F.lit(0).alias("side"), F.col("a").alias("rep")).distinct().unionByName(pairs.select("block", F.lit(1).alias("side"), F.col("b").alias("rep")))
@@ -421,11 +428,11 @@ def _clusters(spark: SparkSession, placed: DataFrame, matches: int, percent: int
 def _last_links(spark: SparkSession, placed: DataFrame, edges: DataFrame, texts: _Texts, words: int, percent: int, matches: int) -> DataFrame:
     """Links between the components of each cluster, confirmed on full sets."""
     clusters = components(spark, edges).select(F.col("node").alias("comp"), F.col("label").alias("cluster"))
-    inside = written(spark, placed.select("rep", "comp").distinct().join(clusters, "comp"), "near-inside")
+    inside = written(spark, placed.select("rep", "comp").distinct().join(exchanged(clusters), "comp"), "near-inside")
     sizes = inside.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("members"))
     mains = sizes.groupBy("cluster").agg(F.max(F.struct("members", "comp")).alias("top"), F.sum("members").alias("n_all"))
     mains = mains.select("cluster", F.col("top.comp").alias("main"), "n_all", (F.col("n_all") - F.col("top.members")).alias("n_out"))
-    rows = inside.join(mains, "cluster")
+    rows = inside.join(exchanged(mains), "cluster")
     spread = lambda pieces: F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)).alias("other")
     outs, alls = _pieces("n_out", BLOCK), _pieces("n_all", BLOCK)
     left = rows.where("comp <> main").select("cluster", "rep", "comp", _cut("rep", outs).alias("own"), spread(alls)).select(F.xxhash64("cluster", "own", "other").alias("block"), F.lit(0).alias("side"), "rep", "comp")
@@ -453,7 +460,7 @@ def near_groups(spark: SparkSession, docs: DataFrame, words: int = 5, percent: i
     links = _first_links(spark, live, texts, words, percent, matches)
     labels = components(spark, links)
     prefix = F.expr(f"slice(tokens, 1, size(tokens) - {matches - 1})").alias("prefix")
-    placed = live.join(labels.select(F.col("node").alias("rep"), F.col("label").alias("comp")), "rep", "left").select("rep", F.coalesce("comp", "rep").alias("comp"), "n", "sig", "at_block", "at_row", prefix)
+    placed = live.join(exchanged(labels.select(F.col("node").alias("rep"), F.col("label").alias("comp"))), "rep", "left").select("rep", F.coalesce("comp", "rep").alias("comp"), "n", "sig", "at_block", "at_row", prefix)
     placed = written(spark, placed, "near-placed")
     discard(spark, live)
     edges = _clusters(spark, placed, matches, percent)
@@ -463,11 +470,11 @@ def near_groups(spark: SparkSession, docs: DataFrame, words: int = 5, percent: i
     # a document whose rows have several texts links their classes
     known = named.where("key is not null and doc_id is not null")
     several = known.groupBy("doc_id").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high").select("doc_id")
-    held = known.join(several, "doc_id").select("doc_id", "key").distinct().join(classes.select("key", "rep"), "key")
+    held = known.join(exchanged(several), "doc_id").select("doc_id", "key").distinct().join(exchanged(classes.select("key", "rep")), "key")
     more = written(spark, more.unionByName(held.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))), "near-links")
     if not more.isEmpty():
         labels = components(spark, links.unionByName(more))
 
-    moved = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").where("label is not null or copies > 1").select("key", F.coalesce("label", "rep").alias("label"))
+    moved = classes.join(exchanged(labels.withColumnRenamed("node", "rep")), "rep", "left").where("label is not null or copies > 1").select("key", F.coalesce("label", "rep").alias("label"))
     placed_rows = named.join(moved, "key", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id")).alias("component_id"))
     return placed_rows.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
