@@ -143,3 +143,12 @@ def test_postings_and_components_are_not_broadcast(spark, odd_docs):
     assert any("posexplode" in p for p in joined) and any("cc-labels" in p for p in joined)
     assert not [p for p in joined if "BroadcastExchange" in p and "posexplode" in p]
     assert not [p for p in joined if "BroadcastExchange" in p and "cc-labels" in p and "cc-edges" in p]
+
+
+def test_rows_are_not_joined_with_a_broadcast(spark, odd_docs):
+    """The last join, of all rows with the classes that have copies or links, is by exchange too; both grow with the input."""
+    rows = minhash_join.near_groups(spark, odd_docs, 2, 80)
+    assert rows.where("component_id <> doc_id").count() > 0
+    rows.collect()
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "SortMergeJoin" in plan and "Broadcast" not in plan.split("Initial Plan")[0]

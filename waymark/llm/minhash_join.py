@@ -26,6 +26,7 @@ rows has to give is written to a file of the shared folder, and a scan picks it.
 from them has been written. Components with very many members make hot join keys, which adaptive execution splits.
 Tables that grow with the input are joined by exchange: Spark expects one element of an array, so a table of postings
 under its limit for broadcasts by that measure can be a hundred times as large, which the driver would have to hold.
+Only the tables of lists over CHUNK, a row for 8,192 postings or for one of their leaders, are left to Spark's choice.
 
 A pair of Jaccard similarity 0.8 has fewer than 34 of 64 equal coordinates with a probability of 3e-7, and only
 then, and if no third text links the two, is it lost.
@@ -476,5 +477,5 @@ def near_groups(spark: SparkSession, docs: DataFrame, words: int = 5, percent: i
         labels = components(spark, links.unionByName(more))
 
     moved = classes.join(exchanged(labels.withColumnRenamed("node", "rep")), "rep", "left").where("label is not null or copies > 1").select("key", F.coalesce("label", "rep").alias("label"))
-    placed_rows = named.join(moved, "key", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id")).alias("component_id"))
+    placed_rows = named.join(exchanged(moved), "key", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id")).alias("component_id"))
     return placed_rows.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
